@@ -27,6 +27,18 @@ def lit_date(d: _dt.date | str | None) -> Column | None:
     return F.lit(d)
 
 
+# Exactly ``yyyy-MM-dd``: four digits, dash, two digits, dash, two digits.
+_ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+
+
+def _parse_day(c: Column, fmt: str) -> Column:
+    if fmt == DATE_FORMAT:
+        # Layout check + cast: the same results as a strict formatter parse
+        # (impossible days such as 2014-02-31 give NULL), at half the cost.
+        return F.when(c.rlike(_ISO_DAY), c.try_cast(T.DateType()))
+    return F.try_to_date(c, fmt)
+
+
 def valid_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     """B2: a 10-character text that parses as a real calendar date, else NULL.
 
@@ -34,13 +46,13 @@ def valid_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     ten-character garbage and impossible days such as ``2014-02-31``.
     """
     c = col(c)
-    return F.when(F.length(c) == 10, F.try_to_date(c, fmt))
+    return F.when(F.length(c) == 10, _parse_day(c, fmt))
 
 
 def day_of(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     """The day part of a timestamp text longer than 10 characters, else NULL."""
     c = col(c)
-    return F.when(F.length(c) > 10, F.try_to_date(F.substring(c, 1, 10), fmt))
+    return F.when(F.length(c) > 10, _parse_day(F.substring(c, 1, 10), fmt))
 
 
 def in_order(earlier: str | Column, later: str | Column) -> Column:

@@ -12,21 +12,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MAX_BROADCAST_ROWS
-from ..session import checkpoint_dir
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``dim`` once in the shared checkpoint folder (cutting its
-    lineage, so a lost executor re-reads it instead of recomputing the
-    aggregate), count it, and mark it for broadcast only if it has at most
-    ``max_rows`` rows.  A larger ``dim`` is returned unmarked and the join
-    shuffles both sides."""
-    checkpoint_dir(dim.sparkSession)
-    dim = dim.checkpoint(eager=True)
+    """Materialise ``dim`` once (persisted; a lost block is recomputed from
+    its lineage), count it, and mark it for broadcast only if it has at most
+    ``max_rows`` rows.  A larger ``dim`` is returned unmarked: the join then
+    shuffles both sides and AQE may still pick a broadcast from runtime sizes
+    or split skewed keys."""
+    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
     return F.broadcast(dim) if dim.count() <= max_rows else dim
 
 

@@ -43,9 +43,9 @@ def observations(
     """Two observations per check-in row -- the first-seen day and the
     last-seen day -- for rows where both timestamps are valid (B3)."""
     first_d, last_d = day_of(first_ts), day_of(last_ts)
-    return uss.filter(first_d.isNotNull() & last_d.isNotNull()).select(
-        F.col(uid), F.col(imei), F.col(model), F.explode(F.array(first_d, last_d)).alias(name)
-    )
+    both = F.when(first_d.isNotNull() & last_d.isNotNull(), F.array(first_d, last_d))
+    # explode of a NULL array emits nothing: rows with an invalid timestamp drop out
+    return uss.select(F.col(uid), F.col(imei), F.col(model), F.explode(both).alias(name))
 
 
 def distinct_observations(obs: DataFrame) -> DataFrame:

@@ -42,19 +42,19 @@ class Ctx:
     # feeds
     @cached_property
     def uss(self) -> DataFrame:
-        return fixtures.uss_device(self.spark, self.sf_dir)
+        return fixtures.stored_feed(self.spark, self.sf_dir, "uss_device")
 
     @cached_property
     def ship_orig(self) -> DataFrame:
-        return fixtures.shipment_orig(self.spark, self.sf_dir)
+        return fixtures.stored_feed(self.spark, self.sf_dir, "shipment_orig")
 
     @cached_property
     def sdac_orig(self) -> DataFrame:
-        return fixtures.sdac_orig(self.spark, self.sf_dir)
+        return fixtures.stored_feed(self.spark, self.sf_dir, "sdac_orig")
 
     @cached_property
     def repair_orig(self) -> DataFrame:
-        return fixtures.repair_orig(self.spark, self.sf_dir)
+        return fixtures.stored_feed(self.spark, self.sf_dir, "repair_orig")
 
     # dimension tables
     @cached_property
@@ -90,13 +90,18 @@ class Ctx:
     def dabandon(self) -> DataFrame:
         return px.build_dabandon(self.uss, LO, FIXTURE_AS_OF)
 
+    @cached_property
+    def transitions(self) -> DataFrame:
+        # one W2 pass shared by the move and swap outputs
+        return ps.shared(px.build_transitions(self.uss))
+
     @cached_property
     def move(self) -> DataFrame:
-        return px.build_move(self.uss)
+        return self.transitions.filter(F.col("eventtype") == "move")
 
     @cached_property
     def swap(self) -> DataFrame:
-        return px.build_swap(self.uss)
+        return self.transitions.filter(F.col("eventtype") == "swap")
 
     @cached_property
     def exchange(self) -> DataFrame:

@@ -122,6 +122,27 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The stand-in feed ``name`` as a Parquet table, written once per
+    session and data folder to the shared checkpoint folder -- the jobs then
+    scan a stored feed (with column pruning and filter pushdown) as they do in
+    production, instead of re-deriving it from the test tables per consumer.
+    One file per core, so the scan is split like a landing folder of files."""
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"feed-{name}")
+        df = BUILDERS[name](spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+        df.write.mode("errorifexists").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
 _J = (
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
     "JOIN part ON l_partkey = p_partkey"
