@@ -76,24 +76,26 @@ def read_delimited(
 
 def render(
     df: DataFrame,
-    null_markers: Mapping[str, str] | None = None,
+    null_markers: Mapping[str, str | Column] | None = None,
     default_marker: str = NULL_MARKER,
 ) -> list[Column]:
     """A5: each column as text -- dates ``yyyy-MM-dd``, NULL as its marker
-    (``null_markers[col]`` or ``default_marker``)."""
+    (``null_markers[col]``, a literal or a per-row Column, else
+    ``default_marker``)."""
     markers = dict(null_markers or {})
     out = []
     for name, dtype in df.dtypes:
         c = F.col(name)
         text = F.date_format(c, "yyyy-MM-dd") if dtype == "date" else c.cast("string")
-        out.append(F.coalesce(text, F.lit(markers.get(name, default_marker))).alias(name))
+        m = markers.get(name, default_marker)
+        out.append(F.coalesce(text, m if isinstance(m, Column) else F.lit(m)).alias(name))
     return out
 
 
 def to_lines(
     df: DataFrame,
     sep: str = FIELD_SEP,
-    null_markers: Mapping[str, str] | None = None,
+    null_markers: Mapping[str, str | Column] | None = None,
     ragged_width: Column | None = None,
 ) -> DataFrame:
     """Render rows as one ``value`` text column.  With ``ragged_width`` only
@@ -110,7 +112,7 @@ def write_delimited(
     num_files: int | None = None,
     sep: str = FIELD_SEP,
     mode: str = "overwrite",
-    null_markers: Mapping[str, str] | None = None,
+    null_markers: Mapping[str, str | Column] | None = None,
     ragged_width: Column | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
