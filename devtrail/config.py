@@ -28,8 +28,10 @@ DATE_FORMAT = "yyyy-MM-dd"
 CHECKIN_CAP = 2
 # --- end of fixed values ---
 
-# Largest dimension (rows) that may be broadcast; above it joins shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest dimension that may be broadcast (rows and in-memory bytes);
+# above either bound the join shuffles both sides.
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)

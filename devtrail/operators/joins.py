@@ -16,17 +16,30 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MAX_BROADCAST_ROWS
+from ..config import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def materialized_bytes(df: DataFrame) -> int | None:
+    """Size estimate of ``df``'s plan; exact for a persisted, materialised frame."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # stats unavailable: treat as unknown
+        return None
+
+
+def sized_broadcast(
+    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
     """Materialise ``dim`` once (persisted; a lost block is recomputed from
-    its lineage), count it, and mark it for broadcast only if it has at most
-    ``max_rows`` rows.  A larger ``dim`` is returned unmarked: the join then
-    shuffles both sides and AQE may still pick a broadcast from runtime sizes
-    or split skewed keys."""
+    its lineage), measure it, and mark it for broadcast only if it has at most
+    ``max_rows`` rows and ``max_bytes`` bytes in memory.  A larger ``dim`` is
+    returned unmarked: the join then shuffles both sides (Spark's own byte
+    threshold and AQE may still broadcast it, or split skewed keys)."""
     dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+    n = dim.count()
+    size = materialized_bytes(dim)
+    small = n <= max_rows and size is not None and size <= max_bytes
+    return F.broadcast(dim) if small else dim
 
 
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -57,10 +70,16 @@ def not_in(df: DataFrame, ref: DataFrame, key: str = "imei", ref_key: str | None
     return df.join(keys, on=key, how="left_anti")
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str = "model", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(
+    df: DataFrame,
+    dim: DataFrame,
+    key: str = "model",
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """E5: left-join a per-``key`` dimension through ``sized_broadcast``;
     a missing key gives NULL (rendered ``NA``)."""
-    return df.join(sized_broadcast(dim, max_rows), on=key, how="left")
+    return df.join(sized_broadcast(dim, max_rows, max_bytes), on=key, how="left")
 
 
 def join_both_ends(
