@@ -55,7 +55,10 @@ def run_lifecycle(
     sdac = build_sdac(feeds["sdac_orig"], ship["shipment_model"], hi)
     act = build_activation(uss, ship["shipment_model"], lo, hi, checkin_source)
     rep = build_repair(feeds["repair_orig"], feeds["shipment_orig"], buckets, lo, hi, grace)
-    ns = build_new_shipment(ship["shipment"], sdac["sdac"], act["activation"], hi)
+    ns = build_new_shipment(
+        ship["shipment"], sdac["sdac"], act["activation"], hi,
+        sdac_model_dates=sdac["sdac_model_dates"], activation_model_dates=act["activation_model_dates"],
+    )
     new_shipment = ns["new_shipment"]
 
     cab = build_cabandon(uss, lo, as_of, days)

@@ -12,7 +12,7 @@ from ..config import HI, LO, MAX_BROADCAST_ROWS
 from ..functions.dates import day_of, parse_dates
 from ..operators.aggregates import checkin_count, first_date_by
 from ..operators.dedupe import earliest_per_key, latest_per_key
-from ..operators.joins import lookup, not_in
+from ..operators.joins import lookup, not_in, sized_broadcast
 from ..operators.quality import chronology_exceptions
 
 Date = _dt.date | str | None
@@ -59,6 +59,8 @@ def build_shipment(
     """
     s = prepare_shipment(shipment_orig)
     latest, rejects = latest_per_key(s, ["imei"], "shipment_date", lo)
+    # one dedup feeds shipment, shipment_model and through it sdac and activation
+    latest = shared(latest)
     dims = model_first_dates(shipment_orig, hi)
     shipment = lookup(latest, dims, "model", max_broadcast_rows).select(
         *s.columns, "first_mfg_date", "first_shipment_date"
@@ -88,9 +90,9 @@ def build_sdac(
     devices only)."""
     first, rejects = earliest_sdac(sdac_orig, hi)
     joined = shared(first.join(shipment_model.select("imei", "model"), "imei", "inner"))
-    dims = first_date_by(joined, "model", {"first_sdac_date": "create_date"}, hi)
-    sdac = lookup(joined, dims, "model", max_broadcast_rows).select(*first.columns, "first_sdac_date")
-    return {"sdac": sdac, "sdac_rejects": rejects}
+    dims = sized_broadcast(first_date_by(joined, "model", {"first_sdac_date": "create_date"}, hi), max_broadcast_rows)
+    sdac = joined.join(dims, "model", "left").select(*first.columns, "first_sdac_date")
+    return {"sdac": sdac, "sdac_model_dates": dims, "sdac_rejects": rejects}
 
 
 def sdac_exceptions(sdac_orig: DataFrame, shipment: DataFrame, hi: Date = HI) -> DataFrame:
@@ -124,14 +126,16 @@ def build_activation(
     u = last_checkins(uss_device)
     latest, rejects = latest_per_key(u, ["imei"], "activation_date", lo)
     joined = shared(latest.join(shipment_model.select("imei", "model"), "imei", "inner"))
-    dims = first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi)
+    dims = sized_broadcast(
+        first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi), max_broadcast_rows
+    )
     counts = checkin_count(latest if source == "deduped" else u, "imei", "imsi")
     activation = (
-        lookup(joined, dims, "model", max_broadcast_rows)
+        joined.join(dims, "model", "left")
         .join(counts, "imei", "inner")
         .select("imei", "activation_date", "first_checkin_date", "checkin_count")
     )
-    return {"activation": activation, "activation_rejects": rejects}
+    return {"activation": activation, "activation_model_dates": dims, "activation_rejects": rejects}
 
 
 def activation_exceptions(uss_device: DataFrame, shipment: DataFrame, lo: Date = LO) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HI, MAX_BROADCAST_ROWS
-from ..functions.dates import min_date
+from ..functions.dates import lit_date, min_date
 from ..operators.aggregates import first_launch_date
 from ..operators.events import superset_schema, timeline, with_event_header
 from ..operators.joins import join_both_ends, lookup, prefixed
@@ -24,23 +24,41 @@ def build_new_shipment(
     activation: DataFrame,
     hi: Date = HI,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    sdac_model_dates: DataFrame | None = None,
+    activation_model_dates: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every shipped device, left-joined to its SDAC row (``sdac_*``) and
     activation row (``act_*``), plus the model's first_launch_date (C5).
 
+    first_launch_date is the earlier of the model's first SDAC date and first
+    check-in date, capped at ``hi``.  When P3/P4 hand over their per-model
+    dimensions (``sdac_model_dates``, ``activation_model_dates``, already
+    size-checked and broadcast) it is read from those -- every SDAC and
+    activation row belongs to a shipped device, so they hold exactly the
+    per-model minima over new_shipment; otherwise it is aggregated over the
+    joined rows.
+
     Outputs ``new_shipment``; ``new_shipment_events`` (header
     ``('shipment', shipment_date)``); ``new_shipment_exception``: devices
     shipped after their first use (earlier of SDAC create date and
     activation date)."""
     sd = prefixed(sdac, "sdac_")
     ac = prefixed(activation, "act_")
-    joined = shared(
-        shipment.join(sd, F.col("imei") == F.col("sdac_imei"), "left").join(
-            ac, F.col("imei") == F.col("act_imei"), "left"
-        )
+    joined = shipment.join(sd, F.col("imei") == F.col("sdac_imei"), "left").join(
+        ac, F.col("imei") == F.col("act_imei"), "left"
     )
-    dims = first_launch_date(joined, "model", "sdac_first_sdac_date", "act_first_checkin_date", hi)
-    ns = lookup(joined, dims, "model", max_broadcast_rows).select(*joined.columns, "first_launch_date")
+    if sdac_model_dates is not None and activation_model_dates is not None:
+        hi_c = lit_date(hi)
+        parts = [F.col("__fs"), F.col("__fc")] + ([hi_c] if hi_c is not None else [])
+        ns = (
+            joined.join(sdac_model_dates.select("model", F.col("first_sdac_date").alias("__fs")), "model", "left")
+            .join(activation_model_dates.select("model", F.col("first_checkin_date").alias("__fc")), "model", "left")
+            .select(*joined.columns, F.least(*parts).alias("first_launch_date"))
+        )
+    else:
+        joined = shared(joined)
+        dims = first_launch_date(joined, "model", "sdac_first_sdac_date", "act_first_checkin_date", hi)
+        ns = lookup(joined, dims, "model", max_broadcast_rows).select(*joined.columns, "first_launch_date")
     first_use = min_date("sdac_create_date", "act_activation_date")
     return {
         "new_shipment": ns,

@@ -63,7 +63,7 @@ class Ctx:
 
     @cached_property
     def shipment_model(self) -> DataFrame:
-        return ps.build_shipment_model(self.ship_orig, LO)
+        return self.ship["shipment_model"]
 
     @cached_property
     def sdac(self) -> dict[str, DataFrame]:
@@ -79,7 +79,11 @@ class Ctx:
 
     @cached_property
     def new_shipment(self) -> dict[str, DataFrame]:
-        return pt.build_new_shipment(self.ship["shipment"], self.sdac["sdac"], self.activation["activation"], HI)
+        return pt.build_new_shipment(
+            self.ship["shipment"], self.sdac["sdac"], self.activation["activation"], HI,
+            sdac_model_dates=self.sdac["sdac_model_dates"],
+            activation_model_dates=self.activation["activation_model_dates"],
+        )
 
     # event sources
     @cached_property
@@ -246,7 +250,7 @@ def d11_observations(c: Ctx) -> DataFrame:
 @query
 def d12_shipment_model(c: Ctx) -> DataFrame:
     """(imei, model) of each device's latest shipment."""
-    return c.shipment_model
+    return ps.build_shipment_model(c.ship_orig, LO)
 
 
 @query
