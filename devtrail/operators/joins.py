@@ -12,33 +12,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
+from ..session import stage
 
 
-def materialized_bytes(df: DataFrame) -> int | None:
-    """Size estimate of ``df``'s plan; exact for a persisted, materialised frame."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # stats unavailable: treat as unknown
-        return None
+def row_bytes(df: DataFrame):
+    """Upper estimate of a row's in-memory (UnsafeRow) size: one 8-byte word
+    for the null bits, one 8-byte slot per field, plus variable-length bytes."""
+    fixed = F.lit(8 + 8 * len(df.columns))
+    var = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    out = fixed
+    for v in var:
+        out = out + v
+    return out
 
 
 def sized_broadcast(
     dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Materialise ``dim`` once (persisted; a lost block is recomputed from
-    its lineage), measure it, and mark it for broadcast only if it has at most
-    ``max_rows`` rows and ``max_bytes`` bytes in memory.  A larger ``dim`` is
-    returned unmarked: the join then shuffles both sides (Spark's own byte
-    threshold and AQE may still broadcast it, or split skewed keys)."""
-    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    n = dim.count()
-    size = materialized_bytes(dim)
-    small = n <= max_rows and size is not None and size <= max_bytes
+    """Materialise ``dim`` once as a table in the shared checkpoint folder,
+    measure it (row count and in-memory bytes, one small aggregate; only two
+    numbers reach the driver) and mark it for broadcast only if both are
+    within bounds.  A larger ``dim`` is returned unmarked: the join then
+    shuffles both sides (AQE may still broadcast from runtime sizes, or split
+    skewed keys)."""
+    dim = stage(dim, "dim")
+    n, size = dim.agg(F.count(F.lit(1)), F.sum(row_bytes(dim))).first()
+    small = n <= max_rows and (size or 0) <= max_bytes
     return F.broadcast(dim) if small else dim
 
 

@@ -1,8 +1,9 @@
 """All jobs in one session: feeds in, every table of the lifecycle out.
 
-``run_lifecycle`` composes the plans lazily; the shared intermediates
-(the dimension joins, the SIM transitions) are persisted so each is computed
-once although several outputs read it.  ``write_outputs`` writes each table
+``run_lifecycle`` composes the plans; the shared intermediates (the
+shipment dedup, the dimension joins, new_shipment, the SIM transitions) are
+written once as tables in the shared checkpoint folder, so each is computed
+once although several outputs read it, and lineage stays short.  ``write_outputs`` writes each table
 once -- Parquet by default, or the positional Ctrl-A text layout.
 """
 
@@ -15,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import GRACE_MONTHS, HI, LO, NA_MARKER, NULL_MARKER, STALE_DAYS, Buckets
-from ..operators.events import widen
+from ..functions.dates import min_date
+from ..operators.events import widen, with_event_header
+from ..operators.quality import chronology_exceptions
 from ..sources.text import LAYOUTS, read_delimited, write_delimited, write_table
 from ..sources.textio import ragged_width
 from .exchange import build_cabandon, build_dabandon, build_transitions, exchange_exceptions
@@ -59,7 +62,13 @@ def run_lifecycle(
         ship["shipment"], sdac["sdac"], act["activation"], hi,
         sdac_model_dates=sdac["sdac_model_dates"], activation_model_dates=act["activation_model_dates"],
     )
-    new_shipment = ns["new_shipment"]
+    # read by five outputs that are written separately: computed once
+    new_shipment = shared(ns["new_shipment"], "new_shipment")
+    ns = {**ns, "new_shipment": new_shipment}
+    ns["new_shipment_events"] = with_event_header(new_shipment, "shipment", "shipment_date")
+    ns["new_shipment_exception"] = chronology_exceptions(
+        new_shipment, "shipment_date", min_date("sdac_create_date", "act_activation_date")
+    )
 
     cab = build_cabandon(uss, lo, as_of, days)
     dab = build_dabandon(uss, lo, as_of, days)

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..config import HI, LO, MAX_BROADCAST_ROWS
+from ..session import stage
 from ..functions.dates import day_of, parse_dates
 from ..operators.aggregates import checkin_count, first_date_by
 from ..operators.dedupe import earliest_per_key, latest_per_key
@@ -18,10 +18,11 @@ from ..operators.quality import chronology_exceptions
 Date = _dt.date | str | None
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """Persist an intermediate that feeds both a dimension and the main
-    output (G2), so the upstream shuffle work runs once."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def shared(df: DataFrame, name: str = "shared") -> DataFrame:
+    """An intermediate that several outputs read (G2): written once as a
+    table in the shared checkpoint folder (``session.stage``), so its upstream
+    shuffles run once and lineage is cut."""
+    return stage(df, name)
 
 
 def prepare_shipment(shipment_orig: DataFrame) -> DataFrame:

@@ -63,3 +63,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` once as a Parquet table in a new folder under the shared
+    checkpoint folder and return the table read back.
+
+    Used for intermediates that several outputs read.  The write runs under
+    AQE (coalesced partitions), the re-read splits by file size, and the
+    lineage is cut: a lost executor re-reads the table instead of recomputing
+    the upstream shuffles."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
