@@ -1,0 +1,84 @@
+"""Invariants of the whole lifecycle on typed stand-in feeds,
+and the typed run of ``run_lifecycle`` checked against the oracle counts."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from devtrail.config import FIXTURE_AS_OF, FIXTURE_BUCKETS
+from devtrail.oracle import ORACLE
+from devtrail.plans.lifecycle import run_lifecycle
+from devtrail.sources import fixtures
+from tests.oracle_compare import duck
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def out(spark):
+    feeds = {n: fixtures.stored_feed(spark, SF, n) for n in fixtures.BUILDERS}
+    return run_lifecycle(feeds, FIXTURE_BUCKETS, as_of=FIXTURE_AS_OF)
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+def n(con, name):
+    return con.execute(f"SELECT count(*) FROM ({ORACLE[name]})").fetchone()[0]
+
+
+def test_counts_match_oracle(out, con):
+    pairs = {
+        "shipment": "p2_shipment", "sdac": "p3_sdac", "activation": "p4_activation", "repair": "p5_repair",
+        "new_shipment": "p6_new_shipment", "new_shipment_exception": "p6_new_shipment_exception",
+        "new_complex": "p7_new_complex", "new_move": "p8_new_move", "new_repair": "p9_new_repair",
+        "new_repair_exception": "p9_new_repair_exception", "cabandon": "p11_cabandon", "dabandon": "p12_dabandon",
+        "move": "w2_move", "swap": "w2_swap", "timeline": "f1_union_all",
+        "sdac_exception": "e4_sdac_not_shipped", "activation_exception": "e4_activation_not_shipped",
+        "repair_exception": "e4_repair_not_shipped", "cabandon_exception": "e4_cabandon_not_shipped",
+        "dabandon_exception": "e4_dabandon_not_shipped", "shipment_exception": "b6_ship_before_mfg",
+    }
+    got = {k: out[k].count() for k in pairs}
+    assert got == {k: n(con, q) for k, q in pairs.items()}
+
+
+def test_move_and_swap_are_disjoint(out):
+    key = ["uid", "imei", "toimei", "eventdate"]
+    assert out["move"].select(key).intersect(out["swap"].select(key)).count() == 0
+
+
+def test_one_row_per_device(out):
+    for name in ("shipment", "new_shipment", "activation", "sdac"):
+        df = out[name]
+        assert df.count() == df.select("imei").distinct().count(), name
+
+
+def test_exceptions_are_copies_of_main_rows(out):
+    ns = out["new_shipment"]
+    assert out["new_shipment_exception"].exceptAll(ns).count() == 0
+    body = out["new_repair"].drop("eventtype", "eventdate")
+    assert out["new_repair_exception"].exceptAll(body).count() == 0
+
+
+def test_timeline_is_the_union_of_the_event_tables(out):
+    parts = sum(out[k].count() for k in ("new_shipment_events", "new_complex", "new_move", "new_repair"))
+    assert out["timeline"].count() == parts
+    kinds = {r[0] for r in out["timeline"].select("eventtype").distinct().collect()}
+    assert kinds <= {"shipment", "cabandon", "dabandon", "swap", "move", "repair"}
+
+
+def test_not_shipped_reports_partition_their_inputs(out):
+    shipped = out["shipment"].select("imei")
+    for ex, main in (("cabandon_exception", "cabandon"), ("dabandon_exception", "dabandon")):
+        inside = out[main].join(shipped, "imei", "left_semi").count()
+        assert out[ex].count() + inside == out[main].count()
+
+
+def test_abandon_dates_are_stale(out):
+    for name in ("cabandon", "dabandon"):
+        late = out[name].filter(F.date_diff(F.lit(FIXTURE_AS_OF), "eventdate") <= 28).count()
+        assert late == 0
+    assert FIXTURE_AS_OF == dt.date(2001, 10, 1)
