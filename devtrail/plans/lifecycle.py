@@ -16,9 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import GRACE_MONTHS, HI, LO, NA_MARKER, NULL_MARKER, STALE_DAYS, Buckets
-from ..functions.dates import min_date
-from ..operators.events import widen, with_event_header
-from ..operators.quality import chronology_exceptions
+from ..operators.events import widen
 from ..sources.text import LAYOUTS, read_delimited, write_delimited, write_table
 from ..sources.textio import ragged_width
 from .exchange import build_cabandon, build_dabandon, build_transitions, exchange_exceptions
@@ -61,14 +59,9 @@ def run_lifecycle(
     ns = build_new_shipment(
         ship["shipment"], sdac["sdac"], act["activation"], hi,
         sdac_model_dates=sdac["sdac_model_dates"], activation_model_dates=act["activation_model_dates"],
+        materialize=True,  # read by five outputs: computed once
     )
-    # read by five outputs that are written separately: computed once
-    new_shipment = shared(ns["new_shipment"], "new_shipment")
-    ns = {**ns, "new_shipment": new_shipment}
-    ns["new_shipment_events"] = with_event_header(new_shipment, "shipment", "shipment_date")
-    ns["new_shipment_exception"] = chronology_exceptions(
-        new_shipment, "shipment_date", min_date("sdac_create_date", "act_activation_date")
-    )
+    new_shipment = ns["new_shipment"]
 
     cab = build_cabandon(uss, lo, as_of, days)
     dab = build_dabandon(uss, lo, as_of, days)

@@ -130,7 +130,9 @@ def build_activation(
     dims = sized_broadcast(
         first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi), max_broadcast_rows
     )
-    counts = checkin_count(latest if source == "deduped" else u, "imei", "imsi")
+    # deduped: the staged join holds the one (imei, imsi) pair of every device
+    # that reaches the output, so no second pass over the check-in log
+    counts = checkin_count(joined if source == "deduped" else u, "imei", "imsi")
     activation = (
         joined.join(dims, "model", "left")
         .join(counts, "imei", "inner")

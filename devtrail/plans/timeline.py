@@ -26,6 +26,7 @@ def build_new_shipment(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     sdac_model_dates: DataFrame | None = None,
     activation_model_dates: DataFrame | None = None,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
     """Every shipped device, left-joined to its SDAC row (``sdac_*``) and
     activation row (``act_*``), plus the model's first_launch_date (C5).
@@ -41,7 +42,9 @@ def build_new_shipment(
     Outputs ``new_shipment``; ``new_shipment_events`` (header
     ``('shipment', shipment_date)``); ``new_shipment_exception``: devices
     shipped after their first use (earlier of SDAC create date and
-    activation date)."""
+    activation date).  With ``materialize`` new_shipment is written once as a
+    table (it feeds the events, the exceptions and the complex, move and
+    repair joins) and every output reads that table."""
     sd = prefixed(sdac, "sdac_")
     ac = prefixed(activation, "act_")
     joined = shipment.join(sd, F.col("imei") == F.col("sdac_imei"), "left").join(
@@ -59,6 +62,8 @@ def build_new_shipment(
         joined = shared(joined)
         dims = first_launch_date(joined, "model", "sdac_first_sdac_date", "act_first_checkin_date", hi)
         ns = lookup(joined, dims, "model", max_broadcast_rows).select(*joined.columns, "first_launch_date")
+    if materialize:
+        ns = shared(ns, "new_shipment")
     first_use = min_date("sdac_create_date", "act_activation_date")
     return {
         "new_shipment": ns,
