@@ -83,7 +83,6 @@ class Ctx:
             self.ship["shipment"], self.sdac["sdac"], self.activation["activation"], HI,
             sdac_model_dates=self.sdac["sdac_model_dates"],
             activation_model_dates=self.activation["activation_model_dates"],
-            materialize=True,
         )
 
     # event sources

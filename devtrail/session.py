@@ -76,5 +76,5 @@ def stage(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
 

@@ -75,9 +75,20 @@ def main(argv: list[str]) -> int:
     from devtrail.registry import QUERIES
     from devtrail.session import local_session
 
+    plain = "--default-session" in argv
+    argv = [a for a in argv if a != "--default-session"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or sorted(QUERIES)
-    spark = local_session(8)
+    if plain:  # a session with Spark's defaults only, as a caller might have
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        )
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     con = duck(sf_dir)
     bad = 0
     for n in names:
