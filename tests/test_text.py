@@ -188,3 +188,17 @@ def test_fail_if_exists_sink(spark, tmp_path):
         write_delimited(df, p, mode="errorifexists")
     write_delimited(df, p, mode="overwrite")
     assert [r.value for r in read_lines(spark, p).collect()] == ["a" + SEP + "1"]
+
+
+def test_command_line_writes_chosen_tables(spark, raw_feeds, tmp_path):
+    from devtrail.__main__ import main
+
+    out = str(tmp_path / "out")
+    args = [f"--{k.replace('_', '-')}={v}" for k, v in raw_feeds.items()]
+    args += [f"--out={out}", "--format=text", "--as-of=2001-10-01", "--domestic=DOM", "--overseas=OVS",
+             "--only=shipment,repair,timeline,shipment_orig_bad_lines"]
+    written = main(args, spark=spark)
+    assert sorted(written) == ["repair", "shipment", "shipment_orig_bad_lines", "timeline"]
+    assert len(read_lines(spark, f"{out}/shipment").collect()) == 3
+    assert len(read_lines(spark, f"{out}/shipment_orig_bad_lines").collect()) == 1
+
