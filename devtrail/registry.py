@@ -18,9 +18,8 @@ from .config import FIXTURE_AS_OF, FIXTURE_BUCKETS, HI, LO
 from .functions.dates import day_of, in_order, min_date, parse_dates, valid_date, within_period
 from .functions.warranty import source_bucket
 from .operators.aggregates import checkin_count, first_date_by, first_launch_date, last_date_by
-from .operators.dedupe import earliest_per_key, latest_per_key
-from .operators.events import to_exchange
-from .operators.joins import full_outer_by, join_both_ends, lookup, not_in, prefixed
+from .operators.dedupe import latest_per_key
+from .operators.joins import full_outer_by, join_both_ends, lookup, prefixed
 from .operators.sequence import distinct_observations, failure_tag, observations
 from .plans import exchange as px
 from .plans import repair as pr
@@ -601,4 +600,4 @@ def entry_query() -> Query:
     return QUERIES["f1_union_all"]
 
 
-__all__ = ["QUERIES", "Ctx", "to_exchange", "earliest_per_key", "not_in"]
+__all__ = ["QUERIES", "Ctx", "entry_query"]
