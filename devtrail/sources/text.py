@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIELD_SEP, NULL_MARKER
+from ..config import FIELD_SEP, NA_MARKER, NULL_MARKER
 
 
 @dataclass(frozen=True)
@@ -38,10 +38,36 @@ LAYOUTS = {
     "repair_orig": Layout(37, {0: "data_source", 4: "imei", 13: "claim_date", 14: "purchase_date", 27: "warranty_period"}),
     "shipment_model": Layout(2, {0: "imei", 1: "model"}),
     "exchange": Layout(6, {0: "uid", 1: "uidtype", 2: "imei", 3: "toimei", 4: "eventtype", 5: "eventdate"}),
+    # derived tables written by the jobs (positions after the raw fields)
+    "activation": Layout(4, {0: "imei", 1: "activation_date", 2: "first_checkin_date", 3: "checkin_count"}),
 }
 # --- end of fixed values ---
 
 
+def _extend(base: Layout, extra: Mapping[int, str]) -> Layout:
+    return Layout(base.width + len(extra), {**base.names, **extra})
+
+
+def _prefixed(layout: Layout, prefix: str, offset: int) -> dict[int, str]:
+    return {offset + i: prefix + c for i, c in enumerate(layout.columns())}
+
+
+# shipment = raw shipment + two model dates; sdac = raw sdac + model date;
+# repair = raw repair + two tags; new_shipment = shipment + sdac_* + act_* + launch date
+LAYOUTS["shipment"] = _extend(LAYOUTS["shipment_orig"], {29: "first_mfg_date", 30: "first_shipment_date"})
+LAYOUTS["sdac"] = _extend(LAYOUTS["sdac_orig"], {7: "first_sdac_date"})
+LAYOUTS["repair"] = _extend(LAYOUTS["repair_orig"], {37: "failure_count", 38: "is_real_in_warranty"})
+LAYOUTS["new_shipment"] = Layout(
+    44,
+    {
+        **dict(enumerate(LAYOUTS["shipment"].columns())),
+        **_prefixed(LAYOUTS["sdac"], "sdac_", 31),
+        **_prefixed(LAYOUTS["activation"], "act_", 39),
+        43: "first_launch_date",
+    },
+)
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """A3: raw lines (column ``value``), one or several paths (A2)."""
     ps = [paths] if isinstance(paths, str) else list(paths)
@@ -133,3 +159,32 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", num_files: in
     if num_files:
         df = df.repartition(num_files)
     df.write.mode(mode).parquet(path)
+
+
+# Column kinds of the derived text tables (everything else stays text).
+_INT_COLUMNS = ("warranty_period",)
+_BIGINT_COLUMNS = ("checkin_count", "act_checkin_count")
+_MARKERS = (NULL_MARKER, NA_MARKER)
+
+
+def read_table(spark: SparkSession, paths: str | Sequence[str], name: str, sep: str = FIELD_SEP) -> tuple[DataFrame, DataFrame]:
+    """Scan a text table written by the jobs (``shipment``, ``sdac``,
+    ``activation``, ``repair``, ``new_shipment`` or ``exchange``) back into
+    typed columns: the ``\\N``/``NA`` markers become NULL, ``*date`` columns
+    are guarded dates (B2), counts and periods numbers.  Keys stay text.
+    Returns ``(table, rejects)`` like ``read_delimited``."""
+    from ..functions.dates import valid_date
+
+    good, rejects = read_delimited(spark, paths, LAYOUTS[name], sep)
+    cols = []
+    for c in good.columns:
+        v = F.when(~F.col(c).isin(*_MARKERS), F.col(c))
+        if c.endswith("date"):
+            v = valid_date(v)
+        elif c in _INT_COLUMNS:
+            v = v.try_cast("int")
+        elif c in _BIGINT_COLUMNS:
+            v = v.try_cast("bigint")
+        cols.append(v.alias(c))
+    return good.select(cols), rejects
+

@@ -202,3 +202,21 @@ def test_command_line_writes_chosen_tables(spark, raw_feeds, tmp_path):
     assert len(read_lines(spark, f"{out}/shipment").collect()) == 3
     assert len(read_lines(spark, f"{out}/shipment_orig_bad_lines").collect()) == 1
 
+
+def test_later_jobs_run_on_text_intermediates(spark, outputs, tmp_path):
+    """The surveyed jobs handed text tables to each other: read the written
+    shipment/sdac/activation/repair/new_shipment text back and run P6 and P9."""
+    from devtrail.plans.repair import build_new_repair
+    from devtrail.plans.timeline import build_new_shipment
+    from devtrail.sources.text import read_table
+
+    base = str(tmp_path / "lifecycle")
+    write_outputs({k: outputs[k] for k in ("shipment", "sdac", "activation", "repair", "new_shipment")}, base, fmt="text")
+    t = {k: read_table(spark, f"{base}/{k}", k)[0] for k in ("shipment", "sdac", "activation", "repair", "new_shipment")}
+    assert rows(t["repair"]) == rows(outputs["repair"])
+    assert rows(t["new_shipment"]) == rows(outputs["new_shipment"])
+    ns = build_new_shipment(t["shipment"], t["sdac"], t["activation"])  # first_launch_date aggregated here
+    assert rows(ns["new_shipment"]) == rows(outputs["new_shipment"])
+    rep = build_new_repair(t["repair"], t["new_shipment"])
+    assert rows(rep["new_repair_exception"]) == rows(outputs["new_repair_exception"])
+
