@@ -361,6 +361,7 @@ q("p12_dabandon", ["dabandon"], "SELECT * FROM dabandon")
 # A: text edges (the oracle sees the typed tables the text must reproduce)
 q("a1_text_roundtrip", ["shipment_orig"], "SELECT * FROM shipment_orig")
 q("a2_multi_path_scan", ["exchange"], "SELECT * FROM exchange")
+q("a4_shipment_text_roundtrip", ["shipment"], "SELECT * FROM shipment")
 q("a5_ragged_render", ["timeline"], """
 SELECT eventtype, CASE eventtype WHEN 'shipment' THEN 20 WHEN 'repair' THEN 34 WHEN 'move' THEN 52 ELSE 26 END
        AS n_fields, count(*) AS n FROM timeline GROUP BY ALL""")

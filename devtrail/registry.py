@@ -583,6 +583,13 @@ def a1_text_roundtrip(c: Ctx) -> DataFrame:
     return textio.shipment_roundtrip(c.spark, c.ship_orig)
 
 
+@query
+def a4_shipment_text_roundtrip(c: Ctx) -> DataFrame:
+    """A4/A5/A1: the P2 shipment table written as 31-field text with its
+    markers and read back as a typed table."""
+    return textio.shipment_table_roundtrip(c.spark, c.ship["shipment"])
+
+
 @query
 def a2_multi_path_scan(c: Ctx) -> DataFrame:
     """Cabandon, dabandon and swap written to three text folders and

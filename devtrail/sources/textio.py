@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import FIELD_SEP, NA_MARKER
 from ..functions.dates import valid_date
 from ..session import scratch_path
-from .text import LAYOUTS, Layout, read_delimited, read_lines, split_fields, write_delimited
+from .text import LAYOUTS, Layout, read_delimited, read_lines, read_table, split_fields, write_delimited
 
 # Where the stand-in feeds put their extra typed columns in the raw layouts
 # (the opaque payload positions); all other opaque positions are empty.
@@ -52,6 +52,27 @@ def shipment_roundtrip(spark: SparkSession, ship_orig: DataFrame) -> DataFrame:
     )
 
 
+def shipment_table_roundtrip(spark: SparkSession, shipment: DataFrame) -> DataFrame:
+    """A4/A5/A1 on a derived table: the shipment table written in its
+    31-field text layout (absent model dates as ``NA``, absent fields as
+    ``\\N``), scanned back with ``read_table`` and re-typed."""
+    path = scratch_path(spark, "shipment_table")
+    write_delimited(place(shipment, LAYOUTS["shipment"], SHIPMENT_PAYLOAD), path, null_markers={"first_mfg_date": NA_MARKER})
+    t, _ = read_table(spark, path, "shipment")
+    types = dict(shipment.dtypes)
+    return t.select(
+        F.col("imei").cast(types["imei"]).alias("imei"),
+        "model",
+        "mfg_date",
+        "shipment_date",
+        F.col("c00").cast(types["order_id"]).alias("order_id"),
+        F.col("c01").cast(types["plant_id"]).alias("plant_id"),
+        F.col("c02").alias("channel"),
+        "first_mfg_date",
+        "first_shipment_date",
+    )
+
+
 def width_guard_report(spark: SparkSession, ship_orig: DataFrame, sdac_orig: DataFrame) -> DataFrame:
     """B1: one folder scan over 29-field shipment lines and 7-field SDAC
     lines with the shipment layout -> (n_fields, accepted, n)."""
