@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators of the lifecycle engine."""
 
 from .aggregates import checkin_count, first_date_by, first_launch_date, last_date_by
-from .dedupe import dedupe, earliest_per_key, latest_per_key, top1_per_key
+from .dedupe import best_per_key, dedupe, earliest_per_key, latest_per_key, split_bound, top1_per_key
 from .events import superset_schema, timeline, to_exchange, widen, with_event_header
 from .joins import (
     enrich,
@@ -17,6 +17,7 @@ from .quality import chronology_exceptions, stale
 from .sequence import distinct_observations, failure_tag, observations, transitions
 
 __all__ = [
+    "best_per_key",
     "checkin_count",
     "chronology_exceptions",
     "dedupe",
@@ -36,6 +37,7 @@ __all__ = [
     "observations",
     "prefixed",
     "sized_broadcast",
+    "split_bound",
     "stale",
     "superset_schema",
     "timeline",

@@ -37,6 +37,38 @@ def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def best_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    latest: bool = True,
+    tie: Sequence[str] | None = None,
+) -> DataFrame:
+    """The best record per key with no bound: latest (or earliest) ``date``,
+    ties broken by ``tie`` (default: every other column, ascending).  Rows
+    with an absent date are not candidates."""
+    cand = df.filter(F.col(date).isNotNull())
+    rest = list(tie) if tie is not None else [c for c in df.columns if c not in set(keys) | {date}]
+    first = F.col(date).desc() if latest else F.col(date).asc()
+    return top1_per_key(cand, keys, [first] + [F.col(c).asc_nulls_first() for c in rest])
+
+
+def split_bound(best: DataFrame, date: str, lo=None, hi=None) -> tuple[DataFrame, DataFrame]:
+    """Split best rows into ``(good, rejects)`` by a floor ``lo`` (dates
+    ``>= lo`` are good) or a ceiling ``hi`` (dates ``< hi`` are good).
+
+    Because the order starts with the date, a key's best row is inside the
+    bound exactly when the key has any row inside it, and then it is also the
+    best of those rows -- so one window serves both outputs."""
+    if lo is not None:
+        inside = F.col(date) >= lit_date(lo)
+    elif hi is not None:
+        inside = F.col(date) < lit_date(hi)
+    else:
+        return best, best.limit(0)
+    return best.filter(inside), best.filter(~inside)
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -49,17 +81,8 @@ def latest_per_key(
     Rows with an absent date are not candidates.  Ties on the date are broken
     by ``tie`` (default: every other column, ascending).  Returns
     ``(good, rejects)``; rejects are the best rows of keys whose latest date is
-    below ``lo``.
-    """
-    cand = df.filter(F.col(date).isNotNull())
-    rest = list(tie) if tie is not None else [c for c in df.columns if c not in set(keys) | {date}]
-    order = [F.col(date).desc()] + [F.col(c).asc_nulls_first() for c in rest]
-    lo_c = lit_date(lo)
-    if lo_c is None:
-        return top1_per_key(cand, keys, order), cand.limit(0)
-    good = top1_per_key(cand.filter(F.col(date) >= lo_c), keys, order)
-    rejects = top1_per_key(cand, keys, order).filter(F.col(date) < lo_c)
-    return good, rejects
+    below ``lo``."""
+    return split_bound(best_per_key(df, keys, date, True, tie), date, lo=lo)
 
 
 def earliest_per_key(
@@ -72,17 +95,8 @@ def earliest_per_key(
     """The record with the earliest ``date`` per key; dates ``>= hi`` never win.
 
     Returns ``(good, rejects)``; rejects are the best rows of keys whose
-    earliest date is at or above ``hi``.
-    """
-    cand = df.filter(F.col(date).isNotNull())
-    rest = list(tie) if tie is not None else [c for c in df.columns if c not in set(keys) | {date}]
-    order = [F.col(date).asc()] + [F.col(c).asc_nulls_first() for c in rest]
-    hi_c = lit_date(hi)
-    if hi_c is None:
-        return top1_per_key(cand, keys, order), cand.limit(0)
-    good = top1_per_key(cand.filter(F.col(date) < hi_c), keys, order)
-    rejects = top1_per_key(cand, keys, order).filter(F.col(date) >= hi_c)
-    return good, rejects
+    earliest date is at or above ``hi``."""
+    return split_bound(best_per_key(df, keys, date, False, tie), date, hi=hi)
 
 
 def dedupe(

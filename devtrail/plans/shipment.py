@@ -11,7 +11,7 @@ from ..config import HI, LO, MAX_BROADCAST_ROWS
 from ..session import stage
 from ..functions.dates import day_of, parse_dates
 from ..operators.aggregates import checkin_count, first_date_by
-from ..operators.dedupe import earliest_per_key, latest_per_key
+from ..operators.dedupe import best_per_key, earliest_per_key, latest_per_key, split_bound
 from ..operators.joins import lookup, not_in, sized_broadcast
 from ..operators.quality import chronology_exceptions
 
@@ -59,9 +59,10 @@ def build_shipment(
     ``shipment_rejects`` (devices whose latest shipment is below ``lo``).
     """
     s = prepare_shipment(shipment_orig)
-    latest, rejects = latest_per_key(s, ["imei"], "shipment_date", lo)
-    # one dedup feeds shipment, shipment_model and through it sdac and activation
-    latest = shared(latest)
+    # one dedup, written once, feeds shipment, shipment_model (and through it
+    # sdac and activation) and the rejects
+    best = shared(best_per_key(s, ["imei"], "shipment_date", latest=True), "shipment_best")
+    latest, rejects = split_bound(best, "shipment_date", lo=lo)
     dims = model_first_dates(shipment_orig, hi)
     shipment = lookup(latest, dims, "model", max_broadcast_rows).select(
         *s.columns, "first_mfg_date", "first_shipment_date"
