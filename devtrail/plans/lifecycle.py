@@ -65,14 +65,14 @@ def run_lifecycle(
 
     cab = build_cabandon(uss, lo, as_of, days)
     dab = build_dabandon(uss, lo, as_of, days)
-    trans = shared(build_transitions(uss))
+    trans = shared(build_transitions(uss), "transitions")  # move, swap and three event tables read it
     move = trans.filter(F.col("eventtype") == "move")
     swap = trans.filter(F.col("eventtype") == "swap")
     exchange = cab["cabandon"].unionByName(dab).unionByName(swap)
 
     new_complex = build_new_complex(exchange, new_shipment)
     new_move = build_new_move(move, new_shipment)
-    nrep = build_new_repair(rep["repair"], new_shipment)
+    nrep = build_new_repair(rep["repair"], new_shipment, materialize=True)
     tl = build_timeline(ns["new_shipment_events"], new_complex, new_move, nrep["new_repair"])
 
     shipment = ship["shipment"]

@@ -72,15 +72,19 @@ def repair_exceptions(repair_orig: DataFrame, shipment: DataFrame, hi: Date = HI
     return not_in(dedup, shipment, "imei")
 
 
-def build_new_repair(repair: DataFrame, new_shipment: DataFrame) -> dict[str, DataFrame]:
+def build_new_repair(repair: DataFrame, new_shipment: DataFrame, materialize: bool = False) -> dict[str, DataFrame]:
     """Claims joined to their device's new_shipment row.
 
     ``new_repair``: event rows ``('repair', claim_date)`` + new_shipment +
     ``rep_*``; ``new_repair_exception``: claims dated before the device's
     first use (earlier of SDAC create date and activation date), laid out
-    new_shipment + ``rep_*`` without a header."""
+    new_shipment + ``rep_*`` without a header.  With ``materialize`` the join
+    is written once as a table that both outputs read (G2) -- for when they
+    are written by separate jobs."""
     rep = prefixed(repair, "rep_")
-    joined = shared(rep.join(new_shipment, F.col("rep_imei") == F.col("imei"), "inner"))
+    joined = rep.join(new_shipment, F.col("rep_imei") == F.col("imei"), "inner")
+    if materialize:
+        joined = shared(joined, "new_repair")
     body = joined.select(*new_shipment.columns, *rep.columns)
     events = with_event_header(body, "repair", "rep_claim_date")
     first_use = min_date("sdac_create_date", "act_activation_date")

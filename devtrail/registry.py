@@ -95,8 +95,9 @@ class Ctx:
 
     @cached_property
     def transitions(self) -> DataFrame:
-        # one W2 pass shared by the move and swap outputs
-        return ps.shared(px.build_transitions(self.uss))
+        # move and swap are two filters of one W2 plan; inside one query the
+        # shuffles are shared by exchange reuse, so nothing is staged here
+        return px.build_transitions(self.uss)
 
     @cached_property
     def move(self) -> DataFrame:
