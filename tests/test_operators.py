@@ -184,3 +184,13 @@ def test_timeline_keeps_duplicates_and_fills_slots(spark):
     t = timeline(a, b)
     assert t.columns == ["eventtype", "v", "w"]
     assert rows(t) == [("x", 1, None), ("x", 1, None), ("y", 2, "p")]
+
+
+def test_empty_keys_join_but_null_keys_do_not(spark):
+    # Q18: an empty text key is an ordinary value; NULL never matches in an equi join
+    from devtrail.operators import enrich
+
+    left = spark.createDataFrame([("", 1), (None, 2), ("a", 3)], "imei string, v int")
+    right = spark.createDataFrame([("", "x"), (None, "y"), ("a", "z")], "imei string, w string")
+    assert rows(enrich(left, right)) == [("", 1, "x"), ("a", 3, "z")]
+    assert rows(not_in(left, right)) == [(None, 2)]
