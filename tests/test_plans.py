@@ -1,5 +1,7 @@
 """Physical plans: the shapes the design relies on at scale."""
 
+import re
+
 import pytest
 
 from devtrail.config import HI
@@ -71,3 +73,18 @@ def test_no_python_in_any_registered_plan(spark):
     for name in ("f1_union_all", "p5_repair", "p6_new_shipment", "w2_move", "p9_new_repair_exception"):
         p = plan(QUERIES[name](spark, SF))
         assert not any(n in p for n in PY_NODES), name
+
+
+def test_broadcast_hint_survives_projection_of_the_dimension(spark):
+    # new_shipment selects/renames the P3/P4 model dimensions before joining
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan(QUERIES["p6_new_shipment"](spark, SF))
+        model_joins = re.findall(r"(\w+) \[model#\d+\], \[model#\d+\]", p)
+        assert model_joins and set(model_joins) == {"BroadcastHashJoin"}, model_joins
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
