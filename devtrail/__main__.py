@@ -2,7 +2,8 @@
 
     python -m devtrail --shipment-orig P --sdac-orig P --uss-device P --repair-orig P \\
         --out DIR [--format parquet|text] [--as-of YYYY-MM-DD] \\
-        --domestic "label,label" --overseas "label,..." [--only shipment,timeline]
+        --domestic "label,label" --overseas "label,..." [--only shipment,timeline] \\
+        [--reference-file-counts]
 
 Each input accepts a comma-separated list of paths (several folders of one
 feed).  Outputs are written under ``DIR/<table>``; ``--only`` restricts the
@@ -15,7 +16,7 @@ import argparse
 import datetime as dt
 import sys
 
-from .config import GRACE_MONTHS, HI, LO, STALE_DAYS, Buckets
+from .config import GRACE_MONTHS, HI, LO, REFERENCE_FILE_COUNTS, STALE_DAYS, Buckets
 from .plans.lifecycle import read_text_feeds, run_lifecycle, write_outputs
 
 
@@ -43,6 +44,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--checkin-source", choices=("deduped", "raw"), default="deduped")
     p.add_argument("--only", default="", help="tables to write, comma separated (default: all)")
     p.add_argument("--mode", choices=("overwrite", "errorifexists"), default="overwrite")
+    p.add_argument(
+        "--reference-file-counts", action="store_true",
+        help="write each table in the file count of the surveyed jobs (default: sized by AQE)",
+    )
     return p.parse_args(argv)
 
 
@@ -72,7 +77,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     out.update({f"{k}_bad_lines": v for k, v in bad.items()})
     only = _labels(a.only)
     chosen = {k: v for k, v in out.items() if not only or k in only}
-    write_outputs(chosen, a.out, fmt=a.format, mode=a.mode)
+    files = REFERENCE_FILE_COUNTS if a.reference_file_counts else None
+    write_outputs(chosen, a.out, fmt=a.format, mode=a.mode, num_files=files)
     return chosen
 
 

@@ -26,6 +26,33 @@ NA_MARKER = "NA"
 DATE_FORMAT = "yyyy-MM-dd"
 # Multiplicity tag of SIMs per device is capped at 2 ("several").
 CHECKIN_CAP = 2
+# Output file counts of the surveyed jobs (optional, for file-layout parity
+# with existing consumers; by default AQE sizes the files).
+REFERENCE_FILE_COUNTS = {
+    "timeline": 820,
+    "new_shipment": 500,
+    "new_shipment_events": 500,
+    "shipment": 350,
+    "new_complex": 250,
+    "sdac": 80,
+    "shipment_model": 64,
+    "new_repair": 42,
+    "cabandon": 30,
+    "dabandon": 30,
+    "repair": 20,
+    "activation_exception": 20,
+    "sdac_exception": 20,
+    "repair_exception": 20,
+    "move": 12,
+    "swap": 12,
+    "activation": 10,
+    "new_shipment_exception": 10,
+    "new_repair_exception": 10,
+    "cabandon_exception": 10,
+    "new_move": 6,
+    "dabandon_exception": 6,
+    "shipment_exception": 5,
+}
 # --- end of fixed values ---
 
 # Largest dimension that may be broadcast (rows and in-memory bytes);

@@ -196,11 +196,12 @@ def test_command_line_writes_chosen_tables(spark, raw_feeds, tmp_path):
     out = str(tmp_path / "out")
     args = [f"--{k.replace('_', '-')}={v}" for k, v in raw_feeds.items()]
     args += [f"--out={out}", "--format=text", "--as-of=2001-10-01", "--domestic=DOM", "--overseas=OVS",
-             "--only=shipment,repair,timeline,shipment_orig_bad_lines"]
+             "--only=shipment,repair,timeline,shipment_orig_bad_lines", "--reference-file-counts"]
     written = main(args, spark=spark)
     assert sorted(written) == ["repair", "shipment", "shipment_orig_bad_lines", "timeline"]
     assert len(read_lines(spark, f"{out}/shipment").collect()) == 3
     assert len(read_lines(spark, f"{out}/shipment_orig_bad_lines").collect()) == 1
+    assert len([f for f in os.listdir(f"{out}/repair") if f.startswith("part-")]) <= 20  # at most the surveyed count
 
 
 def test_later_jobs_run_on_text_intermediates(spark, outputs, tmp_path):
