@@ -27,18 +27,43 @@ SCALE_CONF = {
 }
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) one."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set a fresh local one only if unset."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for staged tables")
+        return conf
     d = conf or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def session_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "remote")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (default parallelism)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

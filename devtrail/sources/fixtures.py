@@ -131,13 +131,13 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan a stored feed (with column pruning and filter pushdown) as they do in
     production, instead of re-deriving it from the test tables per consumer.
     One file per core, so the scan is split like a landing folder of files."""
-    from ..session import scratch_path
+    from ..session import parallelism, scratch_path, session_id
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (session_id(spark), sf_dir.rstrip("/"), name)
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, f"feed-{name}")
-        df = BUILDERS[name](spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+        df = BUILDERS[name](spark, sf_dir).repartition(parallelism(spark))
         df.write.mode("errorifexists").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)
