@@ -42,10 +42,14 @@ def observations(
 ) -> DataFrame:
     """Two observations per check-in row -- the first-seen day and the
     last-seen day -- for rows where both timestamps are valid (B3)."""
-    first_d, last_d = day_of(first_ts), day_of(last_ts)
-    both = F.when(first_d.isNotNull() & last_d.isNotNull(), F.array(first_d, last_d))
-    # explode of a NULL array emits nothing: rows with an invalid timestamp drop out
-    return uss.select(F.col(uid), F.col(imei), F.col(model), F.explode(both).alias(name))
+    # parse each timestamp once, then explode; a NULL array emits nothing, so
+    # rows with an invalid timestamp drop out
+    days = uss.select(
+        F.col(uid), F.col(imei), F.col(model), day_of(first_ts).alias("__fd"), day_of(last_ts).alias("__ld")
+    )
+    fd, ld = F.col("__fd"), F.col("__ld")
+    both = F.when(fd.isNotNull() & ld.isNotNull(), F.array(fd, ld))
+    return days.select(uid, imei, model, F.explode(both).alias(name))
 
 
 def distinct_observations(obs: DataFrame) -> DataFrame:
