@@ -47,10 +47,13 @@ def best_per_key(
     """The best record per key with no bound: latest (or earliest) ``date``,
     ties broken by ``tie`` (default: every other column, ascending).  Rows
     with an absent date are not candidates."""
-    cand = df.filter(F.col(date).isNotNull())
     rest = list(tie) if tie is not None else [c for c in df.columns if c not in set(keys) | {date}]
-    first = F.col(date).desc() if latest else F.col(date).asc()
-    return top1_per_key(cand, keys, [first] + [F.col(c).asc_nulls_first() for c in rest])
+    # absent dates sort last, so a key's best row has a date whenever any of
+    # its rows has one; filtering after the window keeps a parsed date column
+    # from being evaluated twice (once in a pushed-down filter)
+    first = F.col(date).desc_nulls_last() if latest else F.col(date).asc_nulls_last()
+    best = top1_per_key(df, keys, [first] + [F.col(c).asc_nulls_first() for c in rest])
+    return best.filter(F.col(date).isNotNull())
 
 
 def split_bound(best: DataFrame, date: str, lo=None, hi=None) -> tuple[DataFrame, DataFrame]:
