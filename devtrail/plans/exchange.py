@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from ..config import LO, STALE_DAYS
 from ..functions.dates import day_of
 from ..operators.aggregates import last_date_by
-from ..operators.dedupe import latest_per_key
+from ..operators.dedupe import best_per_key, split_bound
 from ..operators.events import to_exchange
 from ..operators.joins import not_in
 from ..operators.quality import stale
 from ..operators.sequence import observations, transitions
+from ..session import stage
 
 Date = _dt.date | str | None
 
@@ -32,13 +33,17 @@ def _last_seen(uss_device: DataFrame) -> DataFrame:
 
 
 def build_cabandon(
-    uss_device: DataFrame, lo: Date = LO, as_of: Date = None, days: int = STALE_DAYS
+    uss_device: DataFrame, lo: Date = LO, as_of: Date = None, days: int = STALE_DAYS, materialize: bool = False
 ) -> dict[str, DataFrame]:
     """For each SIM its latest check-in (C1 by imsi); SIMs not seen for
     more than ``days`` days before ``as_of`` become
-    ``(imsi, 'imsi', imei, NULL, 'cabandon', day)``."""
+    ``(imsi, 'imsi', imei, NULL, 'cabandon', day)``.  ``materialize`` writes
+    the per-SIM dedup once so the rejects need no second pass."""
     uid_t, imei_t = _types(uss_device)
-    latest, rejects = latest_per_key(_last_seen(uss_device), ["imsi"], "day", lo)
+    best = best_per_key(_last_seen(uss_device), ["imsi"], "day", latest=True)
+    if materialize:
+        best = stage(best, "cabandon_best")
+    latest, rejects = split_bound(best, "day", lo=lo)
     gone = stale(latest, "day", days, as_of)
     ex = to_exchange(gone, "imsi", "imsi", "imei", None, "cabandon", "day", uid_t, imei_t)
     return {"cabandon": ex, "cabandon_rejects": rejects}

@@ -54,7 +54,7 @@ def run_lifecycle(
     uss = feeds["uss_device"]
     ship = build_shipment(feeds["shipment_orig"], lo, hi)
     sdac = build_sdac(feeds["sdac_orig"], ship["shipment_model"], hi)
-    act = build_activation(uss, ship["shipment_model"], lo, hi, checkin_source)
+    act = build_activation(uss, ship["shipment_model"], lo, hi, checkin_source, materialize=True)
     rep = build_repair(feeds["repair_orig"], feeds["shipment_orig"], buckets, lo, hi, grace)
     ns = build_new_shipment(
         ship["shipment"], sdac["sdac"], act["activation"], hi,
@@ -63,7 +63,7 @@ def run_lifecycle(
     )
     new_shipment = ns["new_shipment"]
 
-    cab = build_cabandon(uss, lo, as_of, days)
+    cab = build_cabandon(uss, lo, as_of, days, materialize=True)
     dab = build_dabandon(uss, lo, as_of, days)
     trans = shared(build_transitions(uss), "transitions")  # move, swap and three event tables read it
     move = trans.filter(F.col("eventtype") == "move")

@@ -117,16 +117,21 @@ def build_activation(
     hi: Date = HI,
     source: str = "deduped",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
     """Per shipped device its activation_date (latest last-seen day), the
     model's first_checkin_date (minimum of those over shipped devices) and the
     checkin_count (C6).  ``source='deduped'`` counts SIMs of the deduplicated
     pair as the surveyed job does (always 1); ``source='raw'`` counts distinct
-    SIMs over all valid check-ins (1 or 2 = several)."""
+    SIMs over all valid check-ins (1 or 2 = several).  ``materialize`` writes
+    the per-device dedup once so the rejects need no second pass."""
     if source not in ("deduped", "raw"):
         raise ValueError("source must be 'deduped' or 'raw'")
     u = last_checkins(uss_device)
-    latest, rejects = latest_per_key(u, ["imei"], "activation_date", lo)
+    best = best_per_key(u, ["imei"], "activation_date", latest=True)
+    if materialize:  # the rejects are written by a separate job: one dedup pass for both
+        best = shared(best, "activation_best")
+    latest, rejects = split_bound(best, "activation_date", lo=lo)
     joined = shared(latest.join(shipment_model.select("imei", "model"), "imei", "inner"))
     dims = sized_broadcast(
         first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi), max_broadcast_rows
