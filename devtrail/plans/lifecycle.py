@@ -53,9 +53,9 @@ def run_lifecycle(
     """Every output of the 18 surveyed jobs (plus rejects) from the four feeds."""
     uss = feeds["uss_device"]
     ship = build_shipment(feeds["shipment_orig"], lo, hi)
-    sdac = build_sdac(feeds["sdac_orig"], ship["shipment_model"], hi)
+    sdac = build_sdac(feeds["sdac_orig"], ship["shipment_model"], hi, materialize=True)
     act = build_activation(uss, ship["shipment_model"], lo, hi, checkin_source, materialize=True)
-    rep = build_repair(feeds["repair_orig"], feeds["shipment_orig"], buckets, lo, hi, grace)
+    rep = build_repair(feeds["repair_orig"], feeds["shipment_orig"], buckets, lo, hi, grace, materialize=True)
     ns = build_new_shipment(
         ship["shipment"], sdac["sdac"], act["activation"], hi,
         sdac_model_dates=sdac["sdac_model_dates"], activation_model_dates=act["activation_model_dates"],

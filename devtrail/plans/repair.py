@@ -11,7 +11,7 @@ from ..config import GRACE_MONTHS, HI, LO, Buckets
 from ..functions.dates import as_int, in_order, min_date, parse_dates
 from ..functions.warranty import warranty_tag
 from ..operators.aggregates import last_date_by
-from ..operators.dedupe import dedupe
+from ..operators.dedupe import best_per_key, dedupe, split_bound
 from ..operators.events import with_event_header
 from ..operators.joins import not_in, prefixed
 from ..operators.sequence import failure_tag
@@ -47,14 +47,19 @@ def build_repair(
     lo: Date = LO,
     hi: Date = HI,
     grace: int = GRACE_MONTHS,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
     """P5: deduplicated claims of shipped devices with ``failure_count``
     (W1) and ``is_real_in_warranty`` (D5).
 
     ``repair_rejects``: claims at/after ``hi``; ``repair_period_rejects``:
     shipped claims whose warranty period is not a number (the surveyed job
-    aborts on them)."""
-    dedup, rejects = dedupe_repair(repair_orig, hi)
+    aborts on them).  ``materialize`` writes the dedup once so the rejects
+    need no second pass."""
+    best = best_per_key(prepare_repair(repair_orig), ["imei", "claim_date"], "claim_date", latest=False)
+    if materialize:
+        best = shared(best, "repair_best")
+    dedup, rejects = split_bound(best, "claim_date", hi=hi)
     tagged = failure_tag(dedup, "imei", "claim_date")
     joined = tagged.join(last_shipment_dates(shipment_orig, lo), "imei", "inner")
     good = joined.filter(F.col("warranty_period").isNotNull())

@@ -86,11 +86,16 @@ def build_sdac(
     shipment_model: DataFrame,
     hi: Date = HI,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
     """Earliest SDAC record per shipped device plus the model's
     first_sdac_date (computed after the dedup and the join, over shipped
-    devices only)."""
-    first, rejects = earliest_sdac(sdac_orig, hi)
+    devices only).  ``materialize`` writes the per-device dedup once so the
+    rejects need no second pass."""
+    best = best_per_key(parse_dates(sdac_orig, "create_date"), ["imei"], "create_date", latest=False)
+    if materialize:
+        best = shared(best, "sdac_best")
+    first, rejects = split_bound(best, "create_date", hi=hi)
     joined = shared(first.join(shipment_model.select("imei", "model"), "imei", "inner"))
     dims = sized_broadcast(first_date_by(joined, "model", {"first_sdac_date": "create_date"}, hi), max_broadcast_rows)
     sdac = joined.join(dims, "model", "left").select(*first.columns, "first_sdac_date")
