@@ -221,3 +221,18 @@ def test_later_jobs_run_on_text_intermediates(spark, outputs, tmp_path):
     rep = build_new_repair(t["repair"], t["new_shipment"])
     assert rows(rep["new_repair_exception"]) == rows(outputs["new_repair_exception"])
 
+
+
+def test_read_table_markers_and_types(spark, tmp_path):
+    from devtrail.sources.text import read_table
+
+    p = write_feed(str(tmp_path), "activation", [
+        SEP.join(["d1", "2001-06-01", "NA", "1"]),
+        SEP.join(["d2", "\\N", "2001-02-31", "x"]),
+        SEP.join(["short", "line"]),
+    ])
+    t, rejects = read_table(spark, p, "activation")
+    assert dict(t.dtypes) == {"imei": "string", "activation_date": "date", "first_checkin_date": "date",
+                              "checkin_count": "bigint"}
+    assert rows(t) == [("d1", D(2001, 6, 1), None, 1), ("d2", None, None, None)]
+    assert rejects.count() == 1
