@@ -34,7 +34,7 @@ def brute_components(fps, distance=3):
             root[find(int(k))] = find(int(o))
     low = {}
     for k in root:
-        low[find(k)] = min(low.get(find(k), 1 << 62), min(by[k]))
+        low[find(k)] = min(low.get(find(k), by[k][0]), min(by[k]))
     return {i: low[find(f)] for i, f in fps.items()}
 
 
