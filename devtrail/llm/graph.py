@@ -12,24 +12,29 @@ from pyspark.sql import functions as F
 from devtrail.session import stage
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links as links of each node to the smallest of its local component."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = flat[: len(a)], flat[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        while not np.array_equal(new, jumped := new[new]):
+            new = jumped
+        if np.array_equal(new, root):
+            break
+        root = new
+    far = root != np.arange(len(nodes))
+    return nodes[far], nodes[root[far]]
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each batch of links as links to the smallest member of its local component."""
-    for b in batches:
-        nodes, flat = np.unique(np.concatenate([b["a"].to_numpy(), b["b"].to_numpy()]), return_inverse=True)
-        u, v = flat[: len(b)], flat[len(b):]
-        root = np.arange(len(nodes))
-        while True:
-            low = np.minimum(root[u], root[v])
-            new = root.copy()
-            np.minimum.at(new, root[u], low)
-            np.minimum.at(new, root[v], low)
-            while not np.array_equal(new, jumped := new[new]):
-                new = jumped
-            if np.array_equal(new, root):
-                break
-            root = new
-        far = root != np.arange(len(nodes))
-        yield pd.DataFrame({"a": nodes[far], "b": nodes[root[far]]})
+    for x in batches:
+        a, b = stars(x["a"].to_numpy(), x["b"].to_numpy())
+        yield pd.DataFrame({"a": a, "b": b})
 
 
 def components(links: DataFrame) -> DataFrame:

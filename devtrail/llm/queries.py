@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from devtrail.llm import mixing, secrets, simhash, toxicity
+from devtrail.llm import chat, embeddings, lines, mixing, packing, quality, secrets, simhash, topk, toxicity
 
 QUERIES = {
+    "op1_pack": packing.op1_pack,
     "op2_secret_scan": secrets.op2_secret_scan,
+    "op3_quality": quality.op3_quality,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op5_chat_format": chat.op5_chat_format,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_embedding_dedup": embeddings.op7_embedding_dedup,
+    "op8_line_dedup": lines.op8_line_dedup,
+    "op9_exact_topk": topk.op9_exact_topk,
     "op10_simhash_dedup": simhash.op10_simhash_dedup,
 }
 
-ORACLE = {"op4_mix_sources": mixing.OP4_SQL}
+ORACLE = {
+    "op4_mix_sources": mixing.OP4_SQL,
+    "op5_chat_format": chat.OP5_SQL,
+    "op8_line_dedup": lines.OP8_SQL,
+    "op9_exact_topk": topk.OP9_SQL,
+}
