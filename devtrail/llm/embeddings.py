@@ -103,7 +103,7 @@ def _linker(cosine: float):
                     times[hit] = -100
                 else:
                     times += hit
-            i, j = np.nonzero(times >= COUNT)
+            i, j = np.nonzero(mine & (times >= COUNT))
             if not len(i):
                 continue
             i, j = i + s, j + s
