@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devtrail.llm import mixing, simhash, toxicity
-from devtrail.llm.common import table, words_of
+from devtrail.llm import lines, mixing, packing, simhash, toxicity
+from devtrail.llm.common import WORD, table, words_of
 from devtrail.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,12 +22,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("toxic = 0").select(*COLUMNS)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of many sites go, but for their first place."""
+    clean = lines.dedup_lines(docs.select(*COLUMNS))
+    return clean.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
     return simhash.one_of_each(simhash.simhash_dedup(docs.select(*COLUMNS)))
 
 
-STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_copies)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents that it takes, once for each time it takes them; the
+    one in service when a source's target is met keeps its words up to there."""
+    mixed = mixing.mix(docs.select(*COLUMNS, words_of("text").alias("size"))).where("take > 0")
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("take").cast("int")), "")
+    partly = F.col("take") < F.col("size")
+    mixed = mixed.withColumn("text", F.when(partly, cut).otherwise(F.col("text")))
+    return mixed.withColumn("n_chars", F.when(partly, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training sequences, one row per piece of a document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("simhash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 #: Classifier and packing are beyond SQL.
 ORACLE_SQL = None
@@ -37,5 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

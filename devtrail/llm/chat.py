@@ -88,11 +88,11 @@ WITH t AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 p AS (SELECT *, 24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\n'))
     + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars,
-    row_number() OVER w AS at, count(*) OVER (PARTITION BY conv_id) AS n FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-c AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS upto FROM p)
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+    row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+c AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS upto FROM p)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY at) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(upto) FILTER (role = 'assistant' OR at = n) AS BIGINT) AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR k = n) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """

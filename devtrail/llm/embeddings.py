@@ -170,3 +170,17 @@ def embedding_dedup(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(vec_id, reach) AS (SELECT DISTINCT a, a FROM l UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+  coalesce(e.vec_id = coalesce(component_id, e.vec_id), false) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.vec_id LEFT JOIN c ON e.vec_id = c.vec_id
+"""

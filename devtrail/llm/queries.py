@@ -20,6 +20,7 @@ QUERIES = {
 ORACLE = {
     "op4_mix_sources": mixing.OP4_SQL,
     "op5_chat_format": chat.OP5_SQL,
+    "op7_embedding_dedup": embeddings.OP7_SQL,
     "op8_line_dedup": lines.OP8_SQL,
     "op9_exact_topk": topk.OP9_SQL,
 }

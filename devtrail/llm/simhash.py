@@ -74,15 +74,29 @@ def _keys(fp: str, distance: int) -> Column:
     return F.array(*keys)
 
 
+def _chains(distance: int) -> list[list[tuple[np.uint64, int]]]:
+    """Per start on the ring: the bits of the longest chain of each budget,
+    with that budget.  Shorter chains of the same budget hold then, too."""
+    budget = _budgets(distance)
+    longest = [n for n in range(1, SEGMENTS + 1) if n == SEGMENTS or budget[n] > budget[n - 1]]
+    bits = lambda start, n: sum(255 << 8 * ((start + i) % SEGMENTS) for i in range(n))
+    return [[(np.uint64(bits(start, n)), budget[n - 1]) for n in longest] for start in range(SEGMENTS)]
+
+
 def _linker(distance: int):
-    budget = np.array(_budgets(distance))
+    chains = _chains(distance)
 
     def near(fps: np.ndarray, fp: np.uint64, start: int) -> np.ndarray:
-        """Whether each fingerprint passes the chain that began at ``start``,
-        and then the full Hamming check (the chain's last budget)."""
-        part = np.bitwise_count((fps ^ fp).view(np.uint8)).reshape(-1, SEGMENTS)
-        chain = np.cumsum(np.roll(part, -start, axis=1), axis=1, dtype=np.int64)
-        return (chain <= budget).all(axis=1)
+        """Whether each fingerprint keeps within the budgets of the chains that
+        begin at ``start``; the last one, the whole ring, is the full Hamming
+        check and sees only what the shorter ones have left."""
+        differ = fps ^ fp
+        at = np.arange(len(fps))
+        for mask, budget in chains[start]:
+            at = at[np.bitwise_count(differ[at] & mask) <= budget]
+        out = np.zeros(len(fps), bool)
+        out[at] = True
+        return out
 
     def bucket(fps: np.ndarray, start: int, a: list, b: list) -> None:
         """A spanning forest of a bucket's links: all of them are found, those

@@ -1,0 +1,72 @@
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from devtrail.llm.quality import ALPHABET, ORDER, classify_quality, op3_quality
+from tests.llm.conftest import SF
+
+
+def brute_model(texts):
+    """Interpolated modified Kneser-Ney over characters, straight from the definition."""
+    top = Counter()
+    for t in texts:
+        s = "\x02" * (ORDER - 1) + t + "\x03"
+        top.update(s[i:i + ORDER] for i in range(len(s) - ORDER + 1))
+    levels = {ORDER: top}
+    for m in range(ORDER - 1, 0, -1):
+        levels[m] = Counter(g[1:] for g in levels[m + 1])
+    cuts = {}
+    for m, c in levels.items():
+        n = [0] + [sum(x == k for x in c.values()) for k in (1, 2, 3, 4)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0
+        cuts[m] = [min(float(k), max(0.05, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else 0.5 for k in (1, 2, 3)]
+    cut = lambda m, x: cuts[m][min(x, 3) - 1]
+    heads = {m: {} for m in levels}
+    for m, c in levels.items():
+        for g, x in c.items():
+            t, h = heads[m].get(g[:-1], (0, 0.0))
+            heads[m][g[:-1]] = (t + x, h + cut(m, x))
+
+    def p(g):
+        m = len(g)
+        back = p(g[1:]) if m > 1 else 1 / ALPHABET
+        if g[:-1] not in heads[m]:
+            return back
+        total, held = heads[m][g[:-1]]
+        x = levels[m].get(g, 0)
+        return ((x - cut(m, x)) if x else 0.0) / total + held / total * back
+
+    def perplexity(t):
+        s = "\x02" * (ORDER - 1) + t + "\x03"
+        logs = [math.log(p(s[i:i + ORDER])) for i in range(len(s) - ORDER + 1)]
+        return math.exp(-sum(logs) / len(logs))
+    return perplexity
+
+
+def test_perplexity_against_the_definition(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).select("doc_id", F.substring("text", 1, 300).alias("text"), "lang")
+    rows = docs.collect()
+    docs = spark.createDataFrame(rows, docs.schema)
+    trusted = sorted(r.doc_id for r in rows)[::2]
+    want = brute_model([r.text for r in rows if r.doc_id in trusted])
+    got = {r.doc_id: r for r in classify_quality(docs, spark.createDataFrame([(i,) for i in trusted * 2], "doc_id long")).collect()}
+    for r in rows:
+        assert got[r.doc_id].perplexity == pytest.approx(want(r.text), rel=1e-9)
+
+
+def test_junk_goes_and_good_text_stays(spark):
+    out = op3_quality(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
+    n = {r.quality: (r.n, r.kept) for r in out.groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert n[1][1] >= 0.98 * n[1][0] and n[0][1] <= 0.15 * n[0][0]
+
+
+def test_odd_rows(spark, odd_docs):
+    trusted = spark.createDataFrame([(1,), (4,), (None,), (4,)], "doc_id long")
+    out = classify_quality(odd_docs.withColumn("kept", F.lit("clash")).withColumn("own", F.lit(1)), trusted)
+    rows = out.collect()
+    assert len(rows) == 10 and out.columns == [*odd_docs.columns, "own", "perplexity", "perplexity_low", "perplexity_high", "kept"]
+    assert all((r.perplexity is None) == (not r.text) and (r.kept is False if not r.text else True) for r in rows)
+    assert classify_quality(odd_docs.limit(0), trusted).count() == 0
+    assert all(r.kept == bool(r.text) for r in classify_quality(odd_docs, trusted.limit(0)).collect())

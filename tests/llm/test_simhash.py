@@ -4,7 +4,8 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from devtrail.llm.simhash import BLOCK, one_of_each, op10_simhash_dedup, simhash_dedup, simhash_links
+from devtrail.llm import simhash
+from devtrail.llm.simhash import one_of_each, op10_simhash_dedup, simhash_dedup, simhash_links
 from tests.llm.conftest import SF
 
 
@@ -46,7 +47,8 @@ def test_query_against_brute_force(spark, docs):
     assert len({c for _, c in got.values()}) < len(got)
 
 
-def test_dense_groups_and_every_distance(spark):
+def test_dense_groups_and_every_distance(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 128)
     rnd = random.Random(3)
     fps = set()
     for _ in range(40):
@@ -57,7 +59,7 @@ def test_dense_groups_and_every_distance(spark):
                 f ^= 1 << b
             fps.add(f)
     base = rnd.getrandbits(64)  # one bucket of more than a block
-    fps |= {base ^ (rnd.getrandbits(13) << 48) for _ in range(3 * BLOCK)}
+    fps |= {base ^ (rnd.getrandbits(10) << 48) for _ in range(700)}
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
     from devtrail.llm.graph import components
