@@ -17,7 +17,8 @@ import datetime as dt
 import sys
 
 from .config import GRACE_MONTHS, HI, LO, REFERENCE_FILE_COUNTS, STALE_DAYS, Buckets
-from .plans.lifecycle import read_text_feeds, run_lifecycle, write_outputs
+from .plans.lifecycle import BUCKET_TABLES, FEEDS, TABLES, read_text_feeds, run_lifecycle, write_outputs
+from .session import run_scratch, scale_out
 
 
 def _date(s: str | None) -> dt.date | None:
@@ -48,7 +49,14 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
         "--reference-file-counts", action="store_true",
         help="write each table in the file count of the surveyed jobs (default: sized by AQE)",
     )
-    return p.parse_args(argv)
+    a = p.parse_args(argv)
+    only = _labels(a.only)
+    known = {*TABLES, *(f"{f}_bad_lines" for f in FEEDS)}
+    if unknown := sorted(set(only) - known):
+        p.error(f"unknown tables: {', '.join(unknown)}")
+    if not (a.domestic or a.overseas) and (not only or set(only) & set(BUCKET_TABLES)):
+        p.error(f"--domestic and --overseas are needed for {', '.join(BUCKET_TABLES)}")
+    return a
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
@@ -56,7 +64,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     if spark is None:
         from pyspark.sql import SparkSession
 
-        spark = SparkSession.builder.appName("devtrail").getOrCreate()
+        spark = scale_out(SparkSession.builder.appName("devtrail").getOrCreate())
     paths = {
         "shipment_orig": a.shipment_orig.split(","),
         "sdac_orig": a.sdac_orig.split(","),
@@ -64,21 +72,25 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         "repair_orig": a.repair_orig.split(","),
     }
     feeds, bad = read_text_feeds(spark, paths)
-    out = run_lifecycle(
-        feeds,
-        Buckets(_labels(a.domestic), _labels(a.overseas)),
-        lo=_date(a.lo),
-        hi=_date(a.hi),
-        as_of=_date(a.as_of),
-        days=a.stale_days,
-        grace=a.grace_months,
-        checkin_source=a.checkin_source,
-    )
-    out.update({f"{k}_bad_lines": v for k, v in bad.items()})
     only = _labels(a.only)
-    chosen = {k: v for k, v in out.items() if not only or k in only}
-    files = REFERENCE_FILE_COUNTS if a.reference_file_counts else None
-    write_outputs(chosen, a.out, fmt=a.format, mode=a.mode, num_files=files)
+    lines = {f"{k}_bad_lines": v for k, v in bad.items() if not only or f"{k}_bad_lines" in only}
+    tables = [x for x in only if x in TABLES] if only else list(TABLES)
+    with run_scratch(spark):
+        chosen = run_lifecycle(
+            feeds,
+            Buckets(_labels(a.domestic), _labels(a.overseas)),
+            lo=_date(a.lo),
+            hi=_date(a.hi),
+            as_of=_date(a.as_of),
+            days=a.stale_days,
+            grace=a.grace_months,
+            checkin_source=a.checkin_source,
+            only=tables,
+            land=True,
+        ) if tables else {}
+        chosen.update(lines)
+        files = REFERENCE_FILE_COUNTS if a.reference_file_counts else None
+        write_outputs(chosen, a.out, fmt=a.format, mode=a.mode, num_files=files)
     return chosen
 
 

@@ -74,7 +74,7 @@ def within_period(
     """``'1'`` if ``end`` is at most ``months`` x 30 days after ``start``
     (an end before the start counts as within), ``'2'`` if later, and ``'4'``
     when a date is absent or the period is not positive."""
-    start, end, months = col(start), col(end), col(months)
+    start, end, months = col(start), col(end), col(months).cast("bigint")  # any period, no overflow
     ok = start.isNotNull() & end.isNotNull() & (months > 0)
     inside = F.date_diff(end, start) <= months * F.lit(days_per_month)
     return F.when(ok, F.when(inside, F.lit("1")).otherwise(F.lit("2"))).otherwise(F.lit("4"))

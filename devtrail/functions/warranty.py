@@ -47,7 +47,7 @@ def warranty_tag(
     ds, purchase, claim, ship, m = (
         col(data_source), col(purchase_date), col(claim_date), col(shipment_date), col(months)
     )
-    from_ship = within_period(ship, claim, m + F.lit(grace), days_per_month)
+    from_ship = within_period(ship, claim, m.cast("bigint") + F.lit(grace), days_per_month)
     domestic = F.when(purchase.isNotNull(), within_period(purchase, claim, m, days_per_month)).otherwise(
         from_ship
     )

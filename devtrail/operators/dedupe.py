@@ -25,12 +25,6 @@ from ..functions.dates import lit_date
 _RN = "__rn"
 
 
-def tie_order(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
-    """Ascending, nulls-first order over every column not in ``exclude``."""
-    skip = set(exclude)
-    return [F.col(c).asc_nulls_first() for c in df.columns if c not in skip]
-
-
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key group under ``order`` (row_number == 1)."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -20,15 +20,6 @@ from ..functions.dates import col
 EXCHANGE_COLUMNS = ("uid", "uidtype", "imei", "toimei", "eventtype", "eventdate")
 
 
-def _val(v, dtype: str | None = None) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, str):
-        return F.col(v)
-    c = F.lit(v)
-    return c.cast(dtype) if dtype else c
-
-
 def with_event_header(df: DataFrame, eventtype: str | Column, eventdate: str | Column) -> DataFrame:
     """Prepend ``(eventtype, eventdate)``.  ``eventtype`` given as ``str``
     is a literal type name; dates are column names or Columns."""

@@ -51,13 +51,14 @@ def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def enrich(df: DataFrame, other: DataFrame, key: str = "imei", how: str = "inner") -> DataFrame:
-    """E1 (inner) / E2 (``how='left'``): enrich a fact by device."""
-    return df.join(other, on=key, how=how)
+    """E1 (inner) / E2 (``how='left'``): enrich a fact by device.  The fact's
+    columns keep their places, the other side's follow."""
+    return df.join(other, on=key, how=how).select(*df.columns, *(c for c in other.columns if c != key))
 
 
 def enrich_left(df: DataFrame, other: DataFrame, key: str = "imei") -> DataFrame:
     """Keep every row of ``df``; unmatched rows get NULL columns (D3)."""
-    return df.join(other, on=key, how="left")
+    return enrich(df, other, key, "left")
 
 
 def full_outer_by(a: DataFrame, b: DataFrame, key: str = "model") -> DataFrame:
@@ -67,10 +68,11 @@ def full_outer_by(a: DataFrame, b: DataFrame, key: str = "model") -> DataFrame:
 
 def not_in(df: DataFrame, ref: DataFrame, key: str = "imei", ref_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``ref`` (duplicates on
-    the left are kept).  The reference keys are reduced to a distinct set by a
-    partial aggregation whose hash partitioning the anti join reuses."""
+    the left are kept), every column in its place.  The reference keys are
+    reduced to a distinct set by a partial aggregation whose hash partitioning
+    the anti join reuses."""
     keys = ref.select(F.col(ref_key or key).alias(key)).distinct()
-    return df.join(keys, on=key, how="left_anti")
+    return df.join(keys, on=key, how="left_anti").select(*df.columns)
 
 
 def lookup(
@@ -82,7 +84,7 @@ def lookup(
 ) -> DataFrame:
     """E5: left-join a per-``key`` dimension through ``sized_broadcast``;
     a missing key gives NULL (rendered ``NA``)."""
-    return df.join(sized_broadcast(dim, max_rows, max_bytes), on=key, how="left")
+    return enrich_left(df, sized_broadcast(dim, max_rows, max_bytes), key)
 
 
 def join_both_ends(

@@ -24,11 +24,12 @@ from ..functions.dates import day_of
 
 def failure_tag(df: DataFrame, key: str = "imei", date: str = "claim_date", name: str = "failure_count") -> DataFrame:
     """``'1'`` for the row at the key's first date, ``'2'`` for every later
-    one.  Expects one row per (key, date) -- the output of ``dedupe``."""
-    first = df.groupBy(key).agg(F.min(date).alias("__first"))
-    tagged = df.join(first, on=key, how="inner")
-    tag = F.when(F.col(date) == F.col("__first"), F.lit("1")).otherwise(F.lit("2"))
-    return tagged.withColumn(name, tag).drop("__first").select(*df.columns, name)
+    one.  Expects one row per (key, date) -- the output of ``dedupe`` -- so a
+    key's window holds at most one row per calendar day; its partitioning by
+    key serves the join that follows.  Rows with a null key or date drop out."""
+    known = df.filter(F.col(key).isNotNull() & F.col(date).isNotNull())
+    first = F.min(date).over(Window.partitionBy(key))
+    return known.withColumn(name, F.when(F.col(date) == first, F.lit("1")).otherwise(F.lit("2")))
 
 
 def observations(

@@ -106,6 +106,11 @@ SELECT data_source, imei, {guard('claim_date')} AS claim_date, {guard('purchase_
 SELECT * FROM rt WHERE claim_date < {HI}
 QUALIFY row_number() OVER (PARTITION BY imei, claim_date ORDER BY data_source ASC NULLS FIRST,
   purchase_date ASC NULLS FIRST, warranty_period ASC NULLS FIRST, claim_id ASC NULLS FIRST) = 1"""),
+    "rep_read": (["repair_orig"], f"""
+SELECT * FROM (SELECT data_source, imei, {guard('claim_date')} AS claim_date, purchase_date, warranty_period, claim_id,
+  {guard('purchase_date')} AS p, TRY_CAST(warranty_period AS INTEGER) AS w FROM repair_orig) WHERE claim_date < {HI}
+QUALIFY row_number() OVER (PARTITION BY imei, claim_date ORDER BY data_source ASC NULLS FIRST,
+  p ASC NULLS FIRST, w ASC NULLS FIRST, claim_id ASC NULLS FIRST) = 1"""),
     "rep_tagged": (["rep_dedup"], """
 SELECT *, CASE WHEN row_number() OVER (PARTITION BY imei ORDER BY claim_date) = 1 THEN '1' ELSE '2' END AS failure_count
 FROM rep_dedup"""),
@@ -329,8 +334,8 @@ WHERE {day('last_ts')} >= {LO}
 QUALIFY row_number() OVER (PARTITION BY imei ORDER BY {day('last_ts')} DESC, imsi ASC NULLS FIRST,
   model ASC NULLS FIRST, first_ts ASC NULLS FIRST, last_ts ASC NULLS FIRST) = 1
   AND imei NOT IN (SELECT imei FROM shipment)""")
-q("e4_repair_not_shipped", ["rep_dedup", "shipment"], """
-SELECT * FROM rep_dedup WHERE imei NOT IN (SELECT imei FROM shipment)""")
+q("e4_repair_not_shipped", ["rep_read", "shipment"], """
+SELECT * EXCLUDE (p, w) FROM rep_read WHERE imei NOT IN (SELECT imei FROM shipment)""")
 q("e4_cabandon_not_shipped", ["cabandon", "shipment"], """
 SELECT * FROM cabandon WHERE imei NOT IN (SELECT imei FROM shipment)""")
 q("e4_dabandon_not_shipped", ["dabandon", "shipment"], """
@@ -363,5 +368,48 @@ q("a1_text_roundtrip", ["shipment_orig"], "SELECT * FROM shipment_orig")
 q("a2_multi_path_scan", ["exchange"], "SELECT * FROM exchange")
 q("a4_shipment_text_roundtrip", ["shipment"], "SELECT * FROM shipment")
 q("a5_ragged_render", ["timeline"], """
-SELECT eventtype, CASE eventtype WHEN 'shipment' THEN 20 WHEN 'repair' THEN 34 WHEN 'move' THEN 52 ELSE 26 END
+SELECT eventtype, CASE eventtype WHEN 'shipment' THEN 46 WHEN 'repair' THEN 91 WHEN 'move' THEN 135 ELSE 52 END
        AS n_fields, count(*) AS n FROM timeline GROUP BY ALL""")
+
+
+def _t(c: str, absent: str = "\\N") -> str:
+    return f"coalesce(CAST({c} AS VARCHAR), '{absent}')"
+
+
+# Text outputs by position: number of fields, then the text of some of them.
+q("e4_sdac_text", ["sdac_first", "shipment"], f"""
+SELECT 7 AS n_fields, {_t('imei')} AS f1, {_t('create_date')} AS f4 FROM sdac_first WHERE imei NOT IN (SELECT imei FROM shipment)""")
+q("e4_activation_text", ["uss_device", "shipment"], f"""
+SELECT 13 AS n_fields, {_t('imei')} AS f3, {_t('imsi')} AS f4, {_t('last_ts')} AS f10 FROM uss_device
+WHERE {day('last_ts')} >= {LO}
+QUALIFY row_number() OVER (PARTITION BY imei ORDER BY {day('last_ts')} DESC, imsi ASC NULLS FIRST,
+  model ASC NULLS FIRST, first_ts ASC NULLS FIRST, last_ts ASC NULLS FIRST) = 1
+  AND imei NOT IN (SELECT imei FROM shipment)""")
+q("e4_repair_text", ["rep_read", "shipment"], f"""
+SELECT 37 AS n_fields, {_t('imei')} AS f4, {_t('claim_date')} AS f13, {_t('purchase_date')} AS f14, {_t('warranty_period')} AS f27
+FROM rep_read WHERE imei NOT IN (SELECT imei FROM shipment)""")
+for _table in ("cabandon", "dabandon"):
+    q(f"e4_{_table}_text", [_table, "shipment"], f"""
+SELECT 6 AS n_fields, {_t('uid', 'NA')} AS f0, {_t('uidtype', 'NA')} AS f1, {_t('imei')} AS f2, {_t('toimei', 'NA')} AS f3, eventtype AS f4,
+  {_t('eventdate')} AS f5 FROM {_table} WHERE imei NOT IN (SELECT imei FROM shipment)""")
+_SHIP_TEXT = f"""eventtype AS f0, {_t('eventdate')} AS f1, {_t('imei')} AS f11, {_t('first_mfg_date', 'NA')} AS f31, {_t('sdac_imei')} AS f34,
+  {_t('first_launch_date', 'NA')} AS f45"""
+_XCHG_TEXT = f"{_t('xchg_uid', 'NA')} AS f46, {_t('xchg_uidtype', 'NA')} AS f47, {_t('xchg_toimei', 'NA')} AS f49"
+q("a5_complex_text", ["new_complex"], f"""
+SELECT 52 AS n_fields, {_SHIP_TEXT}, {_XCHG_TEXT}, NULL AS f56, NULL AS f90, NULL AS f100, NULL AS f134 FROM new_complex""")
+q("a5_move_text", ["new_move"], f"""
+SELECT 135 AS n_fields, {_SHIP_TEXT}, {_XCHG_TEXT}, '\\N' AS f56, '\\N' AS f90, {_t('to_imei')} AS f100, {_t('to_first_launch_date', 'NA')} AS f134
+FROM new_move""")
+q("a5_repair_text", ["new_repair"], f"""
+SELECT 91 AS n_fields, {_SHIP_TEXT}, '\\N' AS f46, '\\N' AS f47, '\\N' AS f49, {_t('rep_imei')} AS f56, {_t('rep_is_real_in_warranty')} AS f90,
+  NULL AS f100, NULL AS f134 FROM new_repair""")
+_GUARDS = {"shipment_orig": guard("shipment_date"), "sdac_orig": guard("create_date"), "uss_device": day("last_ts"), "repair_orig": guard("claim_date")}
+q("b2_date_rejects", list(_GUARDS), " UNION ALL ".join(
+    f"SELECT '{f}' AS feed, count(*) AS records, count(*) FILTER (({g}) IS NULL) AS rejects, count({g}) AS good FROM {f}" for f, g in _GUARDS.items()))
+q("d5_warranty_tag_any_period", ["rt"], f"""
+SELECT period, CASE WHEN period < 0 THEN '3'
+       WHEN data_source IN {DOMESTIC} THEN
+         CASE WHEN purchase_date IS NOT NULL THEN {within('purchase_date', 'claim_date', 'CAST(period AS BIGINT)')} ELSE '4' END
+       WHEN data_source IN {OVERSEAS} THEN {within('purchase_date', 'claim_date', 'CAST(period AS BIGINT) + 3')}
+       ELSE '0' END AS tag, count(*) AS n
+FROM rt, (SELECT unnest([99999999, 2147483647, -2147483648]) AS period) GROUP BY ALL""")

@@ -67,16 +67,6 @@ def build_transitions(uss_device: DataFrame, kind: str | None = None) -> DataFra
     return to_exchange(t, "imsi", "imsi", "from_imei", "to_imei", F.col("kind"), "eventdate", uid_t, imei_t)
 
 
-def build_move(uss_device: DataFrame) -> DataFrame:
-    """The SIM moved to a device of another model."""
-    return build_transitions(uss_device, "move")
-
-
-def build_swap(uss_device: DataFrame) -> DataFrame:
-    """The SIM moved to another unit of the same model."""
-    return build_transitions(uss_device, "swap")
-
-
 def exchange_exceptions(exchange: DataFrame, shipment: DataFrame) -> DataFrame:
     """Exchange records whose device is absent from shipment."""
     return not_in(exchange, shipment, "imei")

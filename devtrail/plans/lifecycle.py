@@ -1,24 +1,26 @@
 """All jobs in one session: feeds in, every table of the lifecycle out.
 
-``run_lifecycle`` composes the plans; the shared intermediates (the
-shipment dedup, the dimension joins, new_shipment, the SIM transitions) are
-written once as tables in the shared checkpoint folder, so each is computed
-once although several outputs read it, and lineage stays short.  ``write_outputs`` writes each table
-once -- Parquet by default, or the positional Ctrl-A text layout.
+``Lifecycle`` builds a table and what it depends on when it is asked for it.
+Intermediates that several outputs read (the dedups, the dimension joins,
+new_shipment, the abandoned devices, the SIM transitions and the event joins)
+are written once as tables in the shared checkpoint folder, so each is computed
+once and lineage stays short.  ``write_outputs`` writes each table once --
+Parquet by default, or the positional Ctrl-A text layout.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping, Sequence
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import GRACE_MONTHS, HI, LO, NA_MARKER, NULL_MARKER, STALE_DAYS, Buckets
-from ..operators.events import widen
+from ..config import GRACE_MONTHS, HI, LO, STALE_DAYS, Buckets
+from ..functions.dates import day_of, valid_date
 from ..sources.text import LAYOUTS, read_delimited, write_delimited, write_table
-from ..sources.textio import ragged_width
+from ..sources.textio import null_markers, write_event_text
 from .exchange import build_cabandon, build_dabandon, build_transitions, exchange_exceptions
 from .repair import build_new_repair, build_repair, repair_exceptions
 from .shipment import activation_exceptions, build_activation, build_sdac, build_shipment, sdac_exceptions, shared
@@ -40,96 +42,171 @@ def read_text_feeds(
     return feeds, rejects
 
 
+#: The date that a feed's record is chosen by; without it a record is a reject.
+KEY_DATES = {"shipment_orig": "shipment_date", "sdac_orig": "create_date", "uss_device": "last_ts", "repair_orig": "claim_date"}
+
+
+def date_rejects(feed: DataFrame, name: str) -> DataFrame:
+    """Q7: the feed's records whose key date fails its guard (B2, B3 for the
+    check-in timestamp), as they came."""
+    date = KEY_DATES[name]
+    guard = day_of if name == "uss_device" else valid_date
+    return feed.filter(guard(date).isNull())
+
+
+class Lifecycle:
+    """The tables of the 18 surveyed jobs by name, each built on demand.
+
+    ``land`` writes each feed that is needed once as a Parquet table before
+    anything reads it (for feeds scanned from text).  Without ``materialize``
+    intermediates stay in one plan, for a caller that wants a single table;
+    ``share_new_shipment`` then still stages new_shipment alone."""
+
+    def __init__(
+        self,
+        feeds: Mapping[str, DataFrame],
+        buckets: Buckets,
+        lo: Date = LO,
+        hi: Date = HI,
+        as_of: Date = None,
+        days: int = STALE_DAYS,
+        grace: int = GRACE_MONTHS,
+        checkin_source: str = "deduped",
+        land: bool = False,
+        materialize: bool = True,
+        share_new_shipment: bool = False,
+    ):
+        self.feeds, self.buckets, self.lo, self.hi, self.as_of, self.days = feeds, buckets, lo, hi, as_of, days
+        self.grace, self.checkin_source, self.land = grace, checkin_source, land
+        self.materialize, self.share_new_shipment = materialize, share_new_shipment
+        self._landed: dict[str, DataFrame] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return shared(df, name) if self.materialize else df
+
+    def feed(self, name: str) -> DataFrame:
+        if name not in self._landed:
+            self._landed[name] = shared(self.feeds[name], f"feed-{name}") if self.land else self.feeds[name]
+        return self._landed[name]
+
+    @cached_property
+    def ship(self) -> dict[str, DataFrame]:
+        return build_shipment(self.feed("shipment_orig"), self.lo, self.hi)
+
+    @cached_property
+    def sdac(self) -> dict[str, DataFrame]:
+        return build_sdac(self.feed("sdac_orig"), self.ship["shipment_model"], self.hi, materialize=self.materialize)
+
+    @cached_property
+    def activation(self) -> dict[str, DataFrame]:
+        return build_activation(
+            self.feed("uss_device"), self.ship["shipment_model"], self.lo, self.hi, self.checkin_source, materialize=self.materialize
+        )
+
+    @cached_property
+    def repair(self) -> dict[str, DataFrame]:
+        return build_repair(
+            self.feed("repair_orig"), self.feed("shipment_orig"), self.buckets, self.lo, self.hi, self.grace, materialize=self.materialize
+        )
+
+    @cached_property
+    def new_shipment(self) -> dict[str, DataFrame]:
+        return build_new_shipment(
+            self.ship["shipment"], self.sdac["sdac"], self.activation["activation"], self.hi,
+            sdac_model_dates=self.sdac["sdac_model_dates"],
+            activation_model_dates=self.activation["activation_model_dates"],
+            materialize=self.materialize or self.share_new_shipment,  # read by five outputs: computed once
+        )
+
+    @cached_property
+    def cabandon(self) -> dict[str, DataFrame]:
+        return build_cabandon(self.feed("uss_device"), self.lo, self.as_of, self.days, materialize=self.materialize)
+
+    @cached_property
+    def dabandon(self) -> DataFrame:
+        return self.keep(build_dabandon(self.feed("uss_device"), self.lo, self.as_of, self.days), "dabandon")
+
+    @cached_property
+    def transitions(self) -> DataFrame:
+        return self.keep(build_transitions(self.feed("uss_device")), "transitions")
+
+    def moved(self, kind: str) -> DataFrame:
+        return self.transitions.filter(F.col("eventtype") == kind)
+
+    @cached_property
+    def new_complex(self) -> DataFrame:
+        exchange = self.cabandon["cabandon"].unionByName(self.dabandon).unionByName(self.moved("swap"))
+        return self.keep(build_new_complex(exchange, self.new_shipment["new_shipment"]), "new_complex")
+
+    @cached_property
+    def new_move(self) -> DataFrame:
+        return self.keep(build_new_move(self.moved("move"), self.new_shipment["new_shipment"]), "new_move")
+
+    @cached_property
+    def new_repair(self) -> dict[str, DataFrame]:
+        return build_new_repair(self.repair["repair"], self.new_shipment["new_shipment"], materialize=self.materialize)
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        """P10 from the staged event tables."""
+        return build_timeline(
+            self.new_shipment["new_shipment_events"], self.new_complex, self.new_move, self.new_repair["new_repair"]
+        )
+
+    def table(self, name: str) -> DataFrame:
+        return TABLES[name](self)
+
+
+TABLES = {
+    "shipment": lambda c: c.ship["shipment"],
+    "shipment_model": lambda c: c.ship["shipment_model"],
+    "shipment_exception": lambda c: c.ship["shipment_exception"],
+    "sdac": lambda c: c.sdac["sdac"],
+    "activation": lambda c: c.activation["activation"],
+    "repair": lambda c: c.repair["repair"],
+    "new_shipment": lambda c: c.new_shipment["new_shipment"],
+    "new_shipment_events": lambda c: c.new_shipment["new_shipment_events"],
+    "new_shipment_exception": lambda c: c.new_shipment["new_shipment_exception"],
+    "cabandon": lambda c: c.cabandon["cabandon"],
+    "dabandon": lambda c: c.dabandon,
+    "move": lambda c: c.moved("move"),
+    "swap": lambda c: c.moved("swap"),
+    "new_complex": lambda c: c.new_complex,
+    "new_move": lambda c: c.new_move,
+    "new_repair": lambda c: c.new_repair["new_repair"],
+    "new_repair_exception": lambda c: c.new_repair["new_repair_exception"],
+    "timeline": lambda c: c.timeline,
+    "sdac_exception": lambda c: sdac_exceptions(c.sdac["sdac_first"], c.ship["shipment"]),
+    "activation_exception": lambda c: activation_exceptions(c.feed("uss_device"), c.ship["shipment"], c.lo),
+    "repair_exception": lambda c: repair_exceptions(c.repair["repair_first"], c.ship["shipment"]),
+    "cabandon_exception": lambda c: exchange_exceptions(c.cabandon["cabandon"], c.ship["shipment"]),
+    "dabandon_exception": lambda c: exchange_exceptions(c.dabandon, c.ship["shipment"]),
+    "shipment_rejects": lambda c: c.ship["shipment_rejects"],
+    "sdac_rejects": lambda c: c.sdac["sdac_rejects"],
+    "activation_rejects": lambda c: c.activation["activation_rejects"],
+    "repair_rejects": lambda c: c.repair["repair_rejects"],
+    "repair_period_rejects": lambda c: c.repair["repair_period_rejects"],
+    "cabandon_rejects": lambda c: c.cabandon["cabandon_rejects"],
+    "shipment_date_rejects": lambda c: date_rejects(c.feed("shipment_orig"), "shipment_orig"),
+    "sdac_date_rejects": lambda c: date_rejects(c.feed("sdac_orig"), "sdac_orig"),
+    "uss_date_rejects": lambda c: date_rejects(c.feed("uss_device"), "uss_device"),
+    "repair_date_rejects": lambda c: date_rejects(c.feed("repair_orig"), "repair_orig"),
+}
+#: Tables that need the warranty rule's source labels.
+BUCKET_TABLES = ("repair", "new_repair", "new_repair_exception", "timeline")
+
+
 def run_lifecycle(
-    feeds: Mapping[str, DataFrame],
-    buckets: Buckets,
-    lo: Date = LO,
-    hi: Date = HI,
-    as_of: Date = None,
-    days: int = STALE_DAYS,
-    grace: int = GRACE_MONTHS,
-    checkin_source: str = "deduped",
+    feeds: Mapping[str, DataFrame], buckets: Buckets, *args, only: Sequence[str] | None = None, **options
 ) -> dict[str, DataFrame]:
-    """Every output of the 18 surveyed jobs (plus rejects) from the four feeds."""
-    uss = feeds["uss_device"]
-    ship = build_shipment(feeds["shipment_orig"], lo, hi)
-    sdac = build_sdac(feeds["sdac_orig"], ship["shipment_model"], hi, materialize=True)
-    act = build_activation(uss, ship["shipment_model"], lo, hi, checkin_source, materialize=True)
-    rep = build_repair(feeds["repair_orig"], feeds["shipment_orig"], buckets, lo, hi, grace, materialize=True)
-    ns = build_new_shipment(
-        ship["shipment"], sdac["sdac"], act["activation"], hi,
-        sdac_model_dates=sdac["sdac_model_dates"], activation_model_dates=act["activation_model_dates"],
-        materialize=True,  # read by five outputs: computed once
-    )
-    new_shipment = ns["new_shipment"]
-
-    cab = build_cabandon(uss, lo, as_of, days, materialize=True)
-    dab = build_dabandon(uss, lo, as_of, days)
-    trans = shared(build_transitions(uss), "transitions")  # move, swap and three event tables read it
-    move = trans.filter(F.col("eventtype") == "move")
-    swap = trans.filter(F.col("eventtype") == "swap")
-    exchange = cab["cabandon"].unionByName(dab).unionByName(swap)
-
-    new_complex = build_new_complex(exchange, new_shipment)
-    new_move = build_new_move(move, new_shipment)
-    nrep = build_new_repair(rep["repair"], new_shipment, materialize=True)
-    tl = build_timeline(ns["new_shipment_events"], new_complex, new_move, nrep["new_repair"])
-
-    shipment = ship["shipment"]
-    return {
-        "shipment": shipment,
-        "shipment_model": ship["shipment_model"],
-        "shipment_exception": ship["shipment_exception"],
-        "sdac": sdac["sdac"],
-        "activation": act["activation"],
-        "repair": rep["repair"],
-        "new_shipment": new_shipment,
-        "new_shipment_events": ns["new_shipment_events"],
-        "new_shipment_exception": ns["new_shipment_exception"],
-        "cabandon": cab["cabandon"],
-        "dabandon": dab,
-        "move": move,
-        "swap": swap,
-        "new_complex": new_complex,
-        "new_move": new_move,
-        "new_repair": nrep["new_repair"],
-        "new_repair_exception": nrep["new_repair_exception"],
-        "timeline": tl,
-        "sdac_exception": sdac_exceptions(feeds["sdac_orig"], shipment, hi),
-        "activation_exception": activation_exceptions(uss, shipment, lo),
-        "repair_exception": repair_exceptions(feeds["repair_orig"], shipment, hi),
-        "cabandon_exception": exchange_exceptions(cab["cabandon"], shipment),
-        "dabandon_exception": exchange_exceptions(dab, shipment),
-        "shipment_rejects": ship["shipment_rejects"],
-        "sdac_rejects": sdac["sdac_rejects"],
-        "activation_rejects": act["activation_rejects"],
-        "repair_rejects": rep["repair_rejects"],
-        "repair_period_rejects": rep["repair_period_rejects"],
-        "cabandon_rejects": cab["cabandon_rejects"],
-    }
-
-
-# Columns whose absence means "not available" (NA) rather than "no joined row" (\N).
-_NA_DATES = ("first_mfg_date", "first_launch_date")
-_NA_EXCHANGE = ("uid", "uidtype", "toimei")
-
-
-def null_markers(df: DataFrame) -> dict[str, str | Column]:
-    """A5 markers of the text layout: ``NA`` for a model date that does not
-    exist and for the not-applicable fields of an exchange record; ``\\N``
-    for every column of an absent joined row (the default)."""
-    cols = set(df.columns)
-    m: dict[str, str | Column] = {}
-    for c in df.columns:
-        base = c[3:] if c.startswith("to_") else c
-        if base in _NA_DATES:
-            m[c] = NA_MARKER
-    for f in _NA_EXCHANGE:
-        if f in cols and "eventtype" in cols and "xchg_eventtype" not in cols:
-            m[f] = NA_MARKER  # a bare exchange table
-        if "xchg_" + f in cols:
-            m["xchg_" + f] = F.when(F.col("xchg_eventtype").isNotNull(), F.lit(NA_MARKER)).otherwise(F.lit(NULL_MARKER))
-    return m
+    """The tables ``only`` (default: every output of the 18 surveyed jobs, plus
+    rejects) from the feeds; what they do not depend on is not built.  Options
+    as for ``Lifecycle``."""
+    unknown = sorted(set(only or ()) - set(TABLES))
+    if unknown:
+        raise ValueError(f"unknown tables: {', '.join(unknown)}; there are {', '.join(TABLES)}")
+    run = Lifecycle(feeds, buckets, *args, **options)
+    return {name: run.table(name) for name in TABLES if not only or name in only}
 
 
 def write_outputs(
@@ -138,23 +215,19 @@ def write_outputs(
     fmt: str = "parquet",
     num_files: Mapping[str, int] | None = None,
     mode: str = "overwrite",
+    payload: Mapping[str, str] | None = None,
 ) -> None:
     """Write each output once under ``base/<name>`` (Parquet, or Ctrl-A text
-    with the null markers and the ragged timeline)."""
+    with the null markers and the constant event positions; ``payload`` places
+    the extra columns of typed feeds)."""
     files = dict(num_files or {})
-    layout = outputs["timeline"].dtypes if "timeline" in outputs else None
     for name, df in outputs.items():
         path = f"{base.rstrip('/')}/{name}"
         if fmt == "parquet":
             write_table(df, path, mode=mode, num_files=files.get(name))
-        elif fmt == "text":
-            ragged = None
-            if name in EVENT_TABLES and layout is not None:
-                # event tables share the timeline's positions (46/52/91/135 fields)
-                df = widen(df, layout)
-                ragged = ragged_width(df)
-            write_delimited(
-                df, path, num_files=files.get(name), mode=mode, null_markers=null_markers(df), ragged_width=ragged
-            )
-        else:
+        elif fmt != "text":
             raise ValueError("fmt must be 'parquet' or 'text'")
+        elif name in EVENT_TABLES:
+            write_event_text(df, path, num_files=files.get(name), mode=mode, payload=payload)
+        else:
+            write_delimited(df, path, num_files=files.get(name), mode=mode, null_markers=null_markers(df))

@@ -29,6 +29,9 @@ def prepare_repair(repair_orig: DataFrame) -> DataFrame:
     return r
 
 
+RAW = {"purchase_date": "__purchase_text", "warranty_period": "__period_text"}
+
+
 def dedupe_repair(repair_orig: DataFrame, hi: Date = HI) -> tuple[DataFrame, DataFrame]:
     """One claim per (imei, claim_date); claims at/after ``hi`` are rejects."""
     return dedupe(prepare_repair(repair_orig), ["imei", "claim_date"], "claim_date", hi)
@@ -56,10 +59,13 @@ def build_repair(
     shipped claims whose warranty period is not a number (the surveyed job
     aborts on them).  ``materialize`` writes the dedup once so the rejects
     need no second pass."""
-    best = best_per_key(prepare_repair(repair_orig), ["imei", "claim_date"], "claim_date", latest=False)
+    texts = repair_orig.withColumns({raw: F.col(c) for c, raw in RAW.items()})
+    best = best_per_key(prepare_repair(texts), ["imei", "claim_date"], "claim_date", latest=False)
     if materialize:
         best = shared(best, "repair_best")
-    dedup, rejects = split_bound(best, "claim_date", hi=hi)
+    as_read, rejects = split_bound(best, "claim_date", hi=hi)
+    rejects = rejects.drop(*RAW.values())
+    dedup = as_read.drop(*RAW.values())
     tagged = failure_tag(dedup, "imei", "claim_date")
     joined = tagged.join(last_shipment_dates(shipment_orig, lo), "imei", "inner")
     good = joined.filter(F.col("warranty_period").isNotNull())
@@ -68,13 +74,15 @@ def build_repair(
     )
     repair = good.select(*tagged.columns, tag.alias("is_real_in_warranty"))
     bad = joined.filter(F.col("warranty_period").isNull()).select(*tagged.columns)
-    return {"repair": repair, "repair_rejects": rejects, "repair_period_rejects": bad}
+    return {"repair": repair, "repair_first": as_read, "repair_rejects": rejects, "repair_period_rejects": bad}
 
 
-def repair_exceptions(repair_orig: DataFrame, shipment: DataFrame, hi: Date = HI) -> DataFrame:
-    """Deduplicated claims of devices absent from shipment."""
-    dedup, _ = dedupe_repair(repair_orig, hi)
-    return not_in(dedup, shipment, "imei")
+def repair_exceptions(repair_first: DataFrame, shipment: DataFrame) -> DataFrame:
+    """Deduplicated claims (``build_repair``'s ``repair_first``) of devices
+    absent from shipment.  The report shows the record as it came: purchase
+    date and warranty period are the feed's own text."""
+    columns = [c for c in repair_first.columns if c not in RAW.values()]
+    return not_in(repair_first, shipment, "imei").select(*(F.col(RAW.get(c, c)).alias(c) for c in columns))
 
 
 def build_new_repair(repair: DataFrame, new_shipment: DataFrame, materialize: bool = False) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import HI, LO, MAX_BROADCAST_ROWS
 from ..session import stage
@@ -99,13 +100,13 @@ def build_sdac(
     joined = shared(first.join(shipment_model.select("imei", "model"), "imei", "inner"))
     dims = sized_broadcast(first_date_by(joined, "model", {"first_sdac_date": "create_date"}, hi), max_broadcast_rows)
     sdac = joined.join(dims, "model", "left").select(*first.columns, "first_sdac_date")
-    return {"sdac": sdac, "sdac_model_dates": dims, "sdac_rejects": rejects}
+    return {"sdac": sdac, "sdac_first": first, "sdac_model_dates": dims, "sdac_rejects": rejects}
 
 
-def sdac_exceptions(sdac_orig: DataFrame, shipment: DataFrame, hi: Date = HI) -> DataFrame:
-    """Earliest SDAC records of devices absent from shipment."""
-    first, _ = earliest_sdac(sdac_orig, hi)
-    return not_in(first, shipment, "imei")
+def sdac_exceptions(sdac_first: DataFrame, shipment: DataFrame) -> DataFrame:
+    """Earliest SDAC records (``build_sdac``'s ``sdac_first``) of devices
+    absent from shipment."""
+    return not_in(sdac_first, shipment, "imei")
 
 
 def last_checkins(uss_device: DataFrame) -> DataFrame:
@@ -141,14 +142,12 @@ def build_activation(
     dims = sized_broadcast(
         first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi), max_broadcast_rows
     )
-    # deduped: the staged join holds the one (imei, imsi) pair of every device
-    # that reaches the output, so no second pass over the check-in log
-    counts = checkin_count(joined if source == "deduped" else u, "imei", "imsi")
-    activation = (
-        joined.join(dims, "model", "left")
-        .join(counts, "imei", "inner")
-        .select("imei", "activation_date", "first_checkin_date", "checkin_count")
-    )
+    activation = joined.join(dims, "model", "left")
+    if source == "deduped":  # one (imei, imsi) pair of every device: the count is 1
+        activation = activation.filter(F.col("imei").isNotNull()).withColumn("checkin_count", F.lit(1).cast("bigint"))
+    else:
+        activation = activation.join(checkin_count(u, "imei", "imsi"), "imei", "inner")
+    activation = activation.select("imei", "activation_date", "first_checkin_date", "checkin_count")
     return {"activation": activation, "activation_model_dates": dims, "activation_rejects": rejects}
 
 

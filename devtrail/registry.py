@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from .config import FIXTURE_AS_OF, FIXTURE_BUCKETS, HI, LO
 from .functions.dates import day_of, in_order, min_date, parse_dates, valid_date, within_period
-from .functions.warranty import source_bucket
+from .functions.warranty import source_bucket, warranty_tag
 from .operators.aggregates import checkin_count, first_date_by, first_launch_date, last_date_by
 from .operators.dedupe import latest_per_key
-from .operators.joins import full_outer_by, join_both_ends, lookup, prefixed
+from .operators.joins import enrich, enrich_left, full_outer_by, join_both_ends, lookup, prefixed
 from .operators.sequence import distinct_observations, failure_tag, observations
 from .plans import exchange as px
 from .plans import repair as pr
 from .plans import shipment as ps
-from .plans import timeline as pt
+from .plans.lifecycle import KEY_DATES, Lifecycle, date_rejects
 from .sources import fixtures, textio
 
 # Narrowed bounds of the variant queries (FIXTURES.md section 2).
@@ -32,102 +32,49 @@ LO_LATE = _dt.date(2001, 6, 1)
 HI_EARLY = _dt.date(1996, 1, 1)
 
 
-class Ctx:
-    """Lazily built intermediate tables of one (session, data folder)."""
+class Ctx(Lifecycle):
+    """The lifecycle tables of one (session, data folder), each on demand; a
+    query asks for one table, so its intermediates stay in one plan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__({}, FIXTURE_BUCKETS, LO, HI, FIXTURE_AS_OF, materialize=False)
         self.spark, self.sf_dir = spark, sf_dir
 
-    # feeds
-    @cached_property
+    def feed(self, name: str) -> DataFrame:
+        return fixtures.stored_feed(self.spark, self.sf_dir, name)
+
+    @property
     def uss(self) -> DataFrame:
-        return fixtures.stored_feed(self.spark, self.sf_dir, "uss_device")
+        return self.feed("uss_device")
 
-    @cached_property
+    @property
     def ship_orig(self) -> DataFrame:
-        return fixtures.stored_feed(self.spark, self.sf_dir, "shipment_orig")
+        return self.feed("shipment_orig")
 
-    @cached_property
+    @property
     def sdac_orig(self) -> DataFrame:
-        return fixtures.stored_feed(self.spark, self.sf_dir, "sdac_orig")
+        return self.feed("sdac_orig")
 
-    @cached_property
+    @property
     def repair_orig(self) -> DataFrame:
-        return fixtures.stored_feed(self.spark, self.sf_dir, "repair_orig")
-
-    # dimension tables
-    @cached_property
-    def ship(self) -> dict[str, DataFrame]:
-        return ps.build_shipment(self.ship_orig, LO, HI)
+        return self.feed("repair_orig")
 
-    @cached_property
+    @property
     def shipment_model(self) -> DataFrame:
         return self.ship["shipment_model"]
 
-    @cached_property
-    def sdac(self) -> dict[str, DataFrame]:
-        return ps.build_sdac(self.sdac_orig, self.shipment_model, HI)
-
-    @cached_property
-    def activation(self) -> dict[str, DataFrame]:
-        return ps.build_activation(self.uss, self.shipment_model, LO, HI)
-
-    @cached_property
-    def repair(self) -> dict[str, DataFrame]:
-        return pr.build_repair(self.repair_orig, self.ship_orig, FIXTURE_BUCKETS, LO, HI)
-
-    @cached_property
-    def new_shipment(self) -> dict[str, DataFrame]:
-        return pt.build_new_shipment(
-            self.ship["shipment"], self.sdac["sdac"], self.activation["activation"], HI,
-            sdac_model_dates=self.sdac["sdac_model_dates"],
-            activation_model_dates=self.activation["activation_model_dates"],
-        )
-
-    # event sources
-    @cached_property
-    def cabandon(self) -> DataFrame:
-        return px.build_cabandon(self.uss, LO, FIXTURE_AS_OF)["cabandon"]
-
-    @cached_property
-    def dabandon(self) -> DataFrame:
-        return px.build_dabandon(self.uss, LO, FIXTURE_AS_OF)
-
-    @cached_property
-    def transitions(self) -> DataFrame:
-        # move and swap are two filters of one W2 plan; inside one query the
-        # shuffles are shared by exchange reuse, so nothing is staged here
-        return px.build_transitions(self.uss)
-
-    @cached_property
+    @property
     def move(self) -> DataFrame:
-        return self.transitions.filter(F.col("eventtype") == "move")
+        return self.moved("move")
 
-    @cached_property
+    @property
     def swap(self) -> DataFrame:
-        return self.transitions.filter(F.col("eventtype") == "swap")
-
-    @cached_property
-    def exchange(self) -> DataFrame:
-        return self.cabandon.unionByName(self.dabandon).unionByName(self.swap)
-
-    @cached_property
-    def new_complex(self) -> DataFrame:
-        return pt.build_new_complex(self.exchange, self.new_shipment["new_shipment"])
-
-    @cached_property
-    def new_move(self) -> DataFrame:
-        return pt.build_new_move(self.move, self.new_shipment["new_shipment"])
-
-    @cached_property
-    def new_repair(self) -> dict[str, DataFrame]:
-        return pr.build_new_repair(self.repair["repair"], self.new_shipment["new_shipment"])
+        return self.moved("swap")
 
-    @cached_property
-    def timeline(self) -> DataFrame:
-        return pt.build_timeline(
-            self.new_shipment["new_shipment_events"], self.new_complex, self.new_move, self.new_repair["new_repair"]
-        )
+    def whole(self) -> DataFrame:
+        """The timeline: its four branches read one staged new_shipment."""
+        self.share_new_shipment = True
+        return self.timeline
 
     # shared pieces of single-operator queries
     @cached_property
@@ -421,20 +368,21 @@ def w2_transition_counts(c: Ctx) -> DataFrame:
 def e1_repair_x_shipment(c: Ctx) -> DataFrame:
     """Tagged claims joined to the device's latest shipment date."""
     good, _ = pr.dedupe_repair(c.repair_orig, HI)
-    return failure_tag(good).join(pr.last_shipment_dates(c.ship_orig, LO), "imei", "inner")
+    return enrich(failure_tag(good), pr.last_shipment_dates(c.ship_orig, LO))
 
 
 @query
 def e1_activation_x_model(c: Ctx) -> DataFrame:
     """Latest check-in per device joined to the shipped model."""
     good, _ = latest_per_key(c.checkins, ["imei"], "activation_date", LO)
-    return good.join(c.shipment_model, "imei", "inner")
+    return enrich(good, c.shipment_model)
 
 
 @query
 def e2_left_enrich(c: Ctx) -> DataFrame:
     """Every shipped device with its SDAC row or NULLs."""
-    return c.ship["shipment"].join(prefixed(c.sdac["sdac"], "sdac_"), F.col("imei") == F.col("sdac_imei"), "left")
+    sdac = prefixed(c.sdac["sdac"], "sdac_").withColumn("imei", F.col("sdac_imei"))
+    return enrich_left(c.ship["shipment"], sdac)
 
 
 @query
@@ -450,7 +398,7 @@ def e3_full_outer_model_dates(c: Ctx) -> DataFrame:
 @query
 def e4_sdac_not_shipped(c: Ctx) -> DataFrame:
     """Earliest SDAC records of devices absent from shipment."""
-    return ps.sdac_exceptions(c.sdac_orig, c.ship["shipment"], HI)
+    return ps.sdac_exceptions(c.sdac["sdac_first"], c.ship["shipment"])
 
 
 @query
@@ -462,13 +410,13 @@ def e4_activation_not_shipped(c: Ctx) -> DataFrame:
 @query
 def e4_repair_not_shipped(c: Ctx) -> DataFrame:
     """Deduplicated claims of devices absent from shipment."""
-    return pr.repair_exceptions(c.repair_orig, c.ship["shipment"], HI)
+    return pr.repair_exceptions(c.repair["repair_first"], c.ship["shipment"])
 
 
 @query
 def e4_cabandon_not_shipped(c: Ctx) -> DataFrame:
     """Abandoned-SIM records whose device is absent from shipment."""
-    return px.exchange_exceptions(c.cabandon, c.ship["shipment"])
+    return px.exchange_exceptions(c.cabandon["cabandon"], c.ship["shipment"])
 
 
 @query
@@ -494,13 +442,13 @@ def e6_move_both_ends(c: Ctx) -> DataFrame:
 @query
 def f1_union_all(c: Ctx) -> DataFrame:
     """F1/P10: the whole event timeline."""
-    return c.timeline
+    return c.whole()
 
 
 @query
 def f1_event_counts(c: Ctx) -> DataFrame:
     """timeline rows per event type."""
-    return c.timeline.groupBy("eventtype").agg(F.count(F.lit(1)).alias("n"))
+    return c.whole().groupBy("eventtype").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -------------------------------------------------------------- P: the jobs
@@ -567,7 +515,7 @@ def p9_new_repair_exception(c: Ctx) -> DataFrame:
 @query
 def p11_cabandon(c: Ctx) -> DataFrame:
     """Abandoned SIMs as exchange records."""
-    return c.cabandon
+    return c.cabandon["cabandon"]
 
 
 @query
@@ -595,17 +543,96 @@ def a4_shipment_text_roundtrip(c: Ctx) -> DataFrame:
 def a2_multi_path_scan(c: Ctx) -> DataFrame:
     """Cabandon, dabandon and swap written to three text folders and
     scanned as one exchange table."""
-    return textio.exchange_roundtrip(c.spark, [c.cabandon, c.dabandon, c.swap], "bigint", "bigint")
+    return textio.exchange_roundtrip(c.spark, [c.cabandon["cabandon"], c.dabandon, c.swap], "bigint", "bigint")
 
 
 @query
 def a5_ragged_render(c: Ctx) -> DataFrame:
     """A5: the timeline rendered as ragged text: lines per (event type, field count)."""
-    return textio.ragged_report(c.spark, c.timeline)
+    return textio.ragged_report(c.spark, c.whole())
 
 
-def entry_query() -> Query:
-    return QUERIES["f1_union_all"]
+REPORT_FIELDS = {  # device key and date of each report, by position
+    "sdac": ("sdac_orig", textio.SDAC_PAYLOAD, (1, 4)),
+    "activation": ("uss_device", {}, (3, 4, 10)),
+    "repair": ("repair_orig", textio.REPAIR_PAYLOAD, (4, 13, 14, 27)),
+    "exchange": ("exchange", {}, (0, 1, 2, 3, 4, 5)),
+}
+
+
+@query
+def e4_sdac_text(c: Ctx) -> DataFrame:
+    """P16 as text, read by position."""
+    return textio.report_by_position(c.spark, e4_sdac_not_shipped(c), *REPORT_FIELDS["sdac"])
+
+
+@query
+def e4_activation_text(c: Ctx) -> DataFrame:
+    """P15 as text, read by position."""
+    return textio.report_by_position(c.spark, e4_activation_not_shipped(c), *REPORT_FIELDS["activation"])
+
+
+@query
+def e4_repair_text(c: Ctx) -> DataFrame:
+    """P17 as text, read by position: purchase date and period as they came."""
+    return textio.report_by_position(c.spark, e4_repair_not_shipped(c), *REPORT_FIELDS["repair"])
+
+
+@query
+def e4_cabandon_text(c: Ctx) -> DataFrame:
+    """P18 as text, read by position."""
+    return textio.report_by_position(c.spark, e4_cabandon_not_shipped(c), *REPORT_FIELDS["exchange"])
+
+
+@query
+def e4_dabandon_text(c: Ctx) -> DataFrame:
+    """P19 as text, read by position."""
+    return textio.report_by_position(c.spark, e4_dabandon_not_shipped(c), *REPORT_FIELDS["exchange"])
+
+
+# header, imei, first_mfg_date, sdac imei, first_launch_date, xchg uid/uidtype/toimei, rep imei and tag, to imei and launch date
+EVENT_FIELDS = (0, 1, 11, 31, 34, 45, 46, 47, 49, 56, 90, 100, 134)
+
+
+@query
+def a5_complex_text(c: Ctx) -> DataFrame:
+    """new_complex written alone as text, fields and markers by position."""
+    return textio.events_by_position(c.spark, c.new_complex, EVENT_FIELDS)
+
+
+@query
+def a5_move_text(c: Ctx) -> DataFrame:
+    """new_move written alone as text, fields and markers by position."""
+    return textio.events_by_position(c.spark, c.new_move, EVENT_FIELDS)
+
+
+@query
+def a5_repair_text(c: Ctx) -> DataFrame:
+    """new_repair written alone as text, fields and markers by position."""
+    return textio.events_by_position(c.spark, c.new_repair["new_repair"], EVENT_FIELDS)
+
+
+@query
+def b2_date_rejects(c: Ctx) -> DataFrame:
+    """Q7: per feed its records, those with a valid key date and the rejects."""
+    out = None
+    for name in KEY_DATES:
+        feed = c.feed(name)
+        n = F.count(F.lit(1))
+        row = feed.agg(n.alias("records")).crossJoin(date_rejects(feed, name).agg(n.alias("rejects")))  # one row by one row
+        row = row.select(F.lit(name).alias("feed"), "records", "rejects", (F.col("records") - F.col("rejects")).alias("good"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def d5_warranty_tag_any_period(c: Ctx) -> DataFrame:
+    """D5 over periods up to the limits of an int: tags, no overflow."""
+    r = pr.prepare_repair(c.repair_orig).select("data_source", "purchase_date", "claim_date", "warranty_period")
+    periods = F.explode(F.array(*[F.lit(x) for x in (99_999_999, 2_147_483_647, -2_147_483_648)]))
+    r = r.withColumn("period", periods)
+    tag = warranty_tag("data_source", "purchase_date", "claim_date", "purchase_date", "period", FIXTURE_BUCKETS)
+    return r.withColumn("tag", tag).groupBy("period", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-__all__ = ["QUERIES", "Ctx", "entry_query"]
+__all__ = ["QUERIES", "Ctx"]

@@ -2,12 +2,13 @@
 
 Library functions never create a session; callers pass one in.  The
 checkpoint folder is read from the session (``spark.checkpoint.dir``, which a
-cluster points at shared storage); only when it is unset -- local tests -- a
-fresh ``/tmp/run-XXXXXX`` folder is made.
+cluster points at shared storage); only when it is unset on a local master --
+tests -- a fresh ``/tmp/run-XXXXXX`` folder is made.  Elsewhere it must be set.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -42,9 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and (sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for staged tables")
     if sc is None:
-        if not conf:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder for staged tables")
         return conf
     d = conf or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(d)
@@ -66,10 +67,34 @@ def parallelism(spark: SparkSession) -> int:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
+    base = _RUNS.get(session_id(spark)) or checkpoint_dir(spark).rstrip("/")
     return f"{base}/devtrail-{name}-{uuid.uuid4().hex[:12]}"
 
 
+_RUNS: dict[str, str] = {}
+
+
+@contextlib.contextmanager
+def run_scratch(spark: SparkSession):
+    """Within it, staged tables go to one folder of this run, which is dropped
+    when the run succeeds (a failed run's stays for a look at it)."""
+    path = scratch_path(spark, "run")
+    _RUNS[session_id(spark)] = path
+    try:
+        yield path
+    finally:
+        del _RUNS[session_id(spark)]
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def scale_out(spark: SparkSession) -> SparkSession:
+    """Apply ``SCALE_CONF`` to a session that comes from the environment."""
+    for k, v in SCALE_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "devtrail") -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC, AQE on)."""
     b = (

@@ -67,6 +67,53 @@ LAYOUTS["new_shipment"] = Layout(
     },
 )
 
+# The event tables share positions: header, new_shipment, xchg_*, rep_*, to_*.
+# An event type fills a prefix of them; every table has them all by name.
+LAYOUTS["timeline"] = Layout(
+    135,
+    {
+        0: "eventtype",
+        1: "eventdate",
+        **_prefixed(LAYOUTS["new_shipment"], "", 2),
+        **_prefixed(LAYOUTS["exchange"], "xchg_", 46),
+        **_prefixed(LAYOUTS["repair"], "rep_", 52),
+        **_prefixed(LAYOUTS["new_shipment"], "to_", 91),
+    },
+)
+EVENT_WIDTHS = {"shipment": 46, "repair": 91, "move": 135}
+OTHER_EVENT_WIDTH = 52  # cabandon, dabandon, swap
+for _name, _width in (("new_shipment_events", 46), ("new_complex", 52), ("new_repair", 91), ("new_move", 135)):
+    LAYOUTS[_name] = Layout(_width, dict(enumerate(LAYOUTS["timeline"].columns()[:_width])))
+
+
+def event_width(eventtype: Column) -> Column:
+    """Fields of a text line of each event type."""
+    w = F.lit(OTHER_EVENT_WIDTH)
+    for name, n in EVENT_WIDTHS.items():
+        w = F.when(eventtype == name, F.lit(n)).otherwise(w)
+    return w
+
+
+def place_events(df: DataFrame, payload: Mapping[str, str] | None = None) -> DataFrame:
+    """An event table in the constant positions of the timeline, whichever
+    tables are written beside it.  ``payload`` names the columns that fill
+    opaque positions (typed feeds); a column without a place is an error.  An
+    opaque position of a group that the table has is empty, a group that it
+    does not have is absent (NULL)."""
+    have, names = set(df.columns), dict(payload or {})
+    positions = LAYOUTS["timeline"].columns()
+    source = {p: names.get(p, p) for p in positions}
+    lost = have - set(source.values())
+    if lost:
+        raise ValueError(f"no position in the event layout for {sorted(lost)}")
+    groups = ("xchg_", "rep_", "to_")
+    group = lambda c: next((g for g in groups if c.startswith(g)), "")
+    present = {group(c) for c in have}
+    return df.select(*(
+        (F.col(source[p]) if source[p] in have else F.lit("") if group(p) in present else F.lit(None).cast("string")).alias(p)
+        for p in positions
+    ))
+
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """A3: raw lines (column ``value``), one or several paths (A2)."""
@@ -169,7 +216,8 @@ _MARKERS = (NULL_MARKER, NA_MARKER)
 
 def read_table(spark: SparkSession, paths: str | Sequence[str], name: str, sep: str = FIELD_SEP) -> tuple[DataFrame, DataFrame]:
     """Scan a text table written by the jobs (``shipment``, ``sdac``,
-    ``activation``, ``repair``, ``new_shipment`` or ``exchange``) back into
+    ``activation``, ``repair``, ``new_shipment``, ``exchange`` or one of the
+    event tables) back into
     typed columns: the ``\\N``/``NA`` markers become NULL, ``*date`` columns
     are guarded dates (B2), counts and periods numbers.  Keys stay text.
     Returns ``(table, rejects)`` like ``read_delimited``."""

@@ -11,15 +11,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIELD_SEP, NA_MARKER
+from ..config import FIELD_SEP, NA_MARKER, NULL_MARKER
 from ..functions.dates import valid_date
 from ..session import scratch_path
-from .text import LAYOUTS, Layout, read_delimited, read_lines, read_table, split_fields, write_delimited
+from .text import LAYOUTS, Layout, event_width, place_events, read_delimited, read_lines, read_table, split_fields, write_delimited
 
 # Where the stand-in feeds put their extra typed columns in the raw layouts
 # (the opaque payload positions); all other opaque positions are empty.
 SHIPMENT_PAYLOAD = {"c00": "order_id", "c01": "plant_id", "c02": "channel"}
 SDAC_PAYLOAD = {"c00": "event_id"}
+REPAIR_PAYLOAD = {"c01": "claim_id"}
+EVENT_PAYLOAD = {
+    **{f"{end}{p}": f"{end}{c}" for end in ("", "to_") for p, c in SHIPMENT_PAYLOAD.items()},
+    **{f"{end}sdac_{p}": f"{end}sdac_{c}" for end in ("", "to_") for p, c in SDAC_PAYLOAD.items()},
+    **{f"rep_{p}": f"rep_{c}" for p, c in REPAIR_PAYLOAD.items()},
+}
 
 
 def place(df: DataFrame, layout: Layout, payload: Mapping[str, str]) -> DataFrame:
@@ -116,35 +122,74 @@ def exchange_roundtrip(
     return parse_exchange(good, uid_type, imei_type)
 
 
-def ragged_width(timeline: DataFrame) -> Column:
-    """Number of leading fields each event type fills in the timeline layout
-    (header, new_shipment, ``xchg_*``, ``rep_*``, ``to_*``)."""
-    cols = timeline.columns
-    n_x = 1 + max(i for i, c in enumerate(cols) if c.startswith("xchg_"))
-    n_r = 1 + max(i for i, c in enumerate(cols) if c.startswith("rep_"))
-    n_ship = min(i for i, c in enumerate(cols) if c.startswith(("xchg_", "rep_", "to_")))
-    et = F.col("eventtype")
-    return (
-        F.when(et == "shipment", F.lit(n_ship))
-        .when(et == "repair", F.lit(n_r))
-        .when(et == "move", F.lit(len(cols)))
-        .otherwise(F.lit(n_x))
+# Columns whose absence means "not available" (NA) rather than "no joined row" (\\N).
+_NA_DATES = ("first_mfg_date", "first_launch_date")
+_NA_EXCHANGE = ("uid", "uidtype", "toimei")
+
+
+def null_markers(df: DataFrame) -> dict[str, str | Column]:
+    """A5 markers of the text layout: ``NA`` for a model date that does not
+    exist and for the not-applicable fields of an exchange record; ``\\N``
+    for every column of an absent joined row (the default)."""
+    cols = set(df.columns)
+    m: dict[str, str | Column] = {}
+    for c in df.columns:
+        base = c[3:] if c.startswith("to_") else c
+        if base in _NA_DATES:
+            m[c] = NA_MARKER
+    for f in _NA_EXCHANGE:
+        if f in cols and "eventtype" in cols and "xchg_eventtype" not in cols:
+            m[f] = NA_MARKER  # a bare exchange table
+        if "xchg_" + f in cols:
+            m["xchg_" + f] = F.when(F.col("xchg_eventtype").isNotNull(), F.lit(NA_MARKER)).otherwise(F.lit(NULL_MARKER))
+    return m
+
+
+def write_event_text(
+    events: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite", payload: Mapping[str, str] | None = None
+) -> None:
+    """A5: an event table as ragged text in the constant timeline positions
+    with its null markers; each event type drops its trailing slots, so the
+    prefixes line up.  The one writer of event tables."""
+    placed = place_events(events, payload)
+    write_delimited(
+        placed, path, num_files=num_files, mode=mode, null_markers=null_markers(placed), ragged_width=event_width(F.col("eventtype"))
     )
 
 
-def write_timeline_text(timeline: DataFrame, path: str, num_files: int | None = None) -> None:
-    """A5: ragged text timeline -- each event type drops its trailing empty
-    slots, so the prefixes line up."""
-    write_delimited(timeline, path, num_files=num_files, ragged_width=ragged_width(timeline))
-
-
 def ragged_report(spark: SparkSession, timeline: DataFrame) -> DataFrame:
     """A5: render the timeline as ragged text, scan it back and count lines
     per (event type, field count)."""
     path = scratch_path(spark, "timeline")
-    write_timeline_text(timeline, path)
+    write_event_text(timeline, path, payload=EVENT_PAYLOAD)
     lines = read_lines(spark, path)
     f = split_fields(lines, FIELD_SEP)
     return lines.select(f.getItem(0).alias("eventtype"), F.size(f).alias("n_fields")).groupBy(
         "eventtype", "n_fields"
     ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def by_position(spark: SparkSession, path: str, positions: Sequence[int]) -> DataFrame:
+    """Text lines read by position only: ``f<position>`` as text (NULL beyond
+    a line's end), and the number of fields."""
+    lines = read_lines(spark, path)
+    f = split_fields(lines, FIELD_SEP)
+    return lines.select(F.size(f).alias("n_fields"), *(F.get(f, F.lit(p)).alias(f"f{p}") for p in positions))
+
+
+def events_by_position(spark: SparkSession, events: DataFrame, positions: Sequence[int]) -> DataFrame:
+    """One event table written alone as text and read back by position."""
+    path = scratch_path(spark, "events")
+    write_event_text(events, path, payload=EVENT_PAYLOAD)
+    return by_position(spark, path, positions)
+
+
+def report_by_position(
+    spark: SparkSession, report: DataFrame, layout: str, payload: Mapping[str, str], positions: Sequence[int]
+) -> DataFrame:
+    """A not-shipped report written as text in its feed's layout and read back
+    by position."""
+    path = scratch_path(spark, "report")
+    placed = place(report, LAYOUTS[layout], payload)
+    write_delimited(placed, path, null_markers=null_markers(placed))
+    return by_position(spark, path, positions)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import FIELD_SEP
-from ..session import scratch_path
 from ..sources.text import LAYOUTS, Layout, split_fields
 
 
@@ -31,7 +30,7 @@ def land_feed(
     source_dir: str,
     feed: str | Layout,
     target: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     sep: str = FIELD_SEP,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
@@ -39,8 +38,8 @@ def land_feed(
     """Watch ``source_dir`` for new text files of ``feed`` and land them under
     ``target/good`` (named positional columns, exact width) and
     ``target/rejects`` (lines of any other width).  Progress is kept in
-    ``checkpoint`` (default: a new folder under the session's checkpoint
-    folder), so a restarted query resumes with the next unseen file.
+    ``checkpoint``, which the caller names: a restart with the same folder
+    resumes with the next unseen file and writes no row twice.
     ``available_now`` processes what is there and stops."""
     layout = LAYOUTS[feed] if isinstance(feed, str) else feed
     reader = spark.readStream.format("text")
@@ -49,7 +48,7 @@ def land_feed(
     lines = reader.load(source_dir)
     writer = (
         lines.writeStream.foreachBatch(_land_batch(layout, target, sep))
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-checkpoint"))
+        .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
