@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from devtrail.llm.common import table, worker_cache
 from devtrail.session import stage
@@ -22,57 +24,109 @@ WINDOW = 2048  # tokens of a sequence
 SHARD = 1024  # documents of one BM25 index
 K1, B = 1.2, 0.75
 END = 1  # id after each document
-CACHED_CHARS, CACHED_WORDS = 64, 400_000
+CACHED_WORDS = 250_000  # of one generation
+TOGETHER = 64  # texts whose new words are tokenized together
+LATIN_END = "\u0250"  # letters below are single code points in normal form
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def _encoder(path: str):
-    """text -> ids as little-endian 32-bit bytes, equal to the tokenizer's own
-    ids of the whole text.  The tokenizer drops white space and no token spans
-    it, so the ids of each white-space-free stretch are kept for reuse."""
-    state = worker_cache().get(path)
-    if state is None:
+class _Encoder:
+    """texts -> ids as little-endian unsigned 16-bit bytes, equal to the
+    tokenizer's own ids of the whole text.
+
+    The tokenizer drops white space and no token spans it, so the ids of each
+    stretch without white space are kept for reuse: in two generations, of
+    which the older is dropped when the newer is full, so frequent words stay.
+    Punctuation behind a letter is a piece of its own to the tokenizer.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        state = worker_cache()[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = state
-    ids = lambda texts: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(text: str) -> bytes:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split, not to the tokenizer
-            return ids([text])[0]
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        words = text.split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
-        fresh = dict(zip(new, ids(new)))
-        out = b"".join([known[w] if w in known else fresh[w] for w in words])
-        known.update((w, v) for w, v in fresh.items() if len(w) <= CACHED_CHARS)
-        return out
-
-    return encode
+        self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids of this tokenizer need more than 16 bits")
+        # Whether the shortcuts below hold for this tokenizer, by trial.
+        trial = ["Über", "naïve", "WORD", "façade,", "ſo.", "it's.", "øre"]
+        self.latin = True
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.latin = self.encode(trial) == self.ids(trial)
+        self.new.clear()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word of Latin letters: one piece to the tokenizer, equal to
+        its normal form but for case, so that only its merges are left to do."""
+        word = word.lower()
+        return array("H", [t.id for t in self.merge(word if word.isascii() else self.letters(word)[0][0])]).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(texts)
+        split: list[list[str]] = []
+        for k, t in enumerate(texts):
+            if any(c in t for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split, not to the tokenizer
+                out[k] = self.ids([t])[0]
+                split.append([])
+            else:
+                split.append((t.lower() if t.isascii() and "<|" not in t else t).split())
+        self._learn(set().union(*split))
+        known = self.new
+        return [b"".join([known[w] for w in words]) if done is None else done for words, done in zip(split, out)]
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.new) + len(words) > CACHED_WORDS:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        lack, tails = [], []
+
+        def sort_out(w: str) -> None:
+            if w in new:
+                return
+            if w in old:
+                new[w] = old[w]
+            elif self.latin and w.isalpha() and max(w) < LATIN_END and w.lower().isalpha():
+                new[w] = self.word(w)
+            elif self.latin and len(w) > 1 and w[-1] in ".," and w[-2] < LATIN_END and w[-2].lower().isalpha():
+                tails.append(w)
+                sort_out(w[:-1])
+                sort_out(w[-1])
+            else:
+                lack.append(w)
+
+        for w in words:
+            sort_out(w)
+        lack = list(dict.fromkeys(lack))
+        new.update(zip(lack, self.ids(lack)))
+        for w in sorted(tails, key=len):
+            new[w] = new[w[:-1]] + new[w[-1]]
+
+
+def _encoder(path: str) -> _Encoder:
+    state = worker_cache()
+    if path not in state:
+        state[path] = _Encoder(path)
+    return state[path]
 
 
 def tokens_column(text: str | Column, path: str) -> Column:
     """A pandas UDF: struct of ``ids`` (the text's token ids and END, as
-    little-endian unsigned 32-bit bytes), ``n`` and ``near``, the smallest
+    little-endian unsigned 16-bit bytes), ``n`` and ``near``, the smallest
     hash of three tokens in a row: equal for texts that share most of them."""
 
     @F.pandas_udf("ids binary, n long, near long")
     def tokens(texts: pd.Series) -> pd.DataFrame:
-        encode, rows = _encoder(path), []
-        for t in texts:
-            raw = encode(t or "")
-            x = np.append(np.frombuffer(raw, "<u4"), np.uint32(END)).astype(np.uint64)
+        encoder, rows = _encoder(path), []
+        texts = [t or "" for t in texts]
+        for raw in (x for k in range(0, len(texts), TOGETHER) for x in encoder.encode(texts[k:k + TOGETHER])):
+            raw += END.to_bytes(2, "little")
+            x = np.frombuffer(raw, "<u2").astype(np.uint64)
             h = (x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9)) * np.uint64(0xD6E8FEB86659FD93)
-            rows.append((x.astype("<u4").tobytes(), len(x), int(h.min() >> np.uint64(1)) if len(h) else 0))
+            rows.append((raw, len(x), int(h.min() >> np.uint64(1)) if len(h) else 0))
         return pd.DataFrame(rows, columns=["ids", "n", "near"])
 
     return tokens(F.col(text) if isinstance(text, str) else text)
@@ -80,13 +134,10 @@ def tokens_column(text: str | Column, path: str) -> Column:
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's documents per token: at most one row for each token."""
-    counts = np.zeros(0, np.int64)
+    counts = np.zeros(1 << 16, np.int64)
     for b in batches:
         for ids in b.column("ids"):
-            x = np.bincount(np.frombuffer(ids.as_buffer(), "<u4")) > 0
-            if len(x) > len(counts):
-                counts = np.append(counts, np.zeros(len(x) - len(counts), np.int64))
-            counts[: len(x)] += x
+            counts[np.unique(np.frombuffer(ids.as_buffer(), "<u2"))] += 1
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["token", "n"])
 
@@ -97,11 +148,12 @@ class _Index:
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
         terms, freqs, owner, self.terms = [], [], [], []
         for k, x in enumerate(ids):
-            f = np.bincount(x, minlength=len(idf))
-            t = np.flatnonzero((f > 0) & (idf > 0))
+            t, f = np.unique(x, return_counts=True)
+            telling = idf[t] > 0
+            t = t[telling].astype(np.int64)
             self.terms.append(t)
             terms.append(t)
-            freqs.append(f[t])
+            freqs.append(f[telling])
             owner.append(np.full(len(t), k, np.int32))
         term, tf, doc = (np.concatenate(x) for x in (terms, freqs, owner))
         length = np.array([len(x) for x in ids], float)[doc]
@@ -128,10 +180,10 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
         def place(doc_id, raw: bytes) -> bool:
             """Append a document, cut at window ends; whether a window ended."""
             nonlocal sequence, filled
-            n, at, ended = len(raw) // 4, 0, False
+            n, at, ended = len(raw) // 2, 0, False
             while at < n:
                 take = min(window - filled, n - at)
-                out.append((doc_id, at, take, n, first + sequence, filled, raw[4 * at: 4 * (at + take)]))
+                out.append((doc_id, at, take, n, first + sequence, filled, raw[2 * at: 2 * (at + take)]))
                 at, filled = at + take, filled + take
                 if filled == window:
                     sequence, filled, ended = sequence + 1, 0, True
@@ -139,7 +191,7 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
 
         def pack(docs: list[tuple]) -> None:
             nonlocal seed
-            ids = [np.frombuffer(raw, "<u4") for _, raw in docs]
+            ids = [np.frombuffer(raw, "<u2") for _, raw in docs]
             index = _Index(ids, idf, mean)
             free, turn, scores = np.ones(len(docs), bool), 0, None
             for _ in docs:
@@ -158,6 +210,7 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             if out:
+                out[:] = [(*p[:6], np.frombuffer(p[6], "<u2").astype("<u4").tobytes()) for p in out]
                 names = [f.split()[0] for f in PIECES.split(", ")]
                 kinds = [pa.int64()] * 6 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
@@ -186,7 +239,7 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
                 at = 0
                 while at < length:
                     take = min(room - filled, length - at)
-                    out.append((doc_id, start + at, take, n, first + sequence, filled, raw[4 * at: 4 * (at + take)]))
+                    out.append((doc_id, start + at, take, n, first + sequence, filled, raw[2 * at: 2 * (at + take)]))
                     at, filled = at + take, filled + take
                     if filled == room:
                         sequence, filled = sequence + 1, 0
@@ -221,10 +274,9 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     made = stage(made.select("doc_id", "t.ids", "t.n", "t.near"), "packing-tokens")
     n, total = made.agg(F.count("*"), F.sum("n")).first()
     counts = made.select("ids").mapInArrow(_document_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
-    size = int(counts["token"].max()) + 1 if len(counts) else 1
-    df = np.zeros(size)
+    df = np.zeros(1 << 16)
     df[counts["token"].to_numpy(np.int64)] = counts["n"]
-    idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0) if n else np.zeros(size)
+    idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)
     parts = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / shard)))
     ranged = made.select("doc_id", "ids", "near").repartitionByRange(parts, "near", "doc_id").sortWithinPartitions("near", "doc_id", F.crc32("ids"))
     return ranged.select("doc_id", "ids").mapInArrow(_packer(idf, total / n if n else 1.0, window, shard), PIECES)
