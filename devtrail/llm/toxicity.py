@@ -23,11 +23,11 @@ IDENTITY_TERMS = (
     ("mann", "frau"), ("männer", "frauen"), ("muslime", "christen", "juden"), ("homme", "femme"), ("hommes", "femmes"),
     ("musulman", "chrétien", "juif"), ("hombre", "mujer"), ("hombres", "mujeres"), ("musulmán", "cristiano", "judío"),
 )
-MAX_TRAIN = 12_000  # labelled rows in the fitted sample
+MAX_TRAIN = 4_000  # labelled rows in the fitted sample
 MAX_FEATURES = 200_000  # most frequent features of the sample
 PREFIXES = (4, 5, 6)  # characters of word beginnings that are features
 L1, COUNTERFACTUAL = 4e-4, 1.0
-STEPS = 300
+STEPS = 200
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_|`~-…«»„“”‘’¿¡/\\&%$#@+=0123456789"
 
 
