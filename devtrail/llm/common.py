@@ -34,9 +34,14 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def worker_cache() -> dict:
-    """A dict that lives as long as the Python worker, across its tasks."""
-    return vars(sys.modules.setdefault("_devtrail_worker_cache", types.ModuleType("_devtrail_worker_cache")))
+def worker_cache(name: str) -> dict:
+    """A dict that lives across the tasks of a Python worker, until a worker
+    function asks for one of another name: workers outlive a stage, and only
+    one stage's cache is kept."""
+    held = sys.modules.setdefault("_devtrail_worker_cache", types.ModuleType("_devtrail_worker_cache"))
+    if getattr(held, "name", None) != name:
+        held.name, held.cache = name, {}
+    return held.cache
 
 
 def running_total(df: DataFrame, value: str, group: list[Column], order: list[Column], out: str, name: str) -> DataFrame:

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import math
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
@@ -24,9 +24,11 @@ WINDOW = 2048  # tokens of a sequence
 SHARD = 1024  # documents of one BM25 index
 K1, B = 1.2, 0.75
 END = 1  # id after each document
-CACHED_WORDS = 250_000  # of one generation
-TOGETHER = 64  # texts whose new words are tokenized together
-LATIN_END = "\u0250"  # letters below are single code points in normal form
+CACHED_WORDS = 300_000  # of one generation
+TOGETHER = 256  # texts whose new words are tokenized together
+# Below U+0250 letters are single code points in normal form and in lower case, but for U+0130.
+NOT_LATIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
+PUNCTUATION = re.compile("(?<=[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f])([.,])(?=\\s|$)")
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -38,7 +40,8 @@ class _Encoder:
     The tokenizer drops white space and no token spans it, so the ids of each
     stretch without white space are kept for reuse: in two generations, of
     which the older is dropped when the newer is full, so frequent words stay.
-    Punctuation behind a letter is a piece of its own to the tokenizer.
+    Text of Latin letters is set in lower case first, and a full stop or comma
+    behind a letter is split off: it is a piece of its own to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -72,64 +75,56 @@ class _Encoder:
             if any(c in t for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split, not to the tokenizer
                 out[k] = self.ids([t])[0]
                 split.append([])
-            else:
-                split.append((t.lower() if t.isascii() and "<|" not in t else t).split())
+                continue
+            if self.latin and "<|" not in t and (t.isascii() or not NOT_LATIN.search(t)):
+                t = PUNCTUATION.sub(r" \1", t.lower())
+            split.append(t.split())
         self._learn(set().union(*split))
         known = self.new
         return [b"".join([known[w] for w in words]) if done is None else done for words, done in zip(split, out)]
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.new) + len(words) > CACHED_WORDS:
-            self.old, self.new = self.new, {}
+        """Make sure that the newer generation has all ``words``."""
+        lack = words.difference(self.new)
+        if len(self.new) + len(lack) > CACHED_WORDS:
+            self.old, self.new, lack = self.new, {}, words
         new, old = self.new, self.old
-        lack, tails = [], []
-
-        def sort_out(w: str) -> None:
-            if w in new:
-                return
-            if w in old:
-                new[w] = old[w]
-            elif self.latin and w.isalpha() and max(w) < LATIN_END and w.lower().isalpha():
-                new[w] = self.word(w)
-            elif self.latin and len(w) > 1 and w[-1] in ".," and w[-2] < LATIN_END and w[-2].lower().isalpha():
-                tails.append(w)
-                sort_out(w[:-1])
-                sort_out(w[-1])
-            else:
-                lack.append(w)
-
-        for w in words:
-            sort_out(w)
-        lack = list(dict.fromkeys(lack))
+        for w in (again := lack.intersection(old)):
+            new[w] = old[w]
+        lack = lack.difference(again)
+        plain = [w for w in lack if w.isalpha() and not NOT_LATIN.search(w)] if self.latin else []
+        for w in plain:
+            new[w] = self.word(w)
+        lack = list(lack.difference(plain))
         new.update(zip(lack, self.ids(lack)))
-        for w in sorted(tails, key=len):
-            new[w] = new[w[:-1]] + new[w[-1]]
 
 
 def _encoder(path: str) -> _Encoder:
-    state = worker_cache()
-    if path not in state:
-        state[path] = _Encoder(path)
-    return state[path]
+    state = worker_cache(f"tokens:{path}")
+    if not state:
+        state["encoder"] = _Encoder(path)
+    return state["encoder"]
 
 
-def tokens_column(text: str | Column, path: str) -> Column:
-    """A pandas UDF: struct of ``ids`` (the text's token ids and END, as
-    little-endian unsigned 16-bit bytes), ``n`` and ``near``, the smallest
-    hash of three tokens in a row: equal for texts that share most of them."""
+def _tokenize(path: str):
+    """doc_id, ``ids`` (the text's token ids and END, as little-endian unsigned
+    16-bit bytes), ``n`` and ``near``, the smallest hash of three tokens in a
+    row: equal for texts that share most of them."""
 
-    @F.pandas_udf("ids binary, n long, near long")
-    def tokens(texts: pd.Series) -> pd.DataFrame:
-        encoder, rows = _encoder(path), []
-        texts = [t or "" for t in texts]
-        for raw in (x for k in range(0, len(texts), TOGETHER) for x in encoder.encode(texts[k:k + TOGETHER])):
-            raw += END.to_bytes(2, "little")
-            x = np.frombuffer(raw, "<u2").astype(np.uint64)
-            h = (x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9)) * np.uint64(0xD6E8FEB86659FD93)
-            rows.append((raw, len(x), int(h.min() >> np.uint64(1)) if len(h) else 0))
-        return pd.DataFrame(rows, columns=["ids", "n", "near"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = _encoder(path), END.to_bytes(2, "little")
+        for b in batches:
+            for part in (b.slice(k, TOGETHER) for k in range(0, b.num_rows, TOGETHER)):
+                ids, near = [], []
+                for raw in encoder.encode([t or "" for t in part.column("text").to_pylist()]):
+                    ids.append(raw + end)
+                    x = np.frombuffer(ids[-1], "<u2").astype(np.uint64)
+                    h = (x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9)) * np.uint64(0xD6E8FEB86659FD93)
+                    near.append(int(h.min() >> np.uint64(1)) if len(h) else 0)
+                n = pa.array([len(x) // 2 for x in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), n, pa.array(near, pa.int64())], ["doc_id", "ids", "n", "near"])
 
-    return tokens(F.col(text) if isinstance(text, str) else text)
+    return run
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,8 +265,8 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     null ids stay null.  An empty table gives no rows.
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    made = docs.select(F.col(doc_id).cast("long").alias("doc_id"), tokens_column(text, path).alias("t"))
-    made = stage(made.select("doc_id", "t.ids", "t.n", "t.near"), "packing-tokens")
+    made = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    made = stage(made.mapInArrow(_tokenize(path), "doc_id long, ids binary, n long, near long"), "packing-tokens")
     n, total = made.agg(F.count("*"), F.sum("n")).first()
     counts = made.select("ids").mapInArrow(_document_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(1 << 16)

@@ -147,10 +147,7 @@ def score_column(text: str | Column, weights: dict[int, float], bias: float) ->
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        state = worker_cache()
-        if state.get("toxicity") is None or state["toxicity"][0] != (len(weights), bias):
-            state["toxicity"] = ((len(weights), bias), {})
-        known: dict[str, tuple] = state["toxicity"][1]
+        known: dict[str, tuple] = worker_cache(f"toxicity:{len(weights)}:{bias}")
         out = np.empty(len(texts))
         for k, t in enumerate(texts):
             hits: set[int] = set()
