@@ -24,7 +24,7 @@ WINDOW = 2048  # tokens of a sequence
 SHARD = 1024  # documents of one BM25 index
 K1, B = 1.2, 0.75
 END = 1  # id after each document
-CACHED_WORDS = 300_000  # of one generation
+CACHED_WORDS = 500_000  # of one generation
 TOGETHER = 256  # texts whose new words are tokenized together
 # Below U+0250 letters are single code points in normal form and in lower case, but for U+0130.
 NOT_LATIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
@@ -127,12 +127,23 @@ def _tokenize(path: str):
     return run
 
 
+def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, token and count of the distinct tokens of each of a few
+    documents, by owner and token: one sort for all of them."""
+    owner = np.repeat(np.arange(len(docs), dtype=np.uint32), [len(x) for x in docs])
+    key = np.sort(owner << np.uint32(16) | np.concatenate(docs))
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    count = np.diff(np.append(first, len(key)))
+    key = key[first]
+    return (key >> np.uint32(16)).astype(np.int32), (key & np.uint32(0xFFFF)).astype(np.int64), count
+
+
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's documents per token: at most one row for each token."""
     counts = np.zeros(1 << 16, np.int64)
     for b in batches:
-        for ids in b.column("ids"):
-            counts[np.unique(np.frombuffer(ids.as_buffer(), "<u2"))] += 1
+        for part in (b.slice(k, TOGETHER) for k in range(0, b.num_rows, TOGETHER)):
+            counts += np.bincount(_distinct([np.frombuffer(x.as_buffer(), "<u2") for x in part.column("ids")])[1], minlength=len(counts))
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["token", "n"])
 
@@ -141,16 +152,10 @@ class _Index:
     """BM25 postings of one shard's documents."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
-        terms, freqs, owner, self.terms = [], [], [], []
-        for k, x in enumerate(ids):
-            t, f = np.unique(x, return_counts=True)
-            telling = idf[t] > 0
-            t = t[telling].astype(np.int64)
-            self.terms.append(t)
-            terms.append(t)
-            freqs.append(f[telling])
-            owner.append(np.full(len(t), k, np.int32))
-        term, tf, doc = (np.concatenate(x) for x in (terms, freqs, owner))
+        doc, term, tf = _distinct(ids)
+        telling = idf[term] > 0
+        doc, term, tf = doc[telling], term[telling], tf[telling]
+        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, len(ids))))
         length = np.array([len(x) for x in ids], float)[doc]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
         order = np.argsort(term, kind="stable")
