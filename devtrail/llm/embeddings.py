@@ -93,17 +93,17 @@ def _linker(cosine: float):
             mine &= np.arange(s, far) > np.arange(s, e)[:, None]
             if one != two:
                 mine &= own[s:e, None] != own[None, s:far]
-            times = mine.astype(np.int8)
+            times, judged = mine.astype(np.int16), np.zeros(mine.shape, bool)
             for r in range(len(steps)):
                 if r == turn:
                     continue
                 hit = np.abs(steps[r, s:e, None] - steps[r, None, s:far]) <= width
                 hit &= cells[r, s:e, None] == cells[r, None, s:far]
                 if r < turn:  # a pair is judged in its first collision's round
-                    times[hit] = -100
+                    judged |= hit
                 else:
                     times += hit
-            i, j = np.nonzero(mine & (times >= COUNT))
+            i, j = np.nonzero(mine & ~judged & (times >= COUNT))
             if not len(i):
                 continue
             i, j = i + s, j + s

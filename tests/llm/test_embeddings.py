@@ -79,3 +79,15 @@ def test_odd_rows(spark):
 def test_calibration_grows_with_the_table():
     assert calibrate(100, 0.9)[0] == 0 and calibrate(10**9, 0.9)[0] == 20
     assert calibrate(10**6, 0.9)[1] > calibrate(10**4, 0.9)[1]
+
+
+def test_a_pair_is_judged_once_however_many_rounds():
+    """A pair that collides in every round of a very large table's calibration counts once."""
+    import pandas as pd
+
+    for rounds in (90, 121, 141, 300):
+        rows = pd.DataFrame({"node": [0, 1], "many": [1, 1], "own": [0, 0], "vec": [np.array([1.0, 0.5]), np.array([1.0, 0.5001])],
+                             "cells": [np.zeros(rounds, np.int32)] * 2, "steps": [np.zeros(rounds, np.int32), np.ones(rounds, np.int32)]})
+        out = [embeddings._linker(0.9)((turn, 2, 0, 0, 0), rows) for turn in range(rounds)]
+        assert sum(o["links"].sum() for o in out) == 2, rounds
+        assert [int(o["b"].notna().sum()) for o in out][0] > 0, rounds
