@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devtrail.llm.common import fresh, table
@@ -19,6 +19,8 @@ PIECE = 4_000_000  # characters whose n-grams are gathered at once
 BLOCK = 4096  # documents whose distinct n-grams are looked up together
 LOW, HIGH = 0.002, 0.998  # quantiles of trusted perplexities that bound what is kept
 SLACK = 1.05  # factor on both bounds
+FOLDS = 5  # of trusted documents; each is scored by a model of the others
+FEW = 500  # trusted documents of a language below which its quantiles are its extremes
 ALPHABET = 1 << 16
 
 
@@ -47,13 +49,20 @@ def _pieces(texts: list[str]) -> Iterator[list[str]]:
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct n-grams of whole texts, with their number in trusted ones."""
+    """Distinct n-grams of whole texts, with their number in trusted ones of
+    each fold."""
     for b in batches:
-        for trusted, rows in b.groupby("trusted"):
+        for trusted, rows in b.groupby(b["fold"] >= 0):
+            folds, at = rows["fold"].to_numpy(), 0
             for held in _pieces(rows["text"].tolist()):
-                code, grams = pd.factorize(np.concatenate([_grams(t) for t in held]))
-                n = np.bincount(code, minlength=len(grams)) if trusted else np.zeros(len(grams), np.int64)
-                yield pd.DataFrame({"gram": grams, "n": n})
+                found = [_grams(t) for t in held]
+                code, grams = pd.factorize(np.concatenate(found))
+                n = np.zeros((len(grams), FOLDS), np.int64)
+                if trusted:
+                    fold = np.repeat(folds[at:at + len(held)], [len(g) for g in found])
+                    n = np.bincount(code * FOLDS + fold, minlength=n.size).reshape(n.shape)
+                at += len(held)
+                yield pd.DataFrame({"gram": grams, **{f"n{k}": n[:, k] for k in range(FOLDS)}})
 
 
 def _distinct(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -63,27 +72,40 @@ def _distinct(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _score(key: tuple, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    index, logp = pd.Index(known["gram"].to_numpy()), known["logp"].to_numpy()
-    total, n = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
-    for k, t in enumerate(rows["text"]):
+    """Perplexity of each text, and of a trusted one by the model without its fold."""
+    index = pd.Index(known["gram"].to_numpy())
+    logp = {fold: known[name].to_numpy() for fold, name in [(-1, "logp"), *((k, f"logp{k}") for k in range(FOLDS))]}
+    seen, unseen = np.zeros(len(rows)), np.full(len(rows), np.nan)
+    for k, (t, fold) in enumerate(zip(rows["text"], rows["fold"])):
         at = index.get_indexer(_grams(t))
-        total[k], n[k] = logp[at].sum(), len(at)
-    return pd.DataFrame({"none": rows["none"], "id": rows["id"], "key": rows["key"], "perplexity": np.exp(-total / n)})
+        seen[k] = logp[-1][at].sum() / len(at)
+        if fold >= 0:
+            unseen[k] = logp[fold][at].sum() / len(at)
+    return pd.DataFrame({"none": rows["none"], "id": rows["id"], "key": rows["key"], "perplexity": np.exp(-seen),
+                         "unseen": pd.array(np.exp(-unseen), "Float64")})
+
+
+def _discounts(counts: DataFrame) -> dict[int, list[float]]:
+    """A fold's modified discounts for counts of 1, 2 and 3 or more."""
+    out = {}
+    for fold, *of in counts.groupBy("fold").agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).collect():
+        n1, n2 = of[:2]
+        y = n1 / (n1 + 2 * n2) if n1 else 0.0
+        out[fold] = [min(float(k), max(0.05, k - (k + 1) * y * b / a)) if a else 0.5 for k, (a, b) in enumerate(zip(of, of[1:]), 1)]
+    return out
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """The modified discounts for counts of 1, 2 and 3 or more."""
-    n1, n2, n3, n4 = counts.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first()
-    y = n1 / (n1 + 2 * n2) if n1 else 0.0
-    out = []
-    for k, (a, b) in enumerate(((n1, n2), (n2, n3), (n3, n4)), 1):
-        out.append(min(float(k), max(0.05, k - (k + 1) * y * b / a)) if a else 0.5)
+def _by_fold(values: dict[int, float]) -> Column:
+    """The value of a row's fold, null for other folds."""
+    out = F.lit(None).cast("double")
+    for fold, x in values.items():
+        out = F.when(F.col("fold") == fold, float(x)).otherwise(out)
     return out
 
 
-def log_probabilities(counts: DataFrame) -> DataFrame:
-    """(gram, logp) for every gram of ``counts`` (gram, n; n is 0 for grams that
-    trusted text does not have).
+def log_probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """(fold, gram, logp) for every row of ``grams`` (fold, gram), by its fold's
+    model of ``counts`` (fold, gram, n).
 
     The highest order counts occurrences, each lower one the distinct
     characters before a gram.  A level joins its counts, the totals of its
@@ -91,27 +113,28 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     keys; only the counts of counts reach the driver.
     """
     def level(width: int, grams: DataFrame, counts: DataFrame) -> DataFrame:
-        """gram, p for ``grams`` of ``width`` characters."""
-        d1, d2, d3 = _discounts(counts)
-        cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).when(F.col("n") >= 3, d3)
+        """fold, gram, p for ``grams`` of ``width`` characters."""
+        discounts = _discounts(counts)
+        cuts = [_by_fold({fold: d[k] for fold, d in discounts.items()}) for k in range(3)]
+        cut = F.when(F.col("n") == 1, cuts[0]).when(F.col("n") == 2, cuts[1]).when(F.col("n") >= 3, cuts[2])
         context = F.shiftrightunsigned("gram", 16)
         if width == 1:
-            total, left, kinds = counts.agg(F.sum("n"), F.sum(cut), F.count("*")).first()
-            if not total:
-                return grams.select("gram", F.lit(1 / ALPHABET).alias("p"))
-            return grams.join(counts, "gram", "left").select(
-                "gram", (F.coalesce((F.col("n") - cut) / total, F.lit(0.0)) + left / total / ALPHABET).alias("p"))
+            sums = counts.groupBy("fold").agg(F.sum("n").alias("total"), F.sum(cut).alias("left")).collect()
+            total = _by_fold({r.fold: r.total for r in sums})
+            rest = F.coalesce(_by_fold({r.fold: r.left / r.total / ALPHABET for r in sums}), F.lit(1 / ALPHABET))
+            return grams.join(counts, ["fold", "gram"], "left").select(
+                "fold", "gram", (F.coalesce((F.col("n") - cut) / total, F.lit(0.0)) + rest).alias("p"))
         lower_mask = F.lit((1 << 16 * (width - 1)) - 1)
-        heads = counts.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("held"))
-        lower_counts = stage(counts.groupBy(F.col("gram").bitwiseAND(lower_mask).alias("gram")).agg(F.count("*").alias("n")), f"quality-{width - 1}")
         suffix = F.col("gram").bitwiseAND(lower_mask)
-        lower = level(width - 1, grams.select(suffix.alias("gram")).distinct(), lower_counts)
-        out = grams.join(counts, "gram", "left").withColumn("context", context).withColumn("suffix", suffix)
-        out = out.join(heads, "context", "left").join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("back")), "suffix")
+        heads = counts.groupBy("fold", context.alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("held"))
+        lower_counts = stage(counts.groupBy("fold", suffix.alias("gram")).agg(F.count("*").alias("n")), f"quality-{width - 1}")
+        lower = level(width - 1, grams.select("fold", suffix.alias("gram")).distinct(), lower_counts)
+        out = grams.join(counts, ["fold", "gram"], "left").withColumn("context", context).withColumn("suffix", suffix)
+        out = out.join(heads, ["fold", "context"], "left").join(lower.select("fold", F.col("gram").alias("suffix"), F.col("p").alias("back")), ["fold", "suffix"])
         seen = F.coalesce((F.col("n") - cut) / F.col("total"), F.lit(0.0))
-        return out.select("gram", (seen + F.coalesce(F.col("held") / F.col("total"), F.lit(1.0)) * F.col("back")).alias("p"))
+        return out.select("fold", "gram", (seen + F.coalesce(F.col("held") / F.col("total"), F.lit(1.0)) * F.col("back")).alias("p"))
 
-    return level(ORDER, counts.select("gram"), counts.where("n > 0")).select("gram", F.log("p").alias("logp"))
+    return level(ORDER, grams.select("fold", "gram"), counts.where("n > 0")).select("fold", "gram", F.log("p").alias("logp"))
 
 
 def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
@@ -123,6 +146,10 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", do
     count once.  The bounds are the ``low`` and ``high`` quantiles of the trusted
     documents' perplexities in the language, with some slack: text that is too
     surprising (noise, markup, shouting) or too predictable (repetition) goes.
+    A trusted document's perplexity for the bounds is that by a model without
+    its fold (a hash of the text), as in-sample ones are too low for unseen
+    text.  A language of fewer than FEW trusted documents has the wider of its
+    own bounds and those of all trusted text.
     Scoring deals whole texts into blocks by a hash; a block's distinct n-grams
     are joined with the sharded log-probabilities and come back to score it.
 
@@ -138,28 +165,42 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", do
     ids = stage(ids.withColumn("yes", F.lit(True)), "quality-trusted")
     body = docs.select(F.col(doc_id).isNull().alias("none"), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id"),
                        F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.length("text") > 0)
-    flagged = body.join(sized_broadcast(ids), (F.col("id") == F.col("own")) & ~F.col("none"), "left")
-    flagged = flagged.select("text", F.coalesce("yes", F.lit(False)).alias("trusted"))
-    counts = flagged.mapInPandas(_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    known = stage(log_probabilities(stage(counts, "quality-counts")), "quality-model")
+    # Folds by the text: copies are held out together.
+    fold = F.when(F.col("yes"), F.pmod(F.xxhash64("text"), F.lit(FOLDS))).otherwise(-1).cast("int").alias("fold")
+    flagged = body.join(sized_broadcast(ids), (F.col("id") == F.col("own")) & ~F.col("none"), "left").select("none", "id", "text", fold)
+    folds = [f"n{k}" for k in range(FOLDS)]
+    counts = flagged.select("text", "fold").mapInPandas(_counts, ", ".join(f"{c} long" for c in ["gram", *folds])).groupBy("gram").agg(*[F.sum(c).alias(c) for c in folds])
+    counts = stage(counts.withColumn("n", sum((F.col(c) for c in folds[1:]), F.col(folds[0]))), "quality-counts")
+    # The model of all trusted text (fold -1) scores every n-gram, a fold's those of the fold by the counts of the others.
+    models = [F.struct(F.lit(-1).alias("fold"), F.col("n"), F.lit(True).alias("asked"))]
+    models += [F.struct(F.lit(k).alias("fold"), (F.col("n") - F.col(c)).alias("n"), (F.col(c) > 0).alias("asked")) for k, c in enumerate(folds)]
+    models = counts.select("gram", F.inline(F.array(*models)))
+    known = log_probabilities(models.where("asked"), models.select("fold", "gram", "n"))
+    known = known.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == k, F.col("logp"))).alias("logp" if k < 0 else f"logp{k}") for k in range(-1, FOLDS)])
+    known = stage(known, "quality-model")
 
     blocks = max(1, math.ceil(body.count() / BLOCK))
-    dealt = body.select("none", "id", F.xxhash64("text").alias("key"), "text").withColumn(
+    dealt = flagged.select("none", "id", F.xxhash64("text").alias("key"), "text", "fold").withColumn(
         "block", F.pmod(F.xxhash64("none", "id", "key"), F.lit(blocks)))
-    looked = dealt.groupBy("block").applyInPandas(_distinct, "block long, gram long").join(known, "gram").select("block", "gram", "logp")
+    looked = dealt.groupBy("block").applyInPandas(_distinct, "block long, gram long").join(known, "gram").select("block", *known.columns)
     scored = dealt.groupBy("block").cogroup(looked.groupBy("block")).applyInPandas(
-        _score, "none boolean, id long, key long, perplexity double")
-    scored = stage(scored.groupBy("none", "id", "key").agg(F.min("perplexity").alias("perplexity")), "quality-scores")
+        _score, "none boolean, id long, key long, perplexity double, unseen double")
+    scored = stage(scored.groupBy("none", "id", "key").agg(F.min("perplexity").alias("perplexity"), F.min("unseen").alias("unseen")), "quality-scores")
 
     n_none, n_id, n_key, n_own, n_lang, n_yes = fresh(docs, "none", "id", "key", "own", "lang", "yes")
     scores = scored.select(F.col("none").alias(n_none), F.col("id").alias(n_id), F.col("key").alias(n_key), "perplexity")
     out = docs.join(scores, (F.col(doc_id).isNull() == F.col(n_none)) & (F.coalesce(F.col(doc_id).cast("long"), F.lit(0)) == F.col(n_id))
                     & (F.xxhash64(F.col(text)) == F.col(n_key)) & F.col(text).isNotNull(), "left").drop(n_none, n_id, n_key)
-    langs = body.select("none", "id", "lang").join(scored, ["none", "id"]).join(ids, (F.col("id") == F.col("own")) & ~F.col("none"))
-    both = F.percentile_approx("perplexity", [low, high], 10_000).alias("q")
-    bounds = stage(langs.groupBy("lang").agg(both).select(F.col("lang").alias(n_lang), (F.col("q")[0] / SLACK).alias("lo"), (F.col("q")[1] * SLACK).alias("hi")), "quality-bounds")
-    q = langs.agg(both).first()[0]
-    lo, hi = (q[0] / SLACK, q[1] * SLACK) if q else (0.0, float("inf"))
+    langs = body.select("none", "id", "lang").join(scored.where("unseen IS NOT NULL"), ["none", "id"])
+    # Trusted documents are judged by what the model knows of them, so the lower bound looks at both perplexities.
+    least, most = F.least("perplexity", "unseen"), F.greatest("perplexity", "unseen")
+    both = [F.percentile_approx(least, low, 10_000).alias("lo"), F.percentile_approx(most, high, 10_000).alias("hi"), F.count("*").alias("n")]
+    q = langs.agg(*both).first()
+    lo, hi = (q.lo / SLACK, q.hi * SLACK) if q.n else (0.0, float("inf"))
+    few, own_lo, own_hi = F.col("n") < FEW, F.col("lo") / SLACK, F.col("hi") * SLACK
+    bounds = stage(langs.groupBy("lang").agg(*both).select(
+        F.col("lang").alias(n_lang), F.when(few, F.least(own_lo, F.lit(lo))).otherwise(own_lo).alias("lo"),
+        F.when(few, F.greatest(own_hi, F.lit(hi))).otherwise(own_hi).alias("hi")), "quality-bounds")
     out = out.join(sized_broadcast(bounds), F.col(lang).eqNullSafe(F.col(n_lang)), "left")
     out = out.select(*docs.columns, "perplexity", F.coalesce("lo", F.lit(lo)).alias("perplexity_low"), F.coalesce("hi", F.lit(hi)).alias("perplexity_high"))
     return out.withColumn("kept", F.coalesce(F.col("perplexity").between(F.col("perplexity_low"), F.col("perplexity_high")), F.lit(False)))

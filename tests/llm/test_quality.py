@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -70,3 +71,23 @@ def test_odd_rows(spark, odd_docs):
     assert all((r.perplexity is None) == (not r.text) and (r.kept is False if not r.text else True) for r in rows)
     assert classify_quality(odd_docs.limit(0), trusted).count() == 0
     assert all(r.kept == bool(r.text) for r in classify_quality(odd_docs, trusted.limit(0)).collect())
+
+
+def test_unseen_text_of_a_language_with_few_trusted_texts(spark):
+    """Clean text that the model has not seen stays, noise goes."""
+    rnd = random.Random(3)
+
+    def language(letters, n, size=120):
+        words = ["".join(rnd.choices(letters, k=rnd.randint(2, 8))) for _ in range(400)]
+        return [" ".join(rnd.choices(words, k=size)) for _ in range(n)]
+
+    rows = [(t, "many") for t in language("abcdefghijklm", 120)] + [(t, "few") for t in language("nopqrstuvwxyz", 46)] + [(t, "one") for t in language("äöüßéèêàç", 41)]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    noise = [(1000 + k, "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(400)), "many") for k in range(20)]
+    trusted = {i for i, _, lang in rows if lang == "many" and i < 100} | set(range(120, 126)) | {166}
+    docs = spark.createDataFrame(rows + noise, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in classify_quality(docs, spark.createDataFrame([(i,) for i in sorted(trusted)], "doc_id long")).collect()}
+    for name in ("many", "few", "one"):
+        clean = [i for i, _, lang in rows if lang == name and i not in trusted]
+        assert sum(got[i].kept for i in clean) >= 0.95 * len(clean), name
+    assert all(got[i].kept for i in trusted) and not any(got[i].kept for i, _, _ in noise)
