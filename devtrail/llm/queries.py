@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from devtrail.llm import chat, embeddings, lines, mixing, packing, quality, search, secrets, simhash, topk, toxicity
+from devtrail.llm import chat, embeddings, lines, mixing, packing, quality, search, secrets, simhash, topk, toxicity, warc
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_simhash_dedup": simhash.op10_simhash_dedup,
+    "op11_warc": warc.op11_warc,
     "op13_ranked_search": search.op13_ranked_search,
 }
 
@@ -24,5 +25,6 @@ ORACLE = {
     "op7_embedding_dedup": embeddings.OP7_SQL,
     "op8_line_dedup": lines.OP8_SQL,
     "op9_exact_topk": topk.OP9_SQL,
+    "op11_warc": warc.OP11_SQL,
     "op13_ranked_search": search.OP13_SQL,
 }
