@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from devtrail.llm import chat, embeddings, lines, mixing, packing, quality, search, secrets, simhash, topk, toxicity, warc
+from devtrail.llm import chat, embeddings, lines, mixing, packing, quality, search, secrets, simhash, topk, toxicity, trie, warc
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_simhash_dedup": simhash.op10_simhash_dedup,
     "op11_warc": warc.op11_warc,
+    "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_ranked_search": search.op13_ranked_search,
 }
 
@@ -26,5 +27,6 @@ ORACLE = {
     "op8_line_dedup": lines.OP8_SQL,
     "op9_exact_topk": topk.OP9_SQL,
     "op11_warc": warc.OP11_SQL,
+    "op12_prefix_trie": trie.OP12_SQL,
     "op13_ranked_search": search.OP13_SQL,
 }
