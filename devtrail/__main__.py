@@ -17,8 +17,9 @@ import datetime as dt
 import sys
 
 from .config import GRACE_MONTHS, HI, LO, REFERENCE_FILE_COUNTS, STALE_DAYS, Buckets
-from .plans.lifecycle import BUCKET_TABLES, FEEDS, TABLES, read_text_feeds, run_lifecycle, write_outputs
+from .plans.lifecycle import BUCKET_TABLES, FEEDS, TABLES, run_lifecycle, write_outputs
 from .session import run_scratch, scale_out
+from .sources.landing import TextFeeds
 
 
 def _date(s: str | None) -> dt.date | None:
@@ -71,9 +72,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         "uss_device": a.uss_device.split(","),
         "repair_orig": a.repair_orig.split(","),
     }
-    feeds, bad = read_text_feeds(spark, paths)
+    feeds = TextFeeds(spark, paths)  # each landed by one scan when a table needs it
     only = _labels(a.only)
-    lines = {f"{k}_bad_lines": v for k, v in bad.items() if not only or f"{k}_bad_lines" in only}
     tables = [x for x in only if x in TABLES] if only else list(TABLES)
     with run_scratch(spark):
         chosen = run_lifecycle(
@@ -86,9 +86,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             grace=a.grace_months,
             checkin_source=a.checkin_source,
             only=tables,
-            land=True,
         ) if tables else {}
-        chosen.update(lines)
+        chosen.update({f"{k}_bad_lines": feeds.bad_lines(k) for k in FEEDS if not only or f"{k}_bad_lines" in only})
         files = REFERENCE_FILE_COUNTS if a.reference_file_counts else None
         write_outputs(chosen, a.out, fmt=a.format, mode=a.mode, num_files=files)
     return chosen

@@ -9,7 +9,7 @@ stand-in feeds and every intermediate table are CTEs, pulled in by name.
 
 from __future__ import annotations
 
-from .sources.fixtures import VIEW_SQL
+from .sources.fixtures import SPOILED_SQL, VIEW_SQL
 
 LO = "DATE '2000-01-01'"
 HI = "DATE '2020-01-01'"
@@ -62,6 +62,7 @@ def _sel(alias: str, cols: list[str], prefix: str = "") -> str:
 # name -> (dependencies, body)
 CTES: dict[str, tuple[list[str], str]] = {name: ([], sql) for name, sql in VIEW_SQL.items()}
 
+CTES.update({name: ([name.removesuffix("_spoiled")], sql) for name, sql in SPOILED_SQL.items()})
 CTES.update({
     "st": (["shipment_orig"], f"""
 SELECT imei, model, {guard('mfg_date')} AS mfg_date, {guard('shipment_date')} AS shipment_date,
@@ -413,3 +414,44 @@ SELECT period, CASE WHEN period < 0 THEN '3'
        WHEN data_source IN {OVERSEAS} THEN {within('purchase_date', 'claim_date', 'CAST(period AS BIGINT) + 3')}
        ELSE '0' END AS tag, count(*) AS n
 FROM rt, (SELECT unnest([99999999, 2147483647, -2147483648]) AS period) GROUP BY ALL""")
+
+# Guards of feeds with impossible dates: the conditions that each row fails.
+_SPOILED = {
+    "shipment_orig": ("order_id", {"mfg_date": f"mfg_date <> '' AND ({guard('mfg_date')}) IS NULL", "shipment_date": f"({guard('shipment_date')}) IS NULL"}),
+    "sdac_orig": ("event_id", {"create_date": f"({guard('create_date')}) IS NULL"}),
+    "uss_device": ("imsi", {"first_ts": f"({day('first_ts')}) IS NULL", "last_ts": f"({day('last_ts')}) IS NULL"}),
+    "repair_orig": ("claim_id", {"claim_date": f"({guard('claim_date')}) IS NULL", "purchase_date": f"purchase_date <> '' AND ({guard('purchase_date')}) IS NULL",
+                                 "warranty_period": "TRY_CAST(warranty_period AS INTEGER) IS NULL"}),
+}
+
+
+def _any(feed: str) -> str:
+    return "(" + " OR ".join(f"({g})" for g in _SPOILED[feed][1].values()) + ")"
+
+
+def _failed(feed: str) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {g} THEN '{f}' END" for f, g in _SPOILED[feed][1].items()) + ")"
+
+
+_ALL_SPOILED = [f"{f}_spoiled" for f in _SPOILED]
+q("b2_guard_outcomes", _ALL_SPOILED, " UNION ALL ".join(
+    f"SELECT '{f}' AS feed, count(*) AS records, count(*) FILTER ({key} % 31 <> 0 AND NOT {_any(f)}) AS good, "
+    f"count(*) FILTER ({key} % 31 <> 0 AND {_any(f)}) AS rejects, count(*) FILTER ({key} % 31 = 0) AS bad_lines FROM {f}_spoiled" for f, (key, _) in _SPOILED.items()))
+q("b2_guard_rejects", ["shipment_orig_spoiled", "repair_orig_spoiled"], f"""
+SELECT 'shipment_orig' AS feed, imei, order_id AS record, mfg_date AS first, shipment_date AS second, {_failed('shipment_orig')} AS failed
+FROM shipment_orig_spoiled WHERE {_any('shipment_orig')}
+UNION ALL SELECT 'repair_orig', imei, claim_id, claim_date, purchase_date, {_failed('repair_orig')} FROM repair_orig_spoiled WHERE {_any('repair_orig')}""")
+q("b2_guard_counts", _ALL_SPOILED, " UNION ALL ".join(
+    f"SELECT '{f}' AS feed, '{field}' AS guard, count(*) FILTER ({g}) AS n FROM {f}_spoiled" for f, (_, gs) in _SPOILED.items() for field, g in gs.items()))
+q("b3_timestamp_rejects", ["uss_device_spoiled"], f"""
+SELECT imei, imsi, model, first_ts, last_ts, {_failed('uss_device')} AS failed_guards FROM uss_device_spoiled WHERE {_any('uss_device')}""")
+q("b3_checkins_used", ["uss_device_spoiled"], f"""
+SELECT count(*) AS records, count(*) FILTER (({day('first_ts')}) IS NOT NULL AND ({day('last_ts')}) IS NOT NULL) AS used,
+  count(*) FILTER ({_any('uss_device')}) AS rejects FROM uss_device_spoiled""")
+q("p13_spoiled_transitions", ["uss_device_spoiled"], f"""
+SELECT imsi AS uid, 'imsi' AS uidtype, l_imei AS imei, imei AS toimei, CASE WHEN l_model = model THEN 'swap' ELSE 'move' END AS eventtype, d AS eventdate
+FROM (SELECT *, lag(imei) OVER w AS l_imei, lag(model) OVER w AS l_model, lag(d) OVER w AS l_d FROM (
+  SELECT DISTINCT imsi, imei, model, unnest([f, l]) AS d FROM (
+    SELECT imsi, imei, model, {day('first_ts')} AS f, {day('last_ts')} AS l FROM uss_device_spoiled) WHERE f IS NOT NULL AND l IS NOT NULL)
+  WINDOW w AS (PARTITION BY imsi ORDER BY d, imei, model))
+WHERE l_imei <> imei AND l_d <> d""")

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import GRACE_MONTHS, HI, LO, STALE_DAYS, Buckets
-from ..functions.dates import day_of, valid_date
+from ..operators.guards import FAILED, guard_rejects
+from ..sources.landing import Landing
 from ..sources.text import LAYOUTS, read_delimited, write_delimited, write_table
 from ..sources.textio import null_markers, write_event_text
 from .exchange import build_cabandon, build_dabandon, build_transitions, exchange_exceptions
@@ -46,25 +47,24 @@ def read_text_feeds(
 KEY_DATES = {"shipment_orig": "shipment_date", "sdac_orig": "create_date", "uss_device": "last_ts", "repair_orig": "claim_date"}
 
 
-def date_rejects(feed: DataFrame, name: str) -> DataFrame:
-    """Q7: the feed's records whose key date fails its guard (B2, B3 for the
-    check-in timestamp), as they came."""
-    date = KEY_DATES[name]
-    guard = day_of if name == "uss_device" else valid_date
-    return feed.filter(guard(date).isNull())
+def date_rejects(rejects: DataFrame, name: str) -> DataFrame:
+    """Q7: of a feed's reject records those whose key date fails its guard (B2,
+    B3 for the check-in timestamp), as they came."""
+    return rejects.filter(F.array_contains(FAILED, KEY_DATES[name])).drop(FAILED)
 
 
 class Lifecycle:
     """The tables of the 18 surveyed jobs by name, each built on demand.
 
-    ``land`` writes each feed that is needed once as a Parquet table before
-    anything reads it (for feeds scanned from text).  Without ``materialize``
+    ``feeds`` maps names to DataFrames, or to landed text (``TextFeeds``), whose
+    outcomes are read from its partitions.  ``land`` writes each DataFrame that
+    is needed once as a Parquet table before anything reads it.  Without ``materialize``
     intermediates stay in one plan, for a caller that wants a single table;
     ``share_new_shipment`` then still stages new_shipment alone."""
 
     def __init__(
         self,
-        feeds: Mapping[str, DataFrame],
+        feeds: Mapping[str, DataFrame | Landing],
         buckets: Buckets,
         lo: Date = LO,
         hi: Date = HI,
@@ -86,9 +86,19 @@ class Lifecycle:
 
     def feed(self, name: str) -> DataFrame:
         if name not in self._landed:
-            self._landed[name] = shared(self.feeds[name], f"feed-{name}") if self.land else self.feeds[name]
+            source = self.feeds[name]
+            if isinstance(source, Landing):
+                self._landed[name] = source.feed
+            else:
+                self._landed[name] = shared(source, f"feed-{name}") if self.land else source
         return self._landed[name]
 
+    def guard_rejects(self, name: str) -> DataFrame:
+        """One record per row of a feed that fails a guard, with the list."""
+        feed = self.feed(name)
+        source = self.feeds.get(name)
+        return source.rejects if isinstance(source, Landing) else guard_rejects(feed, name)
+
     @cached_property
     def ship(self) -> dict[str, DataFrame]:
         return build_shipment(self.feed("shipment_orig"), self.lo, self.hi)
@@ -187,10 +197,14 @@ TABLES = {
     "repair_rejects": lambda c: c.repair["repair_rejects"],
     "repair_period_rejects": lambda c: c.repair["repair_period_rejects"],
     "cabandon_rejects": lambda c: c.cabandon["cabandon_rejects"],
-    "shipment_date_rejects": lambda c: date_rejects(c.feed("shipment_orig"), "shipment_orig"),
-    "sdac_date_rejects": lambda c: date_rejects(c.feed("sdac_orig"), "sdac_orig"),
-    "uss_date_rejects": lambda c: date_rejects(c.feed("uss_device"), "uss_device"),
-    "repair_date_rejects": lambda c: date_rejects(c.feed("repair_orig"), "repair_orig"),
+    "shipment_date_rejects": lambda c: date_rejects(c.guard_rejects("shipment_orig"), "shipment_orig"),
+    "sdac_date_rejects": lambda c: date_rejects(c.guard_rejects("sdac_orig"), "sdac_orig"),
+    "uss_date_rejects": lambda c: date_rejects(c.guard_rejects("uss_device"), "uss_device"),
+    "repair_date_rejects": lambda c: date_rejects(c.guard_rejects("repair_orig"), "repair_orig"),
+    "shipment_guard_rejects": lambda c: c.guard_rejects("shipment_orig"),
+    "sdac_guard_rejects": lambda c: c.guard_rejects("sdac_orig"),
+    "uss_guard_rejects": lambda c: c.guard_rejects("uss_device"),
+    "repair_guard_rejects": lambda c: c.guard_rejects("repair_orig"),
 }
 #: Tables that need the warranty rule's source labels.
 BUCKET_TABLES = ("repair", "new_repair", "new_repair_exception", "timeline")

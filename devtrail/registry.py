@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from .functions.dates import day_of, in_order, min_date, parse_dates, valid_date
 from .functions.warranty import source_bucket, warranty_tag
 from .operators.aggregates import checkin_count, first_date_by, first_launch_date, last_date_by
 from .operators.dedupe import latest_per_key
+from .operators.guards import FAILED, guard_counts
 from .operators.joins import enrich, enrich_left, full_outer_by, join_both_ends, lookup, prefixed
 from .operators.sequence import distinct_observations, failure_tag, observations
 from .plans import exchange as px
@@ -26,6 +27,8 @@ from .plans import repair as pr
 from .plans import shipment as ps
 from .plans.lifecycle import KEY_DATES, Lifecycle, date_rejects
 from .sources import fixtures, textio
+from .sources.landing import TextFeeds
+from .sources.text import read_lines
 
 # Narrowed bounds of the variant queries (FIXTURES.md section 2).
 LO_LATE = _dt.date(2001, 6, 1)
@@ -76,6 +79,16 @@ class Ctx(Lifecycle):
         self.share_new_shipment = True
         return self.timeline
 
+    def spoiled(self, name: str) -> DataFrame:
+        """A feed with impossible dates in it."""
+        return fixtures.spoil(self.feed(name), name)
+
+    @cached_property
+    def spoiled_run(self) -> Lifecycle:
+        """The lifecycle of the feeds with impossible dates."""
+        feeds = {name: self.spoiled(name) for name in KEY_DATES}
+        return Lifecycle(feeds, FIXTURE_BUCKETS, LO, HI, FIXTURE_AS_OF, materialize=False)
+
     # shared pieces of single-operator queries
     @cached_property
     def ship_typed(self) -> DataFrame:
@@ -612,17 +625,82 @@ def a5_repair_text(c: Ctx) -> DataFrame:
     return textio.events_by_position(c.spark, c.new_repair["new_repair"], EVENT_FIELDS)
 
 
+def _counted(feed: str, **parts: DataFrame) -> DataFrame:
+    """One row: the number of rows of each table."""
+    out = None
+    for name, df in parts.items():
+        n = df.agg(F.count(F.lit(1)).alias(name))
+        out = n if out is None else out.crossJoin(n)  # one row by one row
+    return out.select(F.lit(feed).alias("feed"), *parts)
+
+
+def _used(c: Ctx, name: str) -> DataFrame:
+    """The records that the jobs go on with, as their own first step leaves them."""
+    date = KEY_DATES[name]
+    prepare = {
+        "shipment_orig": ps.prepare_shipment, "sdac_orig": lambda f: parse_dates(f, date), "uss_device": ps.last_checkins, "repair_orig": pr.prepare_repair,
+    }[name](c.feed(name))
+    return prepare if name == "uss_device" else prepare.filter(F.col(date).isNotNull())
+
+
 @query
 def b2_date_rejects(c: Ctx) -> DataFrame:
-    """Q7: per feed its records, those with a valid key date and the rejects."""
-    out = None
+    """Q7: per feed its records, those that the jobs use and the rejects, each counted."""
+    rows = [_counted(name, records=c.feed(name), rejects=date_rejects(c.guard_rejects(name), name), good=_used(c, name)) for name in KEY_DATES]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def b2_guard_outcomes(c: Ctx) -> DataFrame:
+    """Feeds with impossible dates and short lines written as raw text
+    and landed by one scan each: lines, and good, flawed and bad ones as their
+    own partitions hold them."""
+    rows = []
     for name in KEY_DATES:
-        feed = c.feed(name)
-        n = F.count(F.lit(1))
-        row = feed.agg(n.alias("records")).crossJoin(date_rejects(feed, name).agg(n.alias("rejects")))  # one row by one row
-        row = row.select(F.lit(name).alias("feed"), "records", "rejects", (F.col("records") - F.col("rejects")).alias("good"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        path = textio.write_raw(c.spark, c.spoiled(name), name)
+        landed = TextFeeds(c.spark, {name: path})[name]
+        rows.append(_counted(name, records=read_lines(c.spark, path), good=landed.good, rejects=landed.rejects, bad_lines=landed.bad_lines))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def b2_guard_rejects(c: Ctx) -> DataFrame:
+    """B2: reject records of shipments and claims with impossible dates, as they
+    came, with the guards that each fails."""
+    ship = c.spoiled_run.table("shipment_guard_rejects").select(
+        F.lit("shipment_orig").alias("feed"), "imei", F.col("order_id").alias("record"), F.col("mfg_date").alias("first"), F.col("shipment_date").alias("second"),
+        F.array_join(FAILED, ",").alias("failed"))
+    rep = c.spoiled_run.table("repair_guard_rejects").select(
+        F.lit("repair_orig").alias("feed"), "imei", F.col("claim_id").alias("record"), F.col("claim_date").alias("first"), F.col("purchase_date").alias("second"),
+        F.array_join(FAILED, ",").alias("failed"))
+    return ship.unionByName(rep)
+
+
+@query
+def b2_guard_counts(c: Ctx) -> DataFrame:
+    """Rows that fail each guard of each feed."""
+    return reduce(DataFrame.unionByName, [guard_counts(c.spoiled(name), name) for name in KEY_DATES])
+
+
+@query
+def b3_timestamp_rejects(c: Ctx) -> DataFrame:
+    """Check-ins whose first-seen or last-seen day is impossible or absent."""
+    return c.spoiled_run.table("uss_guard_rejects").withColumn(FAILED, F.array_join(FAILED, ","))
+
+
+@query
+def b3_checkins_used(c: Ctx) -> DataFrame:
+    """P13/P14 on a feed with impossible dates: check-ins that the observations
+    hold, and rejects, counted apart; together all records."""
+    uss = c.spoiled("uss_device")
+    out = _counted("uss_device", records=uss, halves=observations(uss), rejects=c.spoiled_run.table("uss_guard_rejects"))
+    return out.select("records", (F.col("halves") / 2).cast("long").alias("used"), "rejects")
+
+
+@query
+def p13_spoiled_transitions(c: Ctx) -> DataFrame:
+    """P13/P14 on a feed with impossible dates."""
+    return c.spoiled_run.transitions
 
 
 @query

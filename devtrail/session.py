@@ -24,6 +24,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # A task of a partitioned write keeps a file of each outcome open instead of
+    # sorting its rows by outcome first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -115,9 +118,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def stage(df, name: str = "stage"):
+def stage(df, name: str = "stage", partition_by: str | None = None):
     """Write ``df`` once as a Parquet table in a new folder under the shared
-    checkpoint folder and return the table read back.
+    checkpoint folder and return the table read back.  ``partition_by`` names a
+    column whose values become partitions, so a filter on it reads only those.
 
     Used for intermediates that several outputs read.  The write runs under
     AQE (coalesced partitions), the re-read splits by file size, and the
@@ -125,6 +129,9 @@ def stage(df, name: str = "stage"):
     the upstream shuffles."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
 

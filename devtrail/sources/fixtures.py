@@ -122,6 +122,26 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
 
 
+#: Values that fail their guard, put into a feed where a condition on its keys
+#: holds: field -> (condition, value), both read alike by Spark and DuckDB.
+SPOILED = {
+    "shipment_orig": {"mfg_date": ("order_id % 13 = 0", "'2014-02-31'"), "shipment_date": ("plant_id % 17 = 5", "'20X1-01-01'")},
+    "sdac_orig": {"create_date": ("event_id % 9 = 0", "'1999-13-01'")},
+    "uss_device": {
+        "first_ts": ("imsi % 7 = 0 AND length(first_ts) > 10", "concat(substr(first_ts, 1, 5), '02-31', substr(first_ts, 11))"),
+        "last_ts": ("imei % 11 = 3", "'not a timestamp'"),
+    },
+    "repair_orig": {"claim_date": ("imei % 19 = 4", "'0000-00-00'"), "purchase_date": ("claim_id % 8 = 1", "'n/a 2001-1'"),
+                    "warranty_period": ("claim_id % 10 = 7", "'abc'")},
+}
+
+
+def spoil(feed: DataFrame, name: str) -> DataFrame:
+    """A stand-in feed with impossible dates, for the guards."""
+    put = SPOILED[name]
+    return feed.select(*(F.expr(f"CASE WHEN {put[c][0]} THEN {put[c][1]} ELSE {c} END").alias(c) if c in put else F.col(c) for c in feed.columns))
+
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -175,3 +195,12 @@ SELECT 'SRC_' || CAST(l_suppkey % 8 AS VARCHAR) AS data_source, l_partkey AS ime
   CAST(p_size - 5 AS VARCHAR) AS warranty_period, l_orderkey AS claim_id
 {_J} WHERE l_returnflag = 'R'""",
 }
+
+
+def _spoiled_sql(name: str) -> str:
+    put = ", ".join(f"CASE WHEN {when} THEN {value} ELSE {field} END AS {field}" for field, (when, value) in SPOILED[name].items())
+    return f"SELECT * REPLACE ({put}) FROM {name}"
+
+
+# The spoiled feeds, each over its view.
+SPOILED_SQL = {f"{name}_spoiled": _spoiled_sql(name) for name in SPOILED}

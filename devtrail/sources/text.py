@@ -152,14 +152,17 @@ def render(
     null_markers: Mapping[str, str | Column] | None = None,
     default_marker: str = NULL_MARKER,
 ) -> list[Column]:
-    """A5: each column as text -- dates ``yyyy-MM-dd``, NULL as its marker
-    (``null_markers[col]``, a literal or a per-row Column, else
-    ``default_marker``)."""
+    """A5: each column as text -- dates ``yyyy-MM-dd``, lists joined by commas,
+    NULL as its marker (``null_markers[col]``, a literal or a per-row Column,
+    else ``default_marker``)."""
     markers = dict(null_markers or {})
     out = []
     for name, dtype in df.dtypes:
         c = F.col(name)
-        text = F.date_format(c, "yyyy-MM-dd") if dtype == "date" else c.cast("string")
+        if dtype == "date":
+            text = F.date_format(c, "yyyy-MM-dd")
+        else:
+            text = F.array_join(c, ",") if dtype.startswith("array") else c.cast("string")
         m = markers.get(name, default_marker)
         out.append(F.coalesce(text, m if isinstance(m, Column) else F.lit(m)).alias(name))
     return out

@@ -40,6 +40,22 @@ def place(df: DataFrame, layout: Layout, payload: Mapping[str, str]) -> DataFram
     return df.select(cols)
 
 
+#: Where each raw feed's stand-in puts its extra columns.
+RAW_PAYLOAD = {"shipment_orig": SHIPMENT_PAYLOAD, "sdac_orig": SDAC_PAYLOAD, "repair_orig": REPAIR_PAYLOAD, "uss_device": {}}
+#: Records that ``write_raw`` cuts short by a field.
+SHORT = {"shipment_orig": "order_id % 31 = 0", "sdac_orig": "event_id % 31 = 0", "repair_orig": "claim_id % 31 = 0", "uss_device": "imsi % 31 = 0"}
+
+
+def write_raw(spark: SparkSession, feed: DataFrame, name: str) -> str:
+    """A stand-in feed as raw text lines, some of them a field short; the path."""
+    path, layout = scratch_path(spark, f"raw-{name}"), LAYOUTS[name]
+    placed = place(feed.withColumn("__short", F.expr(SHORT[name])), Layout(layout.width + 1, {**dict(enumerate(layout.columns())), layout.width: "__short"}),
+                   RAW_PAYLOAD[name])
+    width = F.when(F.col("__short"), layout.width - 1).otherwise(layout.width)
+    write_delimited(placed, path, ragged_width=width)
+    return path
+
+
 def shipment_roundtrip(spark: SparkSession, ship_orig: DataFrame) -> DataFrame:
     """Write the shipment feed as 29-field lines, scan it back (A1) and
     restore the stand-in feed's types."""

@@ -74,8 +74,8 @@ def test_only_what_is_asked_is_built(spark, raw_feeds, tmp_path, monkeypatch):
 
     staged = []
     real = session.stage
-    for module in ("devtrail.plans.shipment", "devtrail.plans.exchange"):
-        monkeypatch.setattr(f"{module}.stage", lambda df, name="stage": (staged.append(name), real(df, name))[1])
+    for module in ("devtrail.plans.shipment", "devtrail.plans.exchange", "devtrail.sources.landing"):
+        monkeypatch.setattr(f"{module}.stage", lambda df, name="stage", **how: (staged.append(name), real(df, name, **how))[1])
     args = [f"--{k.replace('_', '-')}={v}" for k, v in raw_feeds.items()] + [f"--out={tmp_path}/out", "--as-of=2001-10-01"]
     main([*args, "--only=cabandon"], spark=spark)
     assert staged == ["feed-uss_device", "cabandon_best"]
