@@ -372,6 +372,8 @@ q("a5_ragged_render", ["timeline"], """
 SELECT eventtype, CASE eventtype WHEN 'shipment' THEN 46 WHEN 'repair' THEN 91 WHEN 'move' THEN 135 ELSE 52 END
        AS n_fields, count(*) AS n FROM timeline GROUP BY ALL""")
 
+q("a5_timeline_roundtrip", ["timeline"], "SELECT * FROM timeline")
+
 
 def _t(c: str, absent: str = "\\N") -> str:
     return f"coalesce(CAST({c} AS VARCHAR), '{absent}')"

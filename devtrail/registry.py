@@ -25,10 +25,11 @@ from .operators.sequence import distinct_observations, failure_tag, observations
 from .plans import exchange as px
 from .plans import repair as pr
 from .plans import shipment as ps
-from .plans.lifecycle import KEY_DATES, Lifecycle, date_rejects
+from .plans.lifecycle import KEY_DATES, Lifecycle, date_rejects, write_outputs
+from .session import scratch_path
 from .sources import fixtures, textio
 from .sources.landing import TextFeeds
-from .sources.text import read_lines
+from .sources.text import LAYOUTS, read_lines
 
 # Narrowed bounds of the variant queries (FIXTURES.md section 2).
 LO_LATE = _dt.date(2001, 6, 1)
@@ -89,6 +90,13 @@ class Ctx(Lifecycle):
         feeds = {name: self.spoiled(name) for name in KEY_DATES}
         return Lifecycle(feeds, FIXTURE_BUCKETS, LO, HI, FIXTURE_AS_OF, materialize=False)
 
+    @cached_property
+    def placed_run(self) -> Lifecycle:
+        """The lifecycle of feeds that have all their raw positions, as scanned."""
+        payload = {**textio.RAW_PAYLOAD, "repair_orig": textio.REPAIR_PAYLOAD_LAST}
+        feeds = {name: textio.place(self.feed(name), LAYOUTS[name], payload[name]) for name in KEY_DATES}
+        return Lifecycle(feeds, FIXTURE_BUCKETS, LO, HI, FIXTURE_AS_OF, materialize=False)
+
     # shared pieces of single-operator queries
     @cached_property
     def ship_typed(self) -> DataFrame:
@@ -565,42 +573,58 @@ def a5_ragged_render(c: Ctx) -> DataFrame:
     return textio.ragged_report(c.spark, c.whole())
 
 
-REPORT_FIELDS = {  # device key and date of each report, by position
-    "sdac": ("sdac_orig", textio.SDAC_PAYLOAD, (1, 4)),
-    "activation": ("uss_device", {}, (3, 4, 10)),
-    "repair": ("repair_orig", textio.REPAIR_PAYLOAD, (4, 13, 14, 27)),
-    "exchange": ("exchange", {}, (0, 1, 2, 3, 4, 5)),
+REPORT_FIELDS = {  # table of each report, and its device key and dates by position
+    "sdac": ("sdac_exception", (1, 4)),
+    "activation": ("activation_exception", (3, 4, 10)),
+    "repair": ("repair_exception", (4, 13, 14, 27)),
+    "cabandon": ("cabandon_exception", (0, 1, 2, 3, 4, 5)),
+    "dabandon": ("dabandon_exception", (0, 1, 2, 3, 4, 5)),
 }
 
 
+def _report_text(c: Ctx, report: str) -> DataFrame:
+    """A report of feeds in their raw positions, written by the one writer of
+    text outputs as its columns stand, and read back by position only."""
+    table, positions = REPORT_FIELDS[report]
+    base = scratch_path(c.spark, "report")
+    write_outputs({table: c.placed_run.table(table)}, base, fmt="text")
+    return textio.by_position(c.spark, f"{base}/{table}", positions)
+
+
 @query
 def e4_sdac_text(c: Ctx) -> DataFrame:
     """P16 as text, read by position."""
-    return textio.report_by_position(c.spark, e4_sdac_not_shipped(c), *REPORT_FIELDS["sdac"])
+    return _report_text(c, "sdac")
 
 
 @query
 def e4_activation_text(c: Ctx) -> DataFrame:
     """P15 as text, read by position."""
-    return textio.report_by_position(c.spark, e4_activation_not_shipped(c), *REPORT_FIELDS["activation"])
+    return _report_text(c, "activation")
 
 
 @query
 def e4_repair_text(c: Ctx) -> DataFrame:
     """P17 as text, read by position: purchase date and period as they came."""
-    return textio.report_by_position(c.spark, e4_repair_not_shipped(c), *REPORT_FIELDS["repair"])
+    return _report_text(c, "repair")
 
 
 @query
 def e4_cabandon_text(c: Ctx) -> DataFrame:
     """P18 as text, read by position."""
-    return textio.report_by_position(c.spark, e4_cabandon_not_shipped(c), *REPORT_FIELDS["exchange"])
+    return _report_text(c, "cabandon")
 
 
 @query
 def e4_dabandon_text(c: Ctx) -> DataFrame:
     """P19 as text, read by position."""
-    return textio.report_by_position(c.spark, e4_dabandon_not_shipped(c), *REPORT_FIELDS["exchange"])
+    return _report_text(c, "dabandon")
+
+
+@query
+def a5_timeline_roundtrip(c: Ctx) -> DataFrame:
+    """A3/A5: the timeline written as ragged text and read back row for row."""
+    return textio.timeline_roundtrip(c.spark, c.whole())
 
 
 # header, imei, first_mfg_date, sdac imei, first_launch_date, xchg uid/uidtype/toimei, rep imei and tag, to imei and launch date

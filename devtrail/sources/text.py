@@ -82,6 +82,8 @@ LAYOUTS["timeline"] = Layout(
 )
 EVENT_WIDTHS = {"shipment": 46, "repair": 91, "move": 135}
 OTHER_EVENT_WIDTH = 52  # cabandon, dabandon, swap
+#: Field counts that a line of each event type may have when it is read.
+READ_WIDTHS = {**{t: (n,) for t, n in EVENT_WIDTHS.items()}, **{t: (OTHER_EVENT_WIDTH,) for t in ("cabandon", "dabandon", "swap")}}
 for _name, _width in (("new_shipment_events", 46), ("new_complex", 52), ("new_repair", 91), ("new_move", 135)):
     LAYOUTS[_name] = Layout(_width, dict(enumerate(LAYOUTS["timeline"].columns()[:_width])))
 
@@ -147,6 +149,32 @@ def read_delimited(
     return good, rejects
 
 
+def read_ragged(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    layout: Layout,
+    widths: Mapping[str, Sequence[int]],
+    sep: str = FIELD_SEP,
+) -> tuple[DataFrame, DataFrame]:
+    """A3/A5: scan lines of several widths into the columns of ``layout``.  A
+    line's first field names its kind, and ``widths`` the field counts that a
+    line of that kind may have; the fields beyond its end are absent (NULL).
+    Lines of an unknown kind or another width go to ``rejects`` (column
+    ``value``)."""
+    longest = max(n for ns in widths.values() for n in ns)
+    if longest > layout.width:
+        raise ValueError(f"a line of {longest} fields does not fit a layout of {layout.width}")
+    lines = read_lines(spark, paths)
+    parts = lines.select(F.col("value"), split_fields(lines, sep).alias("__f"))
+    kind, n = F.get("__f", F.lit(0)), F.size("__f")
+    ok = F.lit(False)
+    for width in sorted({n for ns in widths.values() for n in ns}):
+        ok = ok | ((n == width) & kind.isin([k for k, ns in widths.items() if width in ns]))
+    parts = parts.withColumn("__ok", ok)
+    good = parts.filter("__ok").select([F.get("__f", F.lit(i)).alias(c) for i, c in enumerate(layout.columns())])
+    return good, parts.filter("NOT __ok").select("value")
+
+
 def render(
     df: DataFrame,
     null_markers: Mapping[str, str | Column] | None = None,
@@ -222,19 +250,23 @@ def read_table(spark: SparkSession, paths: str | Sequence[str], name: str, sep:
     ``activation``, ``repair``, ``new_shipment``, ``exchange`` or one of the
     event tables) back into
     typed columns: the ``\\N``/``NA`` markers become NULL, ``*date`` columns
-    are guarded dates (B2), counts and periods numbers.  Keys stay text.
-    Returns ``(table, rejects)`` like ``read_delimited``."""
+    are guarded dates (B2), counts and periods numbers.  Keys stay text.  Lines
+    of the ``timeline`` have the width of their event type, and the fields
+    beyond it are NULL.  Returns ``(table, rejects)`` like ``read_delimited``."""
     from ..functions.dates import valid_date
 
-    good, rejects = read_delimited(spark, paths, LAYOUTS[name], sep)
+    if name == "timeline":
+        good, rejects = read_ragged(spark, paths, LAYOUTS[name], READ_WIDTHS, sep)
+    else:
+        good, rejects = read_delimited(spark, paths, LAYOUTS[name], sep)
     cols = []
     for c in good.columns:
         v = F.when(~F.col(c).isin(*_MARKERS), F.col(c))
         if c.endswith("date"):
             v = valid_date(v)
-        elif c in _INT_COLUMNS:
+        elif c.removeprefix("rep_") in _INT_COLUMNS:
             v = v.try_cast("int")
-        elif c in _BIGINT_COLUMNS:
+        elif c.removeprefix("to_") in _BIGINT_COLUMNS:
             v = v.try_cast("bigint")
         cols.append(v.alias(c))
     return good.select(cols), rejects

@@ -21,6 +21,8 @@ from .text import LAYOUTS, Layout, event_width, place_events, read_delimited, re
 SHIPMENT_PAYLOAD = {"c00": "order_id", "c01": "plant_id", "c02": "channel"}
 SDAC_PAYLOAD = {"c00": "event_id"}
 REPAIR_PAYLOAD = {"c01": "claim_id"}
+#: As ``REPAIR_PAYLOAD``, with the claim id after the fields that order equal claims.
+REPAIR_PAYLOAD_LAST = {"c30": "claim_id"}
 EVENT_PAYLOAD = {
     **{f"{end}{p}": f"{end}{c}" for end in ("", "to_") for p, c in SHIPMENT_PAYLOAD.items()},
     **{f"{end}sdac_{p}": f"{end}sdac_{c}" for end in ("", "to_") for p, c in SDAC_PAYLOAD.items()},
@@ -200,12 +202,11 @@ def events_by_position(spark: SparkSession, events: DataFrame, positions: Sequen
     return by_position(spark, path, positions)
 
 
-def report_by_position(
-    spark: SparkSession, report: DataFrame, layout: str, payload: Mapping[str, str], positions: Sequence[int]
-) -> DataFrame:
-    """A not-shipped report written as text in its feed's layout and read back
-    by position."""
-    path = scratch_path(spark, "report")
-    placed = place(report, LAYOUTS[layout], payload)
-    write_delimited(placed, path, null_markers=null_markers(placed))
-    return by_position(spark, path, positions)
+def timeline_roundtrip(spark: SparkSession, timeline: DataFrame) -> DataFrame:
+    """A3/A5: the timeline written as ragged text, read back through its widths
+    per event type, and given the types and columns it had."""
+    path = scratch_path(spark, "timeline")
+    write_event_text(timeline, path, payload=EVENT_PAYLOAD)
+    back, _ = read_table(spark, path, "timeline")
+    place_of = {c: p for p, c in EVENT_PAYLOAD.items()}
+    return back.select(*(F.col(place_of.get(c, c)).cast(t).alias(c) for c, t in timeline.dtypes))

@@ -236,3 +236,27 @@ def test_read_table_markers_and_types(spark, tmp_path):
                               "checkin_count": "bigint"}
     assert rows(t) == [("d1", D(2001, 6, 1), None, 1), ("d2", None, None, None)]
     assert rejects.count() == 1
+
+
+def test_timeline_text_is_read_back_row_for_row(spark, outputs, tmp_path):
+    from devtrail.sources.text import place_events, read_table
+
+    write_outputs({"timeline": outputs["timeline"]}, str(tmp_path), fmt="text")
+    back, rejects = read_table(spark, f"{tmp_path}/timeline", "timeline")
+    want = place_events(outputs["timeline"])
+    assert rejects.count() == 0 and back.columns == want.columns
+    typed = dict(outputs["timeline"].dtypes)
+    assert {c: t for c, t in back.dtypes if c in typed} == {c: typed[c] for c in back.columns if c in typed}
+    assert rows(back) == rows(want)
+
+
+def test_ragged_lines_of_a_wrong_width_are_rejects(spark, tmp_path):
+    from devtrail.sources.text import Layout, read_ragged
+
+    p = write_feed(str(tmp_path), "x", [SEP.join(x) for x in (["a", "1"], ["a", "1", ""], ["b", "1", "2", "3"], ["b", "1"], ["c", "1"], ["a"], ["a", "1", "2", "3"], [""])])
+    good, rejects = read_ragged(spark, p, Layout(4, {0: "kind"}), {"a": (2, 3), "b": (4,)})
+    assert good.columns == ["kind", "c01", "c02", "c03"]
+    assert rows(good) == sorted([("a", "1", None, None), ("a", "1", "", None), ("b", "1", "2", "3")], key=repr)
+    assert rows(rejects) == sorted([(SEP.join(x),) for x in (["b", "1"], ["c", "1"], ["a"], ["a", "1", "2", "3"], [""])], key=repr)
+    with pytest.raises(ValueError):
+        read_ragged(spark, p, Layout(3), {"a": (4,)})
