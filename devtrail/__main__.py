@@ -3,11 +3,14 @@
     python -m devtrail --shipment-orig P --sdac-orig P --uss-device P --repair-orig P \\
         --out DIR [--format parquet|text] [--as-of YYYY-MM-DD] \\
         --domestic "label,label" --overseas "label,..." [--only shipment,timeline] \\
-        [--reference-file-counts]
+        [--reference-file-counts | --rows-per-file N]
+
+    python -m devtrail union --inputs DIR,DIR,... --out DIR [--num-files N] [--unordered]
 
 Each input accepts a comma-separated list of paths (several folders of one
 feed).  Outputs are written under ``DIR/<table>``; ``--only`` restricts the
-tables written.  The session comes from spark-submit / the environment.
+tables written.  ``union`` puts event tables that were written as text
+together line by line, without parsing them.  The session comes from spark-submit / the environment.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from .config import GRACE_MONTHS, HI, LO, REFERENCE_FILE_COUNTS, STALE_DAYS, Buc
 from .plans.lifecycle import BUCKET_TABLES, FEEDS, TABLES, run_lifecycle, write_outputs
 from .session import run_scratch, scale_out
 from .sources.landing import TextFeeds
+from .sources.text import union_text
 
 
 def _date(s: str | None) -> dt.date | None:
@@ -46,6 +50,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--checkin-source", choices=("deduped", "raw"), default="deduped")
     p.add_argument("--only", default="", help="tables to write, comma separated (default: all)")
     p.add_argument("--mode", choices=("overwrite", "errorifexists"), default="overwrite")
+    p.add_argument("--rows-per-file", type=int, help="even files of at most so many rows")
     p.add_argument(
         "--reference-file-counts", action="store_true",
         help="write each table in the file count of the surveyed jobs (default: sized by AQE)",
@@ -60,12 +65,30 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     return a
 
 
-def main(argv: list[str] | None = None, spark=None) -> dict:
-    a = parse_args(sys.argv[1:] if argv is None else argv)
-    if spark is None:
-        from pyspark.sql import SparkSession
+def _session():
+    from pyspark.sql import SparkSession
+
+    return scale_out(SparkSession.builder.appName("devtrail").getOrCreate())
+
+
+def union_main(argv: list[str], spark=None) -> None:
+    p = argparse.ArgumentParser(prog="devtrail union", description="text event tables into one, line by line")
+    p.add_argument("--inputs", required=True, help="folders, comma separated, in the order to keep")
+    p.add_argument("--out", required=True)
+    p.add_argument("--num-files", type=int)
+    p.add_argument("--unordered", action="store_true", help="no shuffle: lines in any order")
+    p.add_argument("--mode", choices=("overwrite", "errorifexists"), default="overwrite")
+    a = p.parse_args(argv)
+    union_text(spark or _session(), a.inputs.split(","), a.out, mode=a.mode, num_files=a.num_files, ordered=not a.unordered)
 
-        spark = scale_out(SparkSession.builder.appName("devtrail").getOrCreate())
+
+def main(argv: list[str] | None = None, spark=None) -> dict:
+    """Write the chosen tables; their paths by name."""
+    argv = sys.argv[1:] if argv is None else argv
+    if argv[:1] == ["union"]:
+        return union_main(argv[1:], spark) or {}
+    a = parse_args(argv)
+    spark = spark or _session()
     paths = {
         "shipment_orig": a.shipment_orig.split(","),
         "sdac_orig": a.sdac_orig.split(","),
@@ -89,8 +112,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         ) if tables else {}
         chosen.update({f"{k}_bad_lines": feeds.bad_lines(k) for k in FEEDS if not only or f"{k}_bad_lines" in only})
         files = REFERENCE_FILE_COUNTS if a.reference_file_counts else None
-        write_outputs(chosen, a.out, fmt=a.format, mode=a.mode, num_files=files)
-    return chosen
+        write_outputs(chosen, a.out, fmt=a.format, mode=a.mode, num_files=files, rows_per_file=a.rows_per_file)
+    return {name: f"{a.out.rstrip('/')}/{name}" for name in chosen}  # what the run staged is gone
 
 
 if __name__ == "__main__":

@@ -10,17 +10,19 @@ from .joins import (
     join_both_ends,
     lookup,
     not_in,
+    only_not_in,
     prefixed,
     sized_broadcast,
 )
 from .quality import chronology_exceptions, stale
-from .sequence import distinct_observations, failure_tag, observations, transitions
+from .sequence import device_codes, distinct_observations, failure_tag, observations, transitions
 
 __all__ = [
     "best_per_key",
     "checkin_count",
     "chronology_exceptions",
     "dedupe",
+    "device_codes",
     "distinct_observations",
     "earliest_per_key",
     "enrich",
@@ -35,6 +37,7 @@ __all__ = [
     "lookup",
     "not_in",
     "observations",
+    "only_not_in",
     "prefixed",
     "sized_broadcast",
     "split_bound",

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
@@ -34,15 +34,16 @@ def sized_broadcast(
     dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Materialise ``dim`` once as a table in the shared checkpoint folder,
-    measure it (row count and in-memory bytes, one small aggregate; only two
-    numbers reach the driver) and mark it for broadcast only if both are
+    measured by the job that writes it (row count and in-memory bytes; only two
+    numbers reach the driver), and mark it for broadcast only if both are
     within bounds.  A larger ``dim`` is returned unmarked: the join then
     shuffles both sides (AQE may still broadcast from runtime sizes, or split
     skewed keys)."""
-    dim = stage(dim, "dim")
-    n, size = dim.agg(F.count(F.lit(1)), F.sum(row_bytes(dim))).first()
-    small = n <= max_rows and (size or 0) <= max_bytes
-    return F.broadcast(dim) if small else dim
+    seen = Observation()
+    staged = stage(dim.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(dim)).alias("bytes")), "dim")
+    found = seen.get  # empty if the optimizer found the table to be empty
+    small = found.get("rows", 0) <= max_rows and (found.get("bytes") or 0) <= max_bytes
+    return F.broadcast(staged) if small else staged
 
 
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -75,6 +76,21 @@ def not_in(df: DataFrame, ref: DataFrame, key: str = "imei", ref_key: str | None
     return df.join(keys, on=key, how="left_anti").select(*df.columns)
 
 
+def only_not_in(
+    df: DataFrame, ref: DataFrame, key: str = "imei", max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """E4 ahead of a reduction by the same key: the rows of ``df`` whose key does
+    not occur in ``ref``, for a ``df`` of wide records of which few remain.
+
+    First the keys alone are compared: distinct keys of both sides, an anti join
+    of one-column tables.  The keys that remain are then met by the records, by
+    a broadcast if they are few, so the others are neither shuffled nor sorted.
+    A null key is in no ``ref`` and stays."""
+    keys = not_in(df.select(key).distinct(), ref, key).select(F.col(key).alias("__key"))
+    keys = sized_broadcast(keys, max_rows, max_bytes)
+    return df.join(keys, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,

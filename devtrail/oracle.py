@@ -406,6 +406,16 @@ FROM new_move""")
 q("a5_repair_text", ["new_repair"], f"""
 SELECT 91 AS n_fields, {_SHIP_TEXT}, '\\N' AS f46, '\\N' AS f47, '\\N' AS f49, {_t('rep_imei')} AS f56, {_t('rep_is_real_in_warranty')} AS f90,
   NULL AS f100, NULL AS f134 FROM new_repair""")
+q("p10_union_text", ["ns_events", "new_complex", "new_move", "new_repair"], f"""
+SELECT 46 AS n_fields, {_SHIP_TEXT}, {', '.join(f'NULL AS f{i}' for i in (46, 47, 49, 56, 90, 100, 134))} FROM ns_events
+UNION ALL SELECT 52, {_SHIP_TEXT}, {_XCHG_TEXT}, NULL, NULL, NULL, NULL FROM new_complex
+UNION ALL SELECT 135, {_SHIP_TEXT}, {_XCHG_TEXT}, '\\N', '\\N', {_t('to_imei')}, {_t('to_first_launch_date', 'NA')} FROM new_move
+UNION ALL SELECT 91, {_SHIP_TEXT}, '\\N', '\\N', '\\N', {_t('rep_imei')}, {_t('rep_is_real_in_warranty')}, NULL, NULL FROM new_repair""")
+q("g1_file_rows", ["uss_device"], "SELECT count(*) AS n_rows, true AS within_limit, true AS even FROM uss_device")
+q("a6_overwrite", ["sdac_orig"], "SELECT CAST(imei AS VARCHAR) AS imei, CAST(event_id AS VARCHAR) AS event_id, create_date, 'written' AS second "
+  "FROM sdac_orig WHERE create_date = ''")
+q("a7_error_if_exists", ["sdac_orig"], "SELECT CAST(imei AS VARCHAR) AS imei, CAST(event_id AS VARCHAR) AS event_id, create_date, 'PATH_ALREADY_EXISTS' AS second "
+  "FROM sdac_orig")
 _GUARDS = {"shipment_orig": guard("shipment_date"), "sdac_orig": guard("create_date"), "uss_device": day("last_ts"), "repair_orig": guard("claim_date")}
 q("b2_date_rejects", list(_GUARDS), " UNION ALL ".join(
     f"SELECT '{f}' AS feed, count(*) AS records, count(*) FILTER (({g}) IS NULL) AS rejects, count({g}) AS good FROM {f}" for f, g in _GUARDS.items()))

@@ -16,7 +16,7 @@ from ..operators.dedupe import best_per_key, split_bound
 from ..operators.events import to_exchange
 from ..operators.joins import not_in
 from ..operators.quality import stale
-from ..operators.sequence import observations, transitions
+from ..operators.sequence import device_codes, observations, transitions
 from ..session import stage
 
 Date = _dt.date | str | None
@@ -63,7 +63,8 @@ def build_transitions(uss_device: DataFrame, kind: str | None = None) -> DataFra
     """SIM device transitions (D11 -> W2 -> D9) as exchange records
     ``(imsi, 'imsi', from_imei, to_imei, 'move'|'swap', day)``."""
     uid_t, imei_t = _types(uss_device)
-    t = transitions(observations(uss_device), kind=kind)
+    codes = device_codes(uss_device)
+    t = transitions(observations(uss_device), kind=kind, codes=codes, with_models=False)
     return to_exchange(t, "imsi", "imsi", "from_imei", "to_imei", F.col("kind"), "eventdate", uid_t, imei_t)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import GRACE_MONTHS, HI, LO, STALE_DAYS, Buckets
 from ..operators.guards import FAILED, guard_rejects
+from ..session import together
 from ..sources.landing import Landing
 from ..sources.text import LAYOUTS, read_delimited, write_delimited, write_table
 from ..sources.textio import null_markers, write_event_text
@@ -60,7 +61,8 @@ class Lifecycle:
     outcomes are read from its partitions.  ``land`` writes each DataFrame that
     is needed once as a Parquet table before anything reads it.  Without ``materialize``
     intermediates stay in one plan, for a caller that wants a single table;
-    ``share_new_shipment`` then still stages new_shipment alone."""
+    ``share`` then still stages what several branches of the timeline read:
+    new_shipment and the SIM transitions."""
 
     def __init__(
         self,
@@ -74,11 +76,11 @@ class Lifecycle:
         checkin_source: str = "deduped",
         land: bool = False,
         materialize: bool = True,
-        share_new_shipment: bool = False,
+        share: bool = False,
     ):
         self.feeds, self.buckets, self.lo, self.hi, self.as_of, self.days = feeds, buckets, lo, hi, as_of, days
         self.grace, self.checkin_source, self.land = grace, checkin_source, land
-        self.materialize, self.share_new_shipment = materialize, share_new_shipment
+        self.materialize, self.share = materialize, share
         self._landed: dict[str, DataFrame] = {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -99,6 +101,10 @@ class Lifecycle:
         source = self.feeds.get(name)
         return source.rejects if isinstance(source, Landing) else guard_rejects(feed, name)
 
+    @property
+    def session(self) -> SparkSession:
+        return self.feed("shipment_orig").sparkSession
+
     @cached_property
     def ship(self) -> dict[str, DataFrame]:
         return build_shipment(self.feed("shipment_orig"), self.lo, self.hi)
@@ -121,11 +127,13 @@ class Lifecycle:
 
     @cached_property
     def new_shipment(self) -> dict[str, DataFrame]:
+        self.ship  # both of the next need it
+        together(self.session, lambda: self.sdac, lambda: self.activation)
         return build_new_shipment(
             self.ship["shipment"], self.sdac["sdac"], self.activation["activation"], self.hi,
             sdac_model_dates=self.sdac["sdac_model_dates"],
             activation_model_dates=self.activation["activation_model_dates"],
-            materialize=self.materialize or self.share_new_shipment,  # read by five outputs: computed once
+            materialize=self.materialize or self.share,  # read by five outputs: computed once
         )
 
     @cached_property
@@ -138,7 +146,8 @@ class Lifecycle:
 
     @cached_property
     def transitions(self) -> DataFrame:
-        return self.keep(build_transitions(self.feed("uss_device")), "transitions")
+        made = build_transitions(self.feed("uss_device"))
+        return shared(made, "transitions") if self.materialize or self.share else made
 
     def moved(self, kind: str) -> DataFrame:
         return self.transitions.filter(F.col("eventtype") == kind)
@@ -158,7 +167,11 @@ class Lifecycle:
 
     @cached_property
     def timeline(self) -> DataFrame:
-        """P10 from the staged event tables."""
+        """P10 from the staged event tables; what they read is built side by side."""
+        if self.materialize or self.share:
+            together(self.session, lambda: self.new_shipment, lambda: self.transitions, lambda: self.repair, lambda: self.cabandon, lambda: self.dabandon)
+            if self.materialize:
+                together(self.session, lambda: self.new_complex, lambda: self.new_move, lambda: self.new_repair)
         return build_timeline(
             self.new_shipment["new_shipment_events"], self.new_complex, self.new_move, self.new_repair["new_repair"]
         )
@@ -230,18 +243,21 @@ def write_outputs(
     num_files: Mapping[str, int] | None = None,
     mode: str = "overwrite",
     payload: Mapping[str, str] | None = None,
+    rows_per_file: int | None = None,
 ) -> None:
     """Write each output once under ``base/<name>`` (Parquet, or Ctrl-A text
     with the null markers and the constant event positions; ``payload`` places
-    the extra columns of typed feeds)."""
+    the extra columns of typed feeds).  ``num_files`` gives some tables a number
+    of files, ``rows_per_file`` all others even files of at most so many rows."""
     files = dict(num_files or {})
     for name, df in outputs.items():
         path = f"{base.rstrip('/')}/{name}"
+        how = {"mode": mode, "num_files": files.get(name), "rows_per_file": None if files.get(name) else rows_per_file}
         if fmt == "parquet":
-            write_table(df, path, mode=mode, num_files=files.get(name))
+            write_table(df, path, **how)
         elif fmt != "text":
             raise ValueError("fmt must be 'parquet' or 'text'")
         elif name in EVENT_TABLES:
-            write_event_text(df, path, num_files=files.get(name), mode=mode, payload=payload)
+            write_event_text(df, path, payload=payload, **how)
         else:
-            write_delimited(df, path, num_files=files.get(name), mode=mode, null_markers=null_markers(df))
+            write_delimited(df, path, null_markers=null_markers(df), **how)

@@ -59,13 +59,20 @@ def build_repair(
     shipped claims whose warranty period is not a number (the surveyed job
     aborts on them).  ``materialize`` writes the dedup once so the rejects
     need no second pass."""
-    texts = repair_orig.withColumns({raw: F.col(c) for c, raw in RAW.items()})
-    best = best_per_key(prepare_repair(texts), ["imei", "claim_date"], "claim_date", latest=False)
-    if materialize:
-        best = shared(best, "repair_best")
-    as_read, rejects = split_bound(best, "claim_date", hi=hi)
-    rejects = rejects.drop(*RAW.values())
-    dedup = as_read.drop(*RAW.values())
+    texts = prepare_repair(repair_orig.withColumns({raw: F.col(c) for c, raw in RAW.items()}))
+    keys = ["imei", "claim_date"]
+    tie = [c for c in texts.columns if c not in (*keys, *RAW.values())]  # typed values order equal claims, the texts ride along
+
+    def reduced(claims: DataFrame) -> DataFrame:
+        return best_per_key(claims, keys, "claim_date", latest=False, tie=tie)
+
+    if materialize:  # one dedup for claims, rejects and the report of raw text
+        with_text = shared(reduced(texts), "repair_best")
+        best = with_text.drop(*RAW.values())
+    else:  # a single table's plan has no use for the texts
+        with_text, best = reduced(texts), reduced(texts.drop(*RAW.values()))
+    as_read, _ = split_bound(with_text, "claim_date", hi=hi)
+    dedup, rejects = split_bound(best, "claim_date", hi=hi)
     tagged = failure_tag(dedup, "imei", "claim_date")
     joined = tagged.join(last_shipment_dates(shipment_orig, lo), "imei", "inner")
     good = joined.filter(F.col("warranty_period").isNotNull())

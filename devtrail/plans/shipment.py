@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HI, LO, MAX_BROADCAST_ROWS
-from ..session import stage
+from ..session import stage, stage_by_key, together
 from ..functions.dates import day_of, parse_dates
 from ..operators.aggregates import checkin_count, first_date_by
 from ..operators.dedupe import best_per_key, earliest_per_key, latest_per_key, split_bound
-from ..operators.joins import lookup, not_in, sized_broadcast
+from ..operators.joins import enrich_left, not_in, only_not_in, sized_broadcast
 from ..operators.quality import chronology_exceptions
 
 Date = _dt.date | str | None
@@ -26,6 +26,12 @@ def shared(df: DataFrame, name: str = "shared") -> DataFrame:
     return stage(df, name)
 
 
+def shared_by_device(df: DataFrame, name: str) -> DataFrame:
+    """``shared`` for a table with one row a device, bucketed by it: the joins by
+    device that follow need no exchange on its side."""
+    return stage_by_key(df, "imei", name)
+
+
 def prepare_shipment(shipment_orig: DataFrame) -> DataFrame:
     """Guard the two dates of the raw shipment feed (B2)."""
     return parse_dates(shipment_orig, "mfg_date", "shipment_date")
@@ -62,12 +68,13 @@ def build_shipment(
     s = prepare_shipment(shipment_orig)
     # one dedup, written once, feeds shipment, shipment_model (and through it
     # sdac and activation) and the rejects
-    best = shared(best_per_key(s, ["imei"], "shipment_date", latest=True), "shipment_best")
-    latest, rejects = split_bound(best, "shipment_date", lo=lo)
-    dims = model_first_dates(shipment_orig, hi)
-    shipment = lookup(latest, dims, "model", max_broadcast_rows).select(
-        *s.columns, "first_mfg_date", "first_shipment_date"
+    best, dims = together(
+        shipment_orig.sparkSession,
+        lambda: shared_by_device(best_per_key(s, ["imei"], "shipment_date", latest=True), "shipment_best"),
+        lambda: sized_broadcast(model_first_dates(shipment_orig, hi), max_broadcast_rows),
     )
+    latest, rejects = split_bound(best, "shipment_date", lo=lo)
+    shipment = enrich_left(latest, dims, "model").select(*s.columns, "first_mfg_date", "first_shipment_date")
     return {
         "shipment": shipment,
         "shipment_model": latest.select("imei", "model"),
@@ -95,9 +102,9 @@ def build_sdac(
     rejects need no second pass."""
     best = best_per_key(parse_dates(sdac_orig, "create_date"), ["imei"], "create_date", latest=False)
     if materialize:
-        best = shared(best, "sdac_best")
+        best = shared_by_device(best, "sdac_best")
     first, rejects = split_bound(best, "create_date", hi=hi)
-    joined = shared(first.join(shipment_model.select("imei", "model"), "imei", "inner"))
+    joined = shared_by_device(first.join(shipment_model.select("imei", "model"), "imei", "inner"), "sdac_model")
     dims = sized_broadcast(first_date_by(joined, "model", {"first_sdac_date": "create_date"}, hi), max_broadcast_rows)
     sdac = joined.join(dims, "model", "left").select(*first.columns, "first_sdac_date")
     return {"sdac": sdac, "sdac_first": first, "sdac_model_dates": dims, "sdac_rejects": rejects}
@@ -136,9 +143,9 @@ def build_activation(
     u = last_checkins(uss_device)
     best = best_per_key(u, ["imei"], "activation_date", latest=True)
     if materialize:  # the rejects are written by a separate job: one dedup pass for both
-        best = shared(best, "activation_best")
+        best = shared_by_device(best, "activation_best")
     latest, rejects = split_bound(best, "activation_date", lo=lo)
-    joined = shared(latest.join(shipment_model.select("imei", "model"), "imei", "inner"))
+    joined = shared_by_device(latest.join(shipment_model.select("imei", "model"), "imei", "inner"), "activation_model")
     dims = sized_broadcast(
         first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi), max_broadcast_rows
     )
@@ -152,7 +159,9 @@ def build_activation(
 
 
 def activation_exceptions(uss_device: DataFrame, shipment: DataFrame, lo: Date = LO) -> DataFrame:
-    """Latest whole check-in record of devices absent from shipment."""
-    u = uss_device.withColumn("__day", day_of("last_ts"))
-    latest, _ = latest_per_key(u, ["imei"], "__day", lo)
-    return not_in(latest.drop("__day"), shipment, "imei")
+    """Latest whole check-in record of devices absent from shipment.  Both
+    steps are by device, so the check-ins of shipped devices go first, and only
+    the others' records are deduplicated."""
+    left = only_not_in(uss_device.withColumn("__day", day_of("last_ts")), shipment, "imei")
+    latest, _ = latest_per_key(left, ["imei"], "__day", lo)
+    return latest.drop("__day")

@@ -13,7 +13,7 @@ from ..operators.aggregates import first_launch_date
 from ..operators.events import superset_schema, timeline, with_event_header
 from ..operators.joins import join_both_ends, lookup, prefixed
 from ..operators.quality import chronology_exceptions
-from .shipment import shared
+from .shipment import shared, shared_by_device
 
 Date = _dt.date | str | None
 
@@ -63,7 +63,7 @@ def build_new_shipment(
         dims = first_launch_date(joined, "model", "sdac_first_sdac_date", "act_first_checkin_date", hi)
         ns = lookup(joined, dims, "model", max_broadcast_rows).select(*joined.columns, "first_launch_date")
     if materialize:
-        ns = shared(ns, "new_shipment")
+        ns = shared_by_device(ns, "new_shipment")
     first_use = min_date("sdac_create_date", "act_activation_date")
     return {
         "new_shipment": ns,

@@ -11,6 +11,7 @@ import datetime as _dt
 from collections.abc import Callable
 from functools import cached_property, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from .plans.lifecycle import KEY_DATES, Lifecycle, date_rejects, write_outputs
 from .session import scratch_path
 from .sources import fixtures, textio
 from .sources.landing import TextFeeds
-from .sources.text import LAYOUTS, read_lines
+from .sources.text import LAYOUTS, file_rows, read_lines, split_fields, union_text
 
 # Narrowed bounds of the variant queries (FIXTURES.md section 2).
 LO_LATE = _dt.date(2001, 6, 1)
@@ -76,8 +77,9 @@ class Ctx(Lifecycle):
         return self.moved("swap")
 
     def whole(self) -> DataFrame:
-        """The timeline: its four branches read one staged new_shipment."""
-        self.share_new_shipment = True
+        """The timeline: its four branches read one staged new_shipment and one
+        staged table of SIM transitions."""
+        self.share = True
         return self.timeline
 
     def spoiled(self, name: str) -> DataFrame:
@@ -621,6 +623,63 @@ def e4_dabandon_text(c: Ctx) -> DataFrame:
     return _report_text(c, "dabandon")
 
 
+EVENT_TABLES = ("new_shipment_events", "new_complex", "new_move", "new_repair")
+
+
+@query
+def p10_union_text(c: Ctx) -> DataFrame:
+    """P10/F1 on text: the four event tables written each on its own, put
+    together line by line, and read by position."""
+    base = scratch_path(c.spark, "events")
+    c.whole()
+    for name in EVENT_TABLES:
+        textio.write_event_text(c.table(name), f"{base}/{name}", payload=textio.EVENT_PAYLOAD)
+    union_text(c.spark, [f"{base}/{name}" for name in EVENT_TABLES], f"{base}/timeline")
+    return textio.by_position(c.spark, f"{base}/timeline", EVENT_FIELDS)
+
+
+@query
+def g1_file_rows(c: Ctx) -> DataFrame:
+    """G1: check-ins, a third of them in one partition, written as text in
+    files of at most a twelfth of the rows: rows, whether every file keeps the
+    limit, and whether none has over twice the mean."""
+    path, n = scratch_path(c.spark, "files"), c.uss.count()
+    limit = max(1, n // 12)
+    hot = F.when(F.col("imei") % 3 == 0, F.lit(0)).otherwise(F.col("imei"))
+    textio.write_delimited(c.uss.repartition(8, hot), path, rows_per_file=limit)
+    files = file_rows(c.spark, path)
+    return files.agg(F.sum("n").alias("n_rows"), (F.max("n") <= limit).alias("within_limit"), (F.max("n") <= 2 * F.avg("n")).alias("even"))
+
+
+def _written(c: Ctx, mode: str) -> tuple[DataFrame, str]:
+    """SDAC records written as text, then those without a date to the same path
+    in ``mode``; the rows left, and what became of the second write."""
+    path = scratch_path(c.spark, "modes")
+    textio.write_delimited(c.sdac_orig, path, mode="errorifexists")
+    try:
+        textio.write_delimited(c.sdac_orig.filter(F.col("create_date") == ""), path, mode=mode)
+        second = "written"
+    except AnalysisException as e:
+        second = e.getCondition()
+    left = read_lines(c.spark, path)
+    f = split_fields(left)
+    return left.select(*(f.getItem(i).alias(name) for i, name in enumerate(c.sdac_orig.columns))), second
+
+
+@query
+def a6_overwrite(c: Ctx) -> DataFrame:
+    """A text table written over another: only the second one's lines are left."""
+    left, second = _written(c, "overwrite")
+    return left.withColumn("second", F.lit(second))
+
+
+@query
+def a7_error_if_exists(c: Ctx) -> DataFrame:
+    """A second write to the same path is refused, and the first one's lines stay."""
+    left, second = _written(c, "errorifexists")
+    return left.withColumn("second", F.lit(second))
+
+
 @query
 def a5_timeline_roundtrip(c: Ctx) -> DataFrame:
     """A3/A5: the timeline written as ragged text and read back row for row."""

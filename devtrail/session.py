@@ -9,9 +9,13 @@ tests -- a fresh ``/tmp/run-XXXXXX`` folder is made.  Elsewhere it must be set.
 from __future__ import annotations
 
 import contextlib
+import contextvars
+import math
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings for a large cluster.  AQE re-plans joins from runtime sizes, merges
@@ -31,6 +35,10 @@ SCALE_CONF = {
 }
 
 
+#: Rows of a staged device table that one task reads, about.
+ROWS_PER_BUCKET = 5_000_000
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None for a remote (Connect) one."""
     try:
@@ -70,23 +78,33 @@ def parallelism(spark: SparkSession) -> int:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
-    base = _RUNS.get(session_id(spark)) or checkpoint_dir(spark).rstrip("/")
+    base = _run_folder(spark) or checkpoint_dir(spark).rstrip("/")
     return f"{base}/devtrail-{name}-{uuid.uuid4().hex[:12]}"
 
 
-_RUNS: dict[str, str] = {}
+#: (session, folder) of the run that the current thread works for.
+_RUN: contextvars.ContextVar[tuple[str, str] | None] = contextvars.ContextVar("devtrail_run", default=None)
+_TABLES: dict[str, list[str]] = {}
+
+
+def _run_folder(spark: SparkSession) -> str | None:
+    run = _RUN.get()
+    return run[1] if run and run[0] == session_id(spark) else None
 
 
 @contextlib.contextmanager
 def run_scratch(spark: SparkSession):
     """Within it, staged tables go to one folder of this run, which is dropped
-    when the run succeeds (a failed run's stays for a look at it)."""
+    when the run succeeds (a failed run's stays for a look at it).  Runs in
+    several threads of a session, or within each other, have a folder each."""
     path = scratch_path(spark, "run")
-    _RUNS[session_id(spark)] = path
+    token = _RUN.set((session_id(spark), path))
     try:
         yield path
     finally:
-        del _RUNS[session_id(spark)]
+        _RUN.reset(token)
+    for table in _TABLES.pop(path, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
@@ -118,6 +136,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def buckets(spark: SparkSession, rows: int = 0) -> int:
+    """Buckets of device tables: the session's shuffle partitions, so that a
+    join needs no exchange on either side; more if ``rows`` would overfill them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / ROWS_PER_BUCKET))
+
+
+def stage_by_key(df, key: str, name: str = "stage", n: int | None = None):
+    """``stage`` as a table bucketed and sorted by ``key`` (G2): tables with the
+    same ``n`` join on the key without an exchange.  For tables with one row a
+    key or so: a bucket is read by one task.
+
+    The rows of a window or join by the key already lie in ``n`` hash partitions,
+    each of which writes its buckets' files; others are dealt by key first.  The
+    table has a unique name in the session's catalog; ``run_scratch`` drops it."""
+    spark = df.sparkSession
+    n = n or buckets(spark)
+    path = scratch_path(spark, name)
+    table = "devtrail_" + path.rsplit("devtrail-", 1)[1].replace("-", "_")
+    if n != int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(n, key)
+    df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    if run := _run_folder(spark):
+        _TABLES.setdefault(run, []).append(table)
+    return spark.table(table)
+
+
+def together(spark: SparkSession, *builds):
+    """The results of functions that do not depend on each other; the jobs that
+    they run (staged tables, measures) share the cluster."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(builds)) as pool:
+        return [f.result() for f in [pool.submit(contextvars.copy_context().run, inherit(b)) for b in builds]]
+
+
 def stage(df, name: str = "stage", partition_by: str | None = None):
     """Write ``df`` once as a Parquet table in a new folder under the shared
     checkpoint folder and return the table read back.  ``partition_by`` names a

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = ("lineitem", "orders", "part", "events")
 
@@ -142,7 +143,7 @@ def spoil(feed: DataFrame, name: str) -> DataFrame:
     return feed.select(*(F.expr(f"CASE WHEN {put[c][0]} THEN {put[c][1]} ELSE {c} END").alias(c) if c in put else F.col(c) for c in feed.columns))
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def stored_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,13 +155,13 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from ..session import parallelism, scratch_path, session_id
 
     key = (session_id(spark), sf_dir.rstrip("/"), name)
-    path = _STORED.get(key)
-    if path is None:
+    if key not in _STORED:
         path = scratch_path(spark, f"feed-{name}")
         df = BUILDERS[name](spark, sf_dir).repartition(parallelism(spark))
         df.write.mode("errorifexists").parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+        _STORED[key] = path, df.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 _J = (

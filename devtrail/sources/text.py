@@ -210,6 +210,15 @@ def to_lines(
     return df.select(F.array_join(fields, sep).alias("value"))
 
 
+def _sized(df: DataFrame, num_files: int | None, rows_per_file: int | None) -> tuple[DataFrame, dict[str, int]]:
+    """G1: ``df`` dealt for its files, and the writer's options."""
+    if num_files and rows_per_file:
+        raise ValueError("either a number of files or rows per file")
+    if rows_per_file:
+        return df.hint("rebalance"), {"maxRecordsPerFile": rows_per_file}
+    return (df.repartition(num_files) if num_files else df), {}
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -218,25 +227,60 @@ def write_delimited(
     mode: str = "overwrite",
     null_markers: Mapping[str, str | Column] | None = None,
     ragged_width: Column | None = None,
-    max_records_per_file: int | None = None,
+    rows_per_file: int | None = None,
 ) -> None:
-    """Write text lines.  ``num_files`` repartitions first (G1);
-    without it AQE sizes the partitions.  ``mode`` is ``overwrite`` (A6) or
+    """Write text lines.  G1: ``num_files`` deals the rows to so many
+    files; ``rows_per_file`` evens out the partitions of a skewed table (AQE
+    splits large and merges small ones) and closes a file after so many rows;
+    without either AQE sizes the partitions.  ``mode`` is ``overwrite`` (A6) or
     ``errorifexists`` (A7)."""
-    lines = to_lines(df, sep, null_markers, ragged_width)
-    if num_files:
+    lines, options = _sized(to_lines(df, sep, null_markers, ragged_width), num_files, rows_per_file)
+    lines.write.mode(mode).options(**options).text(path)
+
+
+def write_table(
+    df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None, rows_per_file: int | None = None
+) -> None:
+    """Default sink: Parquet (typed, columnar); files as in ``write_delimited``."""
+    df, options = _sized(df, num_files, rows_per_file)
+    df.write.mode(mode).options(**options).parquet(path)
+
+
+def union_text(
+    spark: SparkSession,
+    paths: Sequence[str],
+    out: str,
+    mode: str = "overwrite",
+    num_files: int | None = None,
+    ordered: bool = True,
+) -> None:
+    """F1/P10 on text: the lines of several tables, as they are, into one; no
+    field is split or parsed, and every byte but the line breaks between lines
+    is kept.
+
+    ``ordered`` keeps the tables in their order, and each one's files and lines
+    in theirs, over the files that are written: rows are dealt by ranges of
+    (table, file, place) and sorted.  Without it nothing is shuffled unless
+    ``num_files`` asks for it."""
+    place = ["__table", "__file", "__block", "__line"]
+    lines = None
+    for i, path in enumerate(paths):
+        table = spark.read.option("lineSep", "\n").text(path).select(
+            "value", F.lit(i).alias("__table"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__line"))  # rises within a block
+        lines = table if lines is None else lines.unionByName(table)
+    if ordered:
+        lines = lines.repartitionByRange(num_files, *place) if num_files else lines.repartitionByRange(*place)
+        lines = lines.sortWithinPartitions(*place)
+    elif num_files:
         lines = lines.repartition(num_files)
-    w = lines.write.mode(mode)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.text(path)
+    lines.select("value").write.mode(mode).option("lineSep", "\n").text(out)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None) -> None:
-    """Default sink: Parquet (typed, columnar)."""
-    if num_files:
-        df = df.repartition(num_files)
-    df.write.mode(mode).parquet(path)
+def file_rows(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
+    """(file, n): rows of each file of a written table."""
+    rows = spark.read.format(fmt).load(path).select(F.col("_metadata.file_path").alias("file"))
+    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Column kinds of the derived text tables (everything else stays text).

@@ -164,14 +164,16 @@ def null_markers(df: DataFrame) -> dict[str, str | Column]:
 
 
 def write_event_text(
-    events: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite", payload: Mapping[str, str] | None = None
+    events: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite", payload: Mapping[str, str] | None = None,
+    rows_per_file: int | None = None,
 ) -> None:
     """A5: an event table as ragged text in the constant timeline positions
     with its null markers; each event type drops its trailing slots, so the
     prefixes line up.  The one writer of event tables."""
     placed = place_events(events, payload)
     write_delimited(
-        placed, path, num_files=num_files, mode=mode, null_markers=null_markers(placed), ragged_width=event_width(F.col("eventtype"))
+        placed, path, num_files=num_files, mode=mode, null_markers=null_markers(placed), ragged_width=event_width(F.col("eventtype")),
+        rows_per_file=rows_per_file,
     )
 
 
