@@ -24,24 +24,51 @@ WINDOW = 2048  # tokens of a sequence
 SHARD = 1024  # documents of one BM25 index
 K1, B = 1.2, 0.75
 END = 1  # id after each document
-CACHED_WORDS = 500_000  # of one generation
+CACHED_BYTES = 64 << 20  # of one generation of words with their ids, about
+CACHED_CHARS = 64  # of a stretch that is kept
+WORD_BYTES = 200  # of a kept word besides its text and ids
+SHARD_TOKENS = 4_000_000  # tokens after which a shard is closed
+TASK_TOKENS = 6_000_000  # tokens of a task's range, about
 TOGETHER = 256  # texts whose new words are tokenized together
 # Below U+0250 letters are single code points in normal form and in lower case, but for U+0130.
 NOT_LATIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
-PUNCTUATION = re.compile("(?<=[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f])([.,])(?=\\s|$)")
+PUNCTUATED = re.compile("[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f][.,]\\Z")
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+class _Words(dict):
+    """Ids of stretches without white space, found when they are first asked
+    for.  Two generations of at most CACHED_BYTES each are kept: when the newer
+    is full it becomes the older, so frequent words stay.  Long stretches are
+    not kept at all."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find, self.old, self.size = find, {}, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.find(word)
+        if len(word) <= CACHED_CHARS:
+            size = WORD_BYTES + len(word) + len(ids)
+            if self.size + size > CACHED_BYTES:
+                self.old, self.size = dict(self), 0
+                self.clear()
+            self[word] = ids
+            self.size += size
+        return ids
+
+
 class _Encoder:
     """texts -> ids as little-endian unsigned 16-bit bytes, equal to the
     tokenizer's own ids of the whole text.
 
     The tokenizer drops white space and no token spans it, so the ids of each
-    stretch without white space are kept for reuse: in two generations, of
-    which the older is dropped when the newer is full, so frequent words stay.
-    Text of Latin letters is set in lower case first, and a full stop or comma
-    behind a letter is split off: it is a piece of its own to the tokenizer.
+    stretch without white space are kept for reuse (``_Words``).  Text of Latin
+    letters is set in lower case first, and a full stop or comma at the end of
+    a word is split off: it is a piece of its own to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -49,54 +76,40 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need more than 16 bits")
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.words = _Words(self.word)
         # Whether the shortcuts below hold for this tokenizer, by trial.
         trial = ["Über", "naïve", "WORD", "façade,", "ſo.", "it's.", "øre"]
         self.latin = True
-        self.merge = self.tokenizer.model.tokenize
-        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.latin = self.encode(trial) == self.ids(trial)
-        self.new.clear()
+        self.words = _Words(self.word)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def word(self, word: str) -> bytes:
-        """Ids of a word of Latin letters: one piece to the tokenizer, equal to
-        its normal form but for case, so that only its merges are left to do."""
-        word = word.lower()
-        return array("H", [t.id for t in self.merge(word if word.isascii() else self.letters(word)[0][0])]).tobytes()
+        """Ids of a stretch without white space."""
+        if self.latin and not NOT_LATIN.search(word):
+            if word.isalpha():
+                # One piece to the tokenizer, equal to its normal form but for
+                # case, so that only its merges are left to do.
+                word = word.lower()
+                return array("H", [t.id for t in self.merge(word if word.isascii() else self.letters(word)[0][0])]).tobytes()
+            if PUNCTUATED.search(word):
+                return self.words[word[:-1]] + self.words[word[-1]]
+        return self.ids([word])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        split: list[list[str]] = []
-        for k, t in enumerate(texts):
+        known, out = self.words.__getitem__, []
+        for t in texts:
             if any(c in t for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split, not to the tokenizer
-                out[k] = self.ids([t])[0]
-                split.append([])
+                out += self.ids([t])
                 continue
             if self.latin and "<|" not in t and (t.isascii() or not NOT_LATIN.search(t)):
-                t = PUNCTUATION.sub(r" \1", t.lower())
-            split.append(t.split())
-        self._learn(set().union(*split))
-        known = self.new
-        return [b"".join([known[w] for w in words]) if done is None else done for words, done in zip(split, out)]
-
-    def _learn(self, words: set[str]) -> None:
-        """Make sure that the newer generation has all ``words``."""
-        lack = words.difference(self.new)
-        if len(self.new) + len(lack) > CACHED_WORDS:
-            self.old, self.new, lack = self.new, {}, words
-        new, old = self.new, self.old
-        for w in (again := lack.intersection(old)):
-            new[w] = old[w]
-        lack = lack.difference(again)
-        plain = [w for w in lack if w.isalpha() and not NOT_LATIN.search(w)] if self.latin else []
-        for w in plain:
-            new[w] = self.word(w)
-        lack = list(lack.difference(plain))
-        new.update(zip(lack, self.ids(lack)))
+                t = t.lower()
+            out.append(b"".join(map(known, t.split())))
+        return out
 
 
 def _encoder(path: str) -> _Encoder:
@@ -140,6 +153,7 @@ def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's documents per token: at most one row for each token."""
+    worker_cache("packing")  # the words are no longer needed
     counts = np.zeros(1 << 16, np.int64)
     for b in batches:
         for part in (b.slice(k, TOGETHER) for k in range(0, b.num_rows, TOGETHER)):
@@ -172,6 +186,7 @@ class _Index:
 
 def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("packing")  # the words are no longer needed
         first = TaskContext.get().partitionId() << 32
         sequence, filled = 0, 0
         seed: np.ndarray | None = None  # terms of the document that opened the window
@@ -217,13 +232,15 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
                 out.clear()
 
         waiting: list[tuple] = []
+        size = 0
         for b in batches:
             for row in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
                 waiting.append(row)
-                if len(waiting) == shard:
+                size += len(row[1]) // 2
+                if len(waiting) == shard or size >= SHARD_TOKENS:
                     # The last window stays open for the next shard.
                     pack(waiting)
-                    waiting = []
+                    waiting, size = [], 0
                     held = [p for p in out if p[4] == first + sequence]
                     del out[len(out) - len(held):]
                     yield from flush()
@@ -260,8 +277,8 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     token of the vocabulary, so they travel to every task.  Documents are
     range-partitioned by a hash of their wording and their id, so near copies
     meet and a group of copies of any size is spread.  Each task streams its
-    range in shards of ``shard`` documents: a shard has its BM25 index, the
-    document that opens a window queries it with all its tokens, and its best
+    range, about TASK_TOKENS tokens of it, in shards of ``shard`` documents or
+    SHARD_TOKENS tokens: a shard has its BM25 index, the document that opens a window queries it with all its tokens, and its best
     unused neighbours fill the window.  The document that overfills a window is
     cut there and opens the next.  Only the last window of a partition can be
     short; it is cut into powers of two.
@@ -277,7 +294,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     df = np.zeros(1 << 16)
     df[counts["token"].to_numpy(np.int64)] = counts["n"]
     idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)
-    parts = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / shard)))
+    parts = max(1, math.ceil((total or 0) / TASK_TOKENS))
     ranged = made.select("doc_id", "ids", "near").repartitionByRange(parts, "near", "doc_id").sortWithinPartitions("near", "doc_id", F.crc32("ids"))
     return ranged.select("doc_id", "ids").mapInArrow(_packer(idf, total / n if n else 1.0, window, shard), PIECES)
 

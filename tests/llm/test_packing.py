@@ -50,7 +50,7 @@ def test_query(spark, docs, tokenizer):
 def test_encoder_equals_the_tokenizer(tokenizer, monkeypatch):
     rnd = random.Random(1)
     encoder = _Encoder(public_tokenizers.path("word_bpe_49k.json"))
-    monkeypatch.setattr(packing, "CACHED_WORDS", 500)
+    monkeypatch.setattr(packing, "CACHED_BYTES", 100_000)
     bits = ["Hello", "world,", "it's", "IT'S", "é", "É", "é", " ́x", "Σ", "ΣΑΣ", "İ", "<|endoftext|>", "<|ENDOFTEXT|>", "\x1c", "\x85", "\xa0", "　",
             "​", "123", "½", "…", "😀", "ß", "ſ", "中文", "\n", "\t", " ", "don't", "'", "ll", "x" * 80, "&amp;", ",", ".", "a.", "b,", "'s.", "...", "﻿", "ä"]
     texts = ["".join(rnd.choices(bits, k=rnd.randint(0, 12))) for _ in range(4000)]
@@ -95,3 +95,26 @@ def test_odd_rows(spark, odd_docs, tokenizer):
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == per
     assert pack(odd_docs.limit(0)).count() == 0
+
+
+def test_cache_is_bounded_by_bytes_and_keeps_no_long_stretch(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_BYTES", 200_000)
+    rnd = random.Random(2)
+    encoder = _Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    size = lambda d: sum(packing.WORD_BYTES + len(w) + len(i) for w, i in d.items())
+    long = ["".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(2000)), "x" * 5000, "ab," * 900]
+    for k in range(40):
+        text = " ".join(["".join(rnd.choices("abcdefgh", k=9)) for _ in range(100)] + long + ["the", "the,"])
+        assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == own(tokenizer, text)[:-1].tolist()
+        assert size(encoder.words) <= 200_000 and size(encoder.words.old) <= 200_000
+        assert not any(len(w) > packing.CACHED_CHARS for w in (*encoder.words, *encoder.words.old))
+    assert len(encoder.words.old) > 100
+
+
+def test_ranges_follow_the_tokens(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_TOKENS", 500)
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 120)
+    docs = spark.createDataFrame([(i, f"word{i} " * (i % 40)) for i in range(100)], "doc_id long, text string")
+    rows = pack(docs, window=64).collect()
+    assert len({r.sequence_id >> 32 for r in rows}) >= 8
+    assert sorted({r.doc_id for r in rows}) == list(range(100))
