@@ -27,7 +27,8 @@ MAX_TRAIN = 4_000  # labelled rows in the fitted sample
 MAX_FEATURES = 200_000  # most frequent features of the sample
 PREFIXES = (4, 5, 6)  # characters of word beginnings that are features
 L1, COUNTERFACTUAL = 4e-4, 1.0
-STEPS = 200
+STEPS = 300
+CACHED_CHUNKS, CHUNK_CHARS = 150_000, 64  # words whose features a worker keeps, and their length
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_|`~-…«»„“”‘’¿¡/\\&%$#@+=0123456789"
 
 
@@ -154,11 +155,12 @@ def score_column(text: str | Column, weights: dict[int, float], bias: float) ->
             for chunk in set(t.lower().split()) if t else ():
                 found = known.get(chunk)
                 if found is None:
-                    if len(known) > 500_000:
-                        known.clear()
                     word = chunk.strip(PUNCTUATION)
                     found = tuple(f for f in _features(word) if f in weights) if word else ()
-                    known[chunk] = found
+                    if len(known) >= CACHED_CHUNKS:
+                        known.clear()
+                    if len(chunk) <= CHUNK_CHARS:
+                        known[chunk] = found
                 if found:
                     hits.update(found)
             out[k] = bias + sum(weights[f] for f in sorted(hits))
