@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 import types
 
@@ -44,7 +45,10 @@ def worker_cache(name: str) -> dict:
     return held.cache
 
 
-def running_total(df: DataFrame, value: str, group: list[Column], order: list[Column], out: str, name: str) -> DataFrame:
+ROWS = 2_000_000  # of one range of a running total, about
+
+
+def running_total(df: DataFrame, value: str, group: list[Column], order: list[Column], out: str, name: str, rows: int = 0) -> DataFrame:
     """``out``: the sum of ``value`` over the rows of the same group that sort
     before a row, for groups of any size.
 
@@ -53,13 +57,15 @@ def running_total(df: DataFrame, value: str, group: list[Column], order: list[Co
     partition's number.  Sums per (partition, group) are few; a group's running
     sum over its partitions gives each partition's start, and a window inside
     (partition, group) does the rest.  ``order`` must be total up to equal rows.
+    ``rows``, their number, gives large tables more ranges than the session's
+    shuffle partitions.
     """
     # The group is kept as a string key; null groups get their own key.
     keyed = df.withColumn("_g", F.to_json(F.struct(*[g.alias(f"g{i}") for i, g in enumerate(group)])) if group else F.lit(""))
     for i, o in enumerate(order):
         keyed = keyed.withColumn(f"_o{i}", o)
     keys = ["_g", *(f"_o{i}" for i in range(len(order)))]
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / ROWS))
     placed = stage(keyed.repartitionByRange(n, *keys).withColumn("_p", F.spark_partition_id()), name)
     starts = placed.groupBy("_p", "_g").agg(F.sum(value).alias("_t"))
     before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,8 @@ SEED = 17
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """``sizes`` (source, source_size) with ``target``: ``share`` of all words
     dealt by weight, no source above ``repeats`` times its own words, the
-    excess dealt again by weight until none is above.
+    excess dealt again by weight until none is above (with ``share`` of
+    ``repeats`` or more all end at their caps).
 
     Weights repeat over the sources by code point, null last.  The sources are
     ranked by a distributed running count; each round of dealing sends three
@@ -31,6 +32,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
         full = F.lit(False) if level is None else F.col("_cap") < F.col("_w") * level
         total, capped, open_w = ranked.agg(F.sum("source_size"), F.sum(F.when(full, F.col("_cap")).otherwise(0.0)),
                                            F.sum(F.when(~full, F.col("_w")).otherwise(0.0))).first()
+        if total and not open_w:
+            break  # every source is at its cap: there is no more to deal
         now = (share * total - capped) / open_w if total and open_w else 0.0
         if now == level:
             break
@@ -60,11 +63,12 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", size: s
     docs = docs.drop(*new)
     row, key, before, src, n = fresh(docs, "row", "key", "before", "src", "words")
     docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    rows = docs.count()
     slim = docs.select(row, F.col(source).alias("source"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias(n), F.col(doc_id).alias("_id"),
                        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))).alias(key))
     sizes = slim.groupBy("source").agg(F.sum(n).alias("source_size"))
     targets = stage(source_targets(sizes, weights, share, repeats).withColumn("_quota", F.floor("target").cast("long")), "mix-targets")
-    queued = running_total(slim, n, [F.col("source")], [F.col(key), F.col("_id"), F.col(n), F.col(row)], before, "mix-queues")
+    queued = running_total(slim, n, [F.col("source")], [F.col(key), F.col("_id"), F.col(n), F.col(row)], before, "mix-queues", rows)
     queued = queued.join(targets, queued["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     passes = queued.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     begin = F.col("epoch") * F.col("source_size") + F.col(before)
@@ -73,7 +77,7 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", size: s
     copies = copies.withColumn("finish", F.least(begin + F.col(n), F.col("_quota")) / F.col("_quota"))
     budget = targets.agg(F.sum("_quota")).first()[0] or 0
     order = [F.col("finish"), F.col("source").isNull(), F.col("source"), F.col("epoch"), F.col(key), F.col("_id"), F.col(row)]
-    copies = running_total(copies.select(row, "source", key, "_id", "epoch", "take", "finish"), "take", [], order, "position", "mix-order")
+    copies = running_total(copies.select(row, "source", key, "_id", "epoch", "take", "finish"), "take", [], order, "position", "mix-order", repeats * rows)
     copies = copies.where(F.col("position") < budget).select(row, "epoch", "take", "finish", "position")
     out = docs.join(copies, row, "left").withColumnRenamed(source, src).join(
         targets.select(F.col("source").alias("_s"), "source_size", "target"), F.col(src).eqNullSafe(F.col("_s"))).withColumnRenamed(src, source)

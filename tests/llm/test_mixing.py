@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from devtrail.llm.common import running_total, words_of
-from devtrail.llm.mixing import mix, op4_mix_sources
+from devtrail.llm.mixing import mix, op4_mix_sources, source_targets
 from tests.llm.conftest import SF
 
 
@@ -78,3 +78,10 @@ def test_running_total_over_partitions(spark):
     for r in sorted(out, key=lambda r: r.id):
         assert r.b == total[r.g]
         total[r.g] += r.v
+
+
+def test_dealing_ends_when_every_source_is_at_its_cap(spark):
+    sizes = spark.createDataFrame([("a", 100), ("b", 50), (None, 30), ("z", 0)], "source string, source_size long")
+    for share, repeats in ((1.5, 1), (1.0, 1), (2.0, 2), (7.0, 2)):
+        got = {r.source: r.target for r in source_targets(sizes, share=share, repeats=repeats).collect()}
+        assert got == {"a": 100.0 * repeats, "b": 50.0 * repeats, None: 30.0 * repeats, "z": 0.0}
