@@ -67,8 +67,8 @@ def main() -> None:
         "cpus": cpus,
         "feed_prep_sec": feed_prep,
     }
-    # The production flow: all 18 jobs via run_lifecycle, every one of the 29
-    # output tables written once as Parquet (shared intermediates staged).
+    # The production flow: all 18 jobs via run_lifecycle, every output
+    # table written once as Parquet (shared intermediates staged).
     if os.environ.get("BENCH_LIFECYCLE", "1") == "1":
         from devtrail.config import FIXTURE_AS_OF, FIXTURE_BUCKETS
         from devtrail.plans.lifecycle import run_lifecycle, write_outputs
