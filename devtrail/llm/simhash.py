@@ -164,31 +164,57 @@ def simhash_links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return rows.repartition("key", "piece").sortWithinPartitions("key", "piece").mapInPandas(_linker(distance), "a long, b long")
 
 
+def _components_of(docs: DataFrame, text: str, doc_id: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``docs`` with its fingerprints, written once; (fingerprint, root, smallest
+    id of the component) of each distinct fingerprint; and those columns' names."""
+    fp, comp, root = names = fresh(docs, "fp", "comp", "root")
+    marked = stage(docs.withColumn(fp, fingerprint_column(shingle)(F.col(text))), "simhash")
+    ids = marked.groupBy(F.col(fp).alias("node")).agg(F.min(doc_id).alias("low"))
+    ids = stage(ids, "simhash-ids")
+    roots = components(simhash_links(ids.select("node"), distance))
+    named = ids.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias(root))
+    lows = named.groupBy(root).agg(F.min("low").alias(comp))
+    return marked, named.join(lows, root).select(F.col("node").alias(fp), root, comp), names
+
+
 def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 3) -> DataFrame:
     """Every row of ``docs`` with ``fingerprint`` (16 lower-case hex digits),
     ``component_id`` (the smallest ``doc_id`` reachable over links) and
     ``component_fp`` (the component's smallest fingerprint, which names it also
     where ids are null).
 
-    Null and empty texts have fingerprint zero and link like any other.  Rows
-    that repeat share their component.  A null doc_id is a member like others
-    but never the smallest; a component of such rows only has a null id.  Other
-    columns stay; columns of the same names as the new ones are replaced.
-    Copies meet as one fingerprint, so no group of copies forms pairs.
+    Null and empty texts have fingerprint zero and link like any other; texts
+    are read whole, however long.  Rows that repeat share their component.  A
+    null doc_id is a member like others but never the smallest; a component of
+    such rows only has a null id.  Other columns stay; columns of the same names
+    as the new ones are replaced.  An empty table gives an empty one.  Copies
+    meet as one fingerprint, so no group of copies forms pairs.
     """
     docs = docs.drop("fingerprint", "component_id", "component_fp")
-    fp, comp, root = fresh(docs, "fp", "comp", "root")
-    marked = stage(docs.withColumn(fp, fingerprint_column(shingle)(F.col(text))), "simhash")
-    ids = marked.groupBy(F.col(fp).alias("node")).agg(F.min(doc_id).alias("low"))
-    ids = stage(ids, "simhash-ids")
-    roots = components(simhash_links(ids.select("node"), distance))
-    named = ids.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias(root))
-    lows = named.groupBy(root).agg(F.min("low").alias(comp))
-    named = named.join(lows, root).select(F.col("node").alias(fp), root, comp)
+    marked, named, (fp, comp, root) = _components_of(docs, text, doc_id, shingle, distance)
     return marked.join(named, fp).select(*docs.columns, F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint"),
                                          F.col(comp).alias("component_id"), F.col(root).alias("component_fp"))
 
 
+def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, by doc_id
+    (null last) and text: ``one_of_each`` of ``simhash_dedup``.
+
+    The first row of each fingerprint is taken before the components are
+    joined, so a group of copies sends one row from each task, and whole
+    documents meet only as one for a fingerprint.  Cases as in
+    ``simhash_dedup``; equal rows leave one; all columns stay as they are.
+    """
+    marked, named, (fp, comp, root) = _components_of(docs, text, doc_id, shingle, distance)
+    (place,) = fresh(marked, "place")
+    order = [F.col(doc_id).asc_nulls_last(), F.xxhash64(text), text]
+
+    def firsts(rows: DataFrame, group: str) -> DataFrame:
+        return rows.withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col(place) == 1)
+
+    return firsts(firsts(marked, fp).join(named.select(fp, root), fp), root).select(*docs.columns)
+
+
 def one_of_each(marked: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each component of ``simhash_dedup``: the first by doc_id (null
     last) and text.  The limit of one row a component is applied before the

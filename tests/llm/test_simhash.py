@@ -5,7 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from devtrail.llm import simhash
-from devtrail.llm.simhash import one_of_each, op10_simhash_dedup, simhash_dedup, simhash_links
+from devtrail.llm.simhash import first_of_each, one_of_each, op10_simhash_dedup, simhash_dedup, simhash_links
 from tests.llm.conftest import SF
 
 
@@ -81,3 +81,13 @@ def test_odd_rows(spark, odd_docs):
     assert simhash_dedup(odd_docs.limit(0)).count() == 0
     clash = odd_docs.withColumn("fp", F.lit(1)).withColumn("fingerprint", F.lit("x"))
     assert simhash_dedup(clash).where("fp = 1 AND length(fingerprint) = 16").count() == odd_docs.count()
+
+
+def test_first_of_each_equals_one_of_each(spark, docs, odd_docs):
+    for df in (docs.select("doc_id", "text"), odd_docs.withColumn("place", F.lit(1)).withColumn("component_fp", F.lit("clash"))):
+        df = df.union(df.limit(4))
+        got, want = first_of_each(df), one_of_each(simhash_dedup(df))
+        names = [c for c in df.columns if c in want.columns]
+        assert got.columns == df.columns
+        assert sorted(map(str, got.select(names).collect())) == sorted(map(str, want.select(names).collect()))
+    assert first_of_each(docs.limit(0)).count() == 0
