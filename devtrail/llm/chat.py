@@ -35,7 +35,9 @@ def format_chat(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     preceding turns as context.  A conversation that does not end with such a
     turn has one more row without a loss span, so that no turn is lost.  Turns
     are ordered by (turn, role, text), null first; repeated rows are turns of
-    their own; null roles and texts are empty; null ids are one conversation.
+    their own; null roles and texts are empty; null ids are one conversation;
+    long texts are kept whole; an empty table gives no example; columns besides
+    the four named ones are not read, whatever their names.
     The examples of a conversation are its prefixes: by the method's definition
     their text grows with the square of its turns.
     """

@@ -140,6 +140,8 @@ def embedding_dedup(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
     Vectors that are null, zero, or hold null or non-finite components, and rows
     without an id, link with nothing (a null id: component null, not kept).
     Rows that repeat are linked copies; vectors of different lengths never link.
+    Vectors may be of any length.  An empty table gives no rows; other columns
+    are not read, whatever their names.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vec).alias("vec"), valid_vector(vec, vec_id).alias("ok"))
     nodes = rows.where("ok").groupBy("vec").agg(F.min("vec_id").alias("low"), F.count("*").alias("many"))

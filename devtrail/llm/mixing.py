@@ -56,8 +56,10 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", size: s
     range-sorted by finish time over all sources and truncated at the budget.
     ``size`` is a column of word counts (null: 0).  Empty documents are never
     taken.  Null sources are one source; rows that repeat are separate
-    documents; a null doc_id is shuffled like an empty one.  Columns of ``docs``
-    that have the new names are replaced.
+    documents; a null doc_id is shuffled like an empty one; ties in the seeded
+    order go by id, size and row.  A document of any size is cut where its
+    source's target is met.  Columns of ``docs`` that have the new names are
+    replaced, all others stay; an empty table gives an empty one.
     """
     new = ("source_size", "target", "epoch", "take", "finish", "position")
     docs = docs.drop(*new)

@@ -283,8 +283,10 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     cut there and opens the next.  Only the last window of a partition can be
     short; it is cut into powers of two.
 
-    Null and empty texts are one END token.  Rows that repeat are packed each;
-    null ids stay null.  An empty table gives no rows.
+    Null and empty texts are one END token; very long ones are cut at window
+    ends like any other.  Documents of equal scores go in the range's order.
+    Rows that repeat are packed each; null ids stay null.  An empty table gives
+    no rows.  Only id and text are read: other columns do not matter.
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     made = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

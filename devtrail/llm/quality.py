@@ -156,7 +156,9 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", do
     Null or empty texts have no perplexity and are not kept.  A language without
     trusted text has the bounds of all trusted text; without any trusted text
     all other documents are kept.  A null language is one of its own.  Rows with
-    equal id and text share a score.  Columns of the new names are replaced.
+    equal id and text share a score.  Long texts are scored whole.  Columns of
+    the new names are replaced, all others stay; an empty table gives an empty
+    one.
     """
     new = ("perplexity", "perplexity_low", "perplexity_high", "kept")
     docs = docs.drop(*new)

@@ -102,7 +102,10 @@ def secret_spans(text: str | Column) -> Column:
 
 def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
     """``docs`` with the secret spans of each text in ``out`` (a column of that
-    name is replaced).  Rows are scanned one by one: no shuffle, no state."""
+    name is replaced; all others stay).  Rows are scanned one by one: no
+    shuffle, no state, so rows that repeat have the same spans and an empty
+    table gives an empty one.  A null or empty text has no span; a long one is
+    scanned whole."""
     return docs.withColumn(out, secret_spans(text))
 
 

@@ -198,7 +198,9 @@ def classify_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", do
     The penalty on score changes under swapped identity terms keeps neutral
     mentions of a group from carrying weight.  Null and empty texts score by
     the intercept alone, as a text without evidence; without labels every score
-    is 0.5 or the labels' rate.  Columns of these names are replaced.
+    is 0.5 or the labels' rate.  Long texts are read whole.  Rows that repeat
+    score alike; repeated labels count once.  Columns of these names are
+    replaced, all others stay; an empty table gives an empty one.
     """
     weights, bias = train(docs, labels, text, doc_id)
     bias = min(bias, -0.01)  # a text without evidence is not toxic
