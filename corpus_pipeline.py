@@ -2,6 +2,12 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir),
 works on every row its predecessor kept, and returns the next stage's rows.
+
+All stages but the last return the columns of ``documents`` alone: other columns,
+also those named like an operator's own, are left behind.  Nulls in any column,
+empty and very long texts, ties, repeated rows and empty tables go through every
+stage; what a stage makes of them is stated with it, and an empty table stays an
+empty one.
 """
 
 from __future__ import annotations
@@ -17,25 +23,36 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
+    """Documents that the toxicity classifier rejects go.  Null and empty texts
+    hold no evidence and stay; texts are read whole; repeated rows share a
+    verdict; null ids do not matter to a score."""
     scored = toxicity.classify_toxicity(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
     return scored.where("toxic = 0").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of many sites go, but for their first place."""
+    """Lines that stand on many sites go, but for their first place (smallest id,
+    null last); no document goes.  Null texts stay null; a text that loses all
+    lines, as a copy on another site does, becomes empty; a null source is one
+    site; equal rows keep their lines alike; ``n_chars`` follows the text."""
     clean = lines.dedup_lines(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
-    return simhash.one_of_each(simhash.simhash_dedup(docs.select(*COLUMNS)))
+    """One document of each SimHash component stays: the first by id (null last)
+    and text.  Null and empty texts have one fingerprint, so one of them stays
+    beside near copies of nothing; repeated rows leave one; long texts are read
+    whole."""
+    return simhash.first_of_each(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents that it takes, once for each time it takes them; the
-    one in service when a source's target is met keeps its words up to there."""
+    one in service when a source's target is met keeps its words up to there.
+    Null and empty texts hold no word and are never taken; a null source is one
+    source; repeated rows are documents of their own; ties go by id, size and
+    row."""
     mixed = mixing.mix(docs.select(*COLUMNS, words_of("text").alias("size"))).where("take > 0")
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("take").cast("int")), "")
     partly = F.col("take") < F.col("size")
@@ -44,7 +61,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training sequences, one row per piece of a document."""
+    """The training sequences, one row per piece of a document.  A null or empty
+    text is its end token; long ones are cut at window ends; repeated rows are
+    packed each; null ids stay null."""
     return packing.pack(docs)
 
 
