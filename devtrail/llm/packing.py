@@ -24,6 +24,9 @@ WINDOW = 2048  # tokens of a sequence
 SHARD = 1024  # documents of one BM25 index
 K1, B = 1.2, 0.75
 END = 1  # id after each document
+SAMPLE = 2048  # texts, about, by which documents are routed to each other
+PIVOTS = 512  # of them that are the places to be routed to
+SAMPLE_CHARS = 32_768  # of such a text, at most
 CACHED_BYTES = 64 << 20  # of one generation of words with their ids, about
 CACHED_CHARS = 64  # of a stretch that is kept
 WORD_BYTES = 200  # of a kept word besides its text and ids
@@ -34,6 +37,7 @@ TOGETHER = 256  # texts whose new words are tokenized together
 NOT_LATIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
 PUNCTUATED = re.compile("[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f][.,]\\Z")
 
+MADE = "doc_id long, ids binary, n long, route long, near long"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -119,10 +123,11 @@ def _encoder(path: str) -> _Encoder:
     return state["encoder"]
 
 
-def _tokenize(path: str):
+def _tokenize(path: str, router: _Index | None = None):
     """doc_id, ``ids`` (the text's token ids and END, as little-endian unsigned
-    16-bit bytes), ``n`` and ``near``, the smallest hash of three tokens in a
-    row: equal for texts that share most of them."""
+    16-bit bytes), ``n``, ``route`` (the document's three best pivots in order)
+    and ``near``, the smallest hash of three tokens in a row: equal for texts
+    that share most of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(path), END.to_bytes(2, "little")
@@ -135,7 +140,9 @@ def _tokenize(path: str):
                     h = (x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9)) * np.uint64(0xD6E8FEB86659FD93)
                     near.append(int(h.min() >> np.uint64(1)) if len(h) else 0)
                 n = pa.array([len(x) // 2 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), n, pa.array(near, pa.int64())], ["doc_id", "ids", "n", "near"])
+                route = router.routes([np.frombuffer(x, "<u2") for x in ids]) if router else np.zeros(len(ids), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(ids, pa.binary()), n, pa.array(route, pa.int64()), pa.array(near, pa.int64())], ["doc_id", "ids", "n", "route", "near"])
 
     return run
 
@@ -177,6 +184,22 @@ class _Index:
         self.at = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.n = len(ids)
 
+    def routes(self, docs: list[np.ndarray]) -> np.ndarray:
+        """Per document its three best documents of the index, as one number
+        that sorts by the best, then the second, then the third; the largest
+        number for one without any."""
+        owner, token, _ = _distinct(docs)
+        begin, size = self.at[token], self.at[token + 1] - self.at[token]
+        ends = np.cumsum(size)
+        at = np.repeat(begin - np.concatenate([[0], ends[:-1]]), size) + np.arange(ends[-1] if len(ends) else 0)
+        score = np.bincount(np.repeat(owner.astype(np.int64), size) * self.n + self.doc[at], self.weight[at], len(docs) * self.n).reshape(len(docs), self.n)
+        out = np.zeros(len(docs), np.int64)
+        best = np.argsort(-score, axis=1, kind="stable")[:, :3]
+        for k in range(3):
+            place = best[:, min(k, self.n - 1)]
+            out = out * (self.n + 1) + np.where(score[np.arange(len(docs)), place] > 0, place, self.n)
+        return out
+
     def scores(self, terms: np.ndarray) -> np.ndarray:
         begin, size = self.at[terms], self.at[terms + 1] - self.at[terms]
         total = int(size.sum())
@@ -266,6 +289,32 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
     return run
 
 
+def _router(docs: DataFrame, path: str, shard: int) -> _Index | None:
+    """A BM25 index of PIVOTS documents out of a sample of about SAMPLE, by the
+    hash of their texts, so copies count once; its token frequencies are the
+    sample's.  None if all documents fit one shard."""
+    n = docs.count()
+    if n <= shard:
+        return None
+    share = min(1.0, SAMPLE / n)
+    key = F.xxhash64("text", F.lit("pivot"))
+    held = docs.where(F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30))).where(F.length("text").between(1, SAMPLE_CHARS))
+    held = held.groupBy(key.alias("key")).agg(F.min("text").alias("text")).orderBy("key").limit(2 * SAMPLE).select(F.lit(0).cast("long").alias("doc_id"), "text")
+    ids = [np.frombuffer(r.ids, "<u2") for r in held.mapInArrow(_tokenize(path), MADE).select("ids").collect()]  # at most 2 * SAMPLE texts of bounded length
+    if len(ids) < 2:
+        return None
+    df = np.bincount(_distinct(ids)[1], minlength=1 << 16)
+    idf = np.maximum(np.log((len(ids) - df + 0.5) / (df + 0.5)), 0)
+    idf[df == 0] = 0
+    ids, mean = ids[:PIVOTS], sum(map(len, ids)) / len(ids)
+    # Pivots in a chain of nearest unused neighbours, so that neighbouring numbers are of like vocabulary.
+    index, chain, free = _Index(ids, idf, mean), [0], np.ones(len(ids), bool)
+    while len(chain) < len(ids):
+        free[chain[-1]] = False
+        chain.append(int(np.argmax(np.where(free, index.scores(index.terms[chain[-1]]), -1.0))))
+    return _Index([ids[k] for k in chain], idf, mean)
+
+
 def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None,
          window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """Pack all documents into sequences of ``window`` tokens: one row per piece
@@ -274,9 +323,15 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
 
     Document counts of all tokens give the inverse document frequencies (0 for
     tokens of half the documents or more); they are at most one number for each
-    token of the vocabulary, so they travel to every task.  Documents are
-    range-partitioned by a hash of their wording and their id, so near copies
-    meet and a group of copies of any size is spread.  Each task streams its
+    token of the vocabulary, so they travel to every task.
+
+    Documents are routed to shards by lexical retrieval, too: a bounded sample
+    of the table (``_router``) gives PIVOTS documents with a BM25 index of their
+    own, every document looks up its three best pivots by all its tokens, and
+    the order of shards is that of (best, second, third pivot, wording, id).
+    So documents of like vocabulary lie beside each other wherever they were in
+    the table, near copies meet, and a group of copies of any size is spread
+    over ranges.  Each task streams its
     range, about TASK_TOKENS tokens of it, in shards of ``shard`` documents or
     SHARD_TOKENS tokens: a shard has its BM25 index, the document that opens a window queries it with all its tokens, and its best
     unused neighbours fill the window.  The document that overfills a window is
@@ -290,14 +345,15 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     made = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    made = stage(made.mapInArrow(_tokenize(path), "doc_id long, ids binary, n long, near long"), "packing-tokens")
+    made = stage(made.mapInArrow(_tokenize(path, _router(made, path, shard)), MADE), "packing-tokens")
     n, total = made.agg(F.count("*"), F.sum("n")).first()
     counts = made.select("ids").mapInArrow(_document_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(1 << 16)
     df[counts["token"].to_numpy(np.int64)] = counts["n"]
     idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)
     parts = max(1, math.ceil((total or 0) / TASK_TOKENS))
-    ranged = made.select("doc_id", "ids", "near").repartitionByRange(parts, "near", "doc_id").sortWithinPartitions("near", "doc_id", F.crc32("ids"))
+    ranged = made.select("doc_id", "ids", "route", "near").repartitionByRange(parts, "route", "near", "doc_id").sortWithinPartitions(
+        "route", "near", "doc_id", F.crc32("ids"))
     return ranged.select("doc_id", "ids").mapInArrow(_packer(idf, total / n if n else 1.0, window, shard), PIECES)
 
 

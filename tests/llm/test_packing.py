@@ -118,3 +118,28 @@ def test_ranges_follow_the_tokens(spark, monkeypatch):
     rows = pack(docs, window=64).collect()
     assert len({r.sequence_id >> 32 for r in rows}) >= 8
     assert sorted({r.doc_id for r in rows}) == list(range(100))
+
+
+def test_neighbours_meet_over_all_shards(spark, monkeypatch):
+    """Documents of 26 topics, dealt at random, share windows with their own
+    topic however many shards there are."""
+    monkeypatch.setattr(packing, "TASK_TOKENS", 40_000)
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    topics = [[word() for _ in range(400)] for _ in range(26)]
+    docs = [(i, " ".join(rnd.choices(topics[i % 26], k=100))) for i in range(2600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for shard in (1024, 64):
+        windows = {}
+        for r in pack(df, shard=shard).select("doc_id", "sequence_id").distinct().collect():
+            windows.setdefault(r.sequence_id, []).append(r.doc_id % 26)
+        pairs = [a == b for m in windows.values() for i, a in enumerate(m) for b in m[:i]]
+        assert sum(pairs) >= 0.9 * len(pairs), shard
+
+
+def test_router_without_vocabulary(spark):
+    docs = spark.createDataFrame([(i, None if i % 3 else " ") for i in range(50)], "doc_id long, text string")
+    assert pack(docs, shard=4).count() == 50
+    same = spark.createDataFrame([(i, "one text for all") for i in range(50)], "doc_id long, text string")
+    rows = pack(same, shard=4, window=64).collect()
+    assert sorted(r.doc_id for r in rows if r.start == 0) == list(range(50))
