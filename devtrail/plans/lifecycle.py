@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import GRACE_MONTHS, HI, LO, STALE_DAYS, Buckets
 from ..operators.guards import FAILED, guard_rejects
-from ..session import together
+from ..session import buckets, together
 from ..sources.landing import Landing
 from ..sources.text import LAYOUTS, read_delimited, write_delimited, write_table
 from ..sources.textio import null_markers, write_event_text
@@ -105,18 +105,28 @@ class Lifecycle:
     def session(self) -> SparkSession:
         return self.feed("shipment_orig").sparkSession
 
+    @cached_property
+    def n_buckets(self) -> int | None:
+        """Buckets of the run's device tables, by the rows of the landed shipment
+        feed (at least one for each device); the session's if nothing is landed."""
+        landed = self.land or isinstance(self.feeds.get("shipment_orig"), Landing)
+        return buckets(self.session, self.feed("shipment_orig").count()) if landed else None
+
     @cached_property
     def ship(self) -> dict[str, DataFrame]:
-        return build_shipment(self.feed("shipment_orig"), self.lo, self.hi)
+        return build_shipment(self.feed("shipment_orig"), self.lo, self.hi, n_buckets=self.n_buckets)
 
     @cached_property
     def sdac(self) -> dict[str, DataFrame]:
-        return build_sdac(self.feed("sdac_orig"), self.ship["shipment_model"], self.hi, materialize=self.materialize)
+        return build_sdac(
+            self.feed("sdac_orig"), self.ship["shipment_model"], self.hi, materialize=self.materialize, n_buckets=self.n_buckets
+        )
 
     @cached_property
     def activation(self) -> dict[str, DataFrame]:
         return build_activation(
-            self.feed("uss_device"), self.ship["shipment_model"], self.lo, self.hi, self.checkin_source, materialize=self.materialize
+            self.feed("uss_device"), self.ship["shipment_model"], self.lo, self.hi, self.checkin_source, materialize=self.materialize,
+            n_buckets=self.n_buckets,
         )
 
     @cached_property
@@ -134,6 +144,7 @@ class Lifecycle:
             sdac_model_dates=self.sdac["sdac_model_dates"],
             activation_model_dates=self.activation["activation_model_dates"],
             materialize=self.materialize or self.share,  # read by five outputs: computed once
+            n_buckets=self.n_buckets,
         )
 
     @cached_property

@@ -26,10 +26,11 @@ def shared(df: DataFrame, name: str = "shared") -> DataFrame:
     return stage(df, name)
 
 
-def shared_by_device(df: DataFrame, name: str) -> DataFrame:
+def shared_by_device(df: DataFrame, name: str, n_buckets: int | None = None) -> DataFrame:
     """``shared`` for a table with one row a device, bucketed by it: the joins by
-    device that follow need no exchange on its side."""
-    return stage_by_key(df, "imei", name)
+    device that follow need no exchange on its side.  All device tables of a run
+    have the same number of buckets."""
+    return stage_by_key(df, "imei", name, n_buckets)
 
 
 def prepare_shipment(shipment_orig: DataFrame) -> DataFrame:
@@ -57,6 +58,7 @@ def build_shipment(
     lo: Date = LO,
     hi: Date = HI,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    n_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """One shipment row per device (latest shipment date) with the model's
     first manufacturing and first shipment dates appended.
@@ -70,7 +72,7 @@ def build_shipment(
     # sdac and activation) and the rejects
     best, dims = together(
         shipment_orig.sparkSession,
-        lambda: shared_by_device(best_per_key(s, ["imei"], "shipment_date", latest=True), "shipment_best"),
+        lambda: shared_by_device(best_per_key(s, ["imei"], "shipment_date", latest=True), "shipment_best", n_buckets),
         lambda: sized_broadcast(model_first_dates(shipment_orig, hi), max_broadcast_rows),
     )
     latest, rejects = split_bound(best, "shipment_date", lo=lo)
@@ -95,6 +97,7 @@ def build_sdac(
     hi: Date = HI,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     materialize: bool = False,
+    n_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Earliest SDAC record per shipped device plus the model's
     first_sdac_date (computed after the dedup and the join, over shipped
@@ -102,9 +105,9 @@ def build_sdac(
     rejects need no second pass."""
     best = best_per_key(parse_dates(sdac_orig, "create_date"), ["imei"], "create_date", latest=False)
     if materialize:
-        best = shared_by_device(best, "sdac_best")
+        best = shared_by_device(best, "sdac_best", n_buckets)
     first, rejects = split_bound(best, "create_date", hi=hi)
-    joined = shared_by_device(first.join(shipment_model.select("imei", "model"), "imei", "inner"), "sdac_model")
+    joined = shared_by_device(first.join(shipment_model.select("imei", "model"), "imei", "inner"), "sdac_model", n_buckets)
     dims = sized_broadcast(first_date_by(joined, "model", {"first_sdac_date": "create_date"}, hi), max_broadcast_rows)
     sdac = joined.join(dims, "model", "left").select(*first.columns, "first_sdac_date")
     return {"sdac": sdac, "sdac_first": first, "sdac_model_dates": dims, "sdac_rejects": rejects}
@@ -131,6 +134,7 @@ def build_activation(
     source: str = "deduped",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     materialize: bool = False,
+    n_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Per shipped device its activation_date (latest last-seen day), the
     model's first_checkin_date (minimum of those over shipped devices) and the
@@ -143,9 +147,9 @@ def build_activation(
     u = last_checkins(uss_device)
     best = best_per_key(u, ["imei"], "activation_date", latest=True)
     if materialize:  # the rejects are written by a separate job: one dedup pass for both
-        best = shared_by_device(best, "activation_best")
+        best = shared_by_device(best, "activation_best", n_buckets)
     latest, rejects = split_bound(best, "activation_date", lo=lo)
-    joined = shared_by_device(latest.join(shipment_model.select("imei", "model"), "imei", "inner"), "activation_model")
+    joined = shared_by_device(latest.join(shipment_model.select("imei", "model"), "imei", "inner"), "activation_model", n_buckets)
     dims = sized_broadcast(
         first_date_by(joined, "model", {"first_checkin_date": "activation_date"}, hi), max_broadcast_rows
     )

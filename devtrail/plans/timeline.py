@@ -27,6 +27,7 @@ def build_new_shipment(
     sdac_model_dates: DataFrame | None = None,
     activation_model_dates: DataFrame | None = None,
     materialize: bool = False,
+    n_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Every shipped device, left-joined to its SDAC row (``sdac_*``) and
     activation row (``act_*``), plus the model's first_launch_date (C5).
@@ -63,7 +64,7 @@ def build_new_shipment(
         dims = first_launch_date(joined, "model", "sdac_first_sdac_date", "act_first_checkin_date", hi)
         ns = lookup(joined, dims, "model", max_broadcast_rows).select(*joined.columns, "first_launch_date")
     if materialize:
-        ns = shared_by_device(ns, "new_shipment")
+        ns = shared_by_device(ns, "new_shipment", n_buckets)
     first_use = min_date("sdac_create_date", "act_activation_date")
     return {
         "new_shipment": ns,

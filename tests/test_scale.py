@@ -88,6 +88,19 @@ def test_event_joins_need_no_exchange_on_the_staged_side(spark, no_broadcast):
     assert rows(p6) == rows(ns)
 
 
+def test_buckets_follow_the_rows_of_a_landed_feed(spark, monkeypatch, no_broadcast):
+    monkeypatch.setattr("devtrail.session.ROWS_PER_BUCKET", 300)
+    feeds = fixtures.feeds(spark, SF)
+    run = Lifecycle(feeds, FIXTURE_BUCKETS, LO, HI, FIXTURE_AS_OF, land=True)
+    n = -(-feeds["shipment_orig"].count() // 300)
+    assert run.n_buckets == n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ns = run.new_shipment["new_shipment"]
+    df = build_new_complex(run.cabandon["cabandon"], ns)
+    assert (staged_scans(df), exchanged_staged_sides(df)) == (1, 0)
+    assert any(f"out of {n}" in x.simpleString(10_000) for x in nodes(plan_of(df)) if is_staged(x))
+    assert Lifecycle(feeds, FIXTURE_BUCKETS, materialize=False).n_buckets is None
+
+
 def test_staged_by_key_keeps_rows_and_goes_with_its_run(spark):
     df = spark.range(1000).select((F.col("id") % 97).alias("k"), "id").union(spark.sql("SELECT CAST(NULL AS BIGINT), -1L"))
     with run_scratch(spark) as path:
