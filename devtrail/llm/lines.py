@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devtrail.llm.common import fresh, table
+from devtrail.operators.joins import sized_broadcast
 from devtrail.session import stage
 
 LEAST_SITES = 2  # distinct sites that make a line boilerplate, whatever their number in the table
@@ -15,6 +16,7 @@ SHORT_CHARS = 24  # shorter lines may coincide by chance: they need more sites
 SHARE, SHORT_SHARE = 0.1, 0.3  # of all sites that a line, and a short one, must stand on
 SKETCH = 12  # log2 of the sketch's registers: standard error 1.6%
 BAND = 0.1  # estimates this near the threshold are counted exactly
+MAX_LINES = 500_000  # boilerplate lines that are broadcast; more are joined by a shuffle
 
 
 def _site(source: str) -> Column:
@@ -42,7 +44,7 @@ def boilerplate_lines(lines: DataFrame, min_sites: int, short_sites: int | None
     spread = spread.select(*key, "first", needed.alias("needed"), F.hll_sketch_estimate("sketch").alias("sites"))
     spread = stage(spread.where(F.col("sites") >= F.col("needed") * (1 - BAND)), "lines-spread")
     near = spread.where(F.col("sites") <= F.col("needed") * (1 + BAND)).select(*key, "first", "needed")
-    exact = lines.select(*key, "site").join(near, key).groupBy(*key, "first", "needed", "site").agg(F.lit(1).alias("one"))
+    exact = lines.select(*key, "site").join(sized_broadcast(near, MAX_LINES), key).groupBy(*key, "first", "needed", "site").agg(F.lit(1).alias("one"))
     exact = exact.groupBy(*key, "first", "needed").agg(F.count("*").alias("sites")).where(F.col("sites") >= F.col("needed"))
     return spread.where(F.col("sites") > F.col("needed") * (1 + BAND)).select(*key, "first").union(exact.select(*key, "first"))
 
@@ -74,7 +76,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sit
         sites = docs.select(_site(site).alias("site")).agg(F.count_distinct("site")).first()[0]
         min_sites, short_default = site_thresholds(sites)
         short_sites = short_sites or short_default
-    spread = stage(boilerplate_lines(rows, min_sites, short_sites), "lines-boilerplate")
+    spread = sized_broadcast(boilerplate_lines(rows, min_sites, short_sites), MAX_LINES)
     same_doc = (F.col("at.none") == F.col("first.none")) & F.col("at.id").eqNullSafe(F.col("first.id")) & (F.col("at.key") == F.col("first.key"))
     drops = rows.join(spread, ["line", "line2"]).where(~(same_doc & (F.col("at.pos") == F.col("first.pos"))))
     drops = drops.groupBy(F.col("at.id").alias(k_id), F.col("at.key").alias(k_text)).agg(F.collect_set("at.pos").alias(gone))
