@@ -16,11 +16,11 @@ from devtrail.session import stage
 
 ORDER = 4  # characters of an n-gram; four 16-bit code points fill a long
 PIECE = 4_000_000  # characters whose n-grams are gathered at once
-BLOCK = 4096  # documents whose distinct n-grams are looked up together
+BLOCK = 8_000_000  # characters, about, of the documents whose distinct n-grams are looked up together
 LOW, HIGH = 0.002, 0.998  # quantiles of trusted perplexities that bound what is kept
 SLACK = 1.05  # factor on both bounds
-FOLDS = 5  # of trusted documents; each is scored by a model of the others
-FEW = 500  # trusted documents of a language below which its quantiles are its extremes
+HELD = 5  # one in so many trusted texts is held out to set the bounds
+FEW = 100  # held-out documents of a language below which it has the wider of its own and the overall bounds
 ALPHABET = 1 << 16
 
 
@@ -49,20 +49,14 @@ def _pieces(texts: list[str]) -> Iterator[list[str]]:
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct n-grams of whole texts, with their number in trusted ones of
-    each fold."""
+    """Distinct n-grams of whole texts, with their number in trusted texts and
+    in those of them that are held out."""
     for b in batches:
-        for trusted, rows in b.groupby(b["fold"] >= 0):
-            folds, at = rows["fold"].to_numpy(), 0
+        for part, rows in b.groupby("part"):
             for held in _pieces(rows["text"].tolist()):
-                found = [_grams(t) for t in held]
-                code, grams = pd.factorize(np.concatenate(found))
-                n = np.zeros((len(grams), FOLDS), np.int64)
-                if trusted:
-                    fold = np.repeat(folds[at:at + len(held)], [len(g) for g in found])
-                    n = np.bincount(code * FOLDS + fold, minlength=n.size).reshape(n.shape)
-                at += len(held)
-                yield pd.DataFrame({"gram": grams, **{f"n{k}": n[:, k] for k in range(FOLDS)}})
+                code, grams = pd.factorize(np.concatenate([_grams(t) for t in held]))
+                n = np.bincount(code, minlength=len(grams))
+                yield pd.DataFrame({"gram": grams, "n": n * (part >= 0), "held": n * (part > 0)})
 
 
 def _distinct(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -72,40 +66,40 @@ def _distinct(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _score(key: tuple, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """Perplexity of each text, and of a trusted one by the model without its fold."""
+    """Perplexity of each text, and of a held-out one by the model that has not seen it."""
     index = pd.Index(known["gram"].to_numpy())
-    logp = {fold: known[name].to_numpy() for fold, name in [(-1, "logp"), *((k, f"logp{k}") for k in range(FOLDS))]}
+    logp, without = known["logp"].to_numpy(), known["without"].to_numpy()
     seen, unseen = np.zeros(len(rows)), np.full(len(rows), np.nan)
-    for k, (t, fold) in enumerate(zip(rows["text"], rows["fold"])):
+    for k, (t, part) in enumerate(zip(rows["text"], rows["part"])):
         at = index.get_indexer(_grams(t))
-        seen[k] = logp[-1][at].sum() / len(at)
-        if fold >= 0:
-            unseen[k] = logp[fold][at].sum() / len(at)
+        seen[k] = logp[at].sum() / len(at)
+        if part > 0:
+            unseen[k] = without[at].sum() / len(at)
     return pd.DataFrame({"none": rows["none"], "id": rows["id"], "key": rows["key"], "perplexity": np.exp(-seen),
                          "unseen": pd.array(np.exp(-unseen), "Float64")})
 
 
 def _discounts(counts: DataFrame) -> dict[int, list[float]]:
-    """A fold's modified discounts for counts of 1, 2 and 3 or more."""
+    """A model's modified discounts for counts of 1, 2 and 3 or more."""
     out = {}
-    for fold, *of in counts.groupBy("fold").agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).collect():
+    for model, *of in counts.groupBy("model").agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).collect():
         n1, n2 = of[:2]
         y = n1 / (n1 + 2 * n2) if n1 else 0.0
-        out[fold] = [min(float(k), max(0.05, k - (k + 1) * y * b / a)) if a else 0.5 for k, (a, b) in enumerate(zip(of, of[1:]), 1)]
+        out[model] = [min(float(k), max(0.05, k - (k + 1) * y * b / a)) if a else 0.5 for k, (a, b) in enumerate(zip(of, of[1:]), 1)]
     return out
 
 
-def _by_fold(values: dict[int, float]) -> Column:
-    """The value of a row's fold, null for other folds."""
+def _by_model(values: dict[int, float]) -> Column:
+    """The value of a row's model, null for other models."""
     out = F.lit(None).cast("double")
-    for fold, x in values.items():
-        out = F.when(F.col("fold") == fold, float(x)).otherwise(out)
+    for model, x in values.items():
+        out = F.when(F.col("model") == model, float(x)).otherwise(out)
     return out
 
 
 def log_probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
-    """(fold, gram, logp) for every row of ``grams`` (fold, gram), by its fold's
-    model of ``counts`` (fold, gram, n).
+    """(model, gram, logp) for every row of ``grams`` (model, gram), by its model's
+    ``counts`` (model, gram, n).
 
     The highest order counts occurrences, each lower one the distinct
     characters before a gram.  A level joins its counts, the totals of its
@@ -113,28 +107,28 @@ def log_probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
     keys; only the counts of counts reach the driver.
     """
     def level(width: int, grams: DataFrame, counts: DataFrame) -> DataFrame:
-        """fold, gram, p for ``grams`` of ``width`` characters."""
+        """model, gram, p for ``grams`` of ``width`` characters."""
         discounts = _discounts(counts)
-        cuts = [_by_fold({fold: d[k] for fold, d in discounts.items()}) for k in range(3)]
+        cuts = [_by_model({model: d[k] for model, d in discounts.items()}) for k in range(3)]
         cut = F.when(F.col("n") == 1, cuts[0]).when(F.col("n") == 2, cuts[1]).when(F.col("n") >= 3, cuts[2])
         context = F.shiftrightunsigned("gram", 16)
         if width == 1:
-            sums = counts.groupBy("fold").agg(F.sum("n").alias("total"), F.sum(cut).alias("left")).collect()
-            total = _by_fold({r.fold: r.total for r in sums})
-            rest = F.coalesce(_by_fold({r.fold: r.left / r.total / ALPHABET for r in sums}), F.lit(1 / ALPHABET))
-            return grams.join(counts, ["fold", "gram"], "left").select(
-                "fold", "gram", (F.coalesce((F.col("n") - cut) / total, F.lit(0.0)) + rest).alias("p"))
+            sums = counts.groupBy("model").agg(F.sum("n").alias("total"), F.sum(cut).alias("left")).collect()
+            total = _by_model({r.model: r.total for r in sums})
+            rest = F.coalesce(_by_model({r.model: r.left / r.total / ALPHABET for r in sums}), F.lit(1 / ALPHABET))
+            return grams.join(counts, ["model", "gram"], "left").select(
+                "model", "gram", (F.coalesce((F.col("n") - cut) / total, F.lit(0.0)) + rest).alias("p"))
         lower_mask = F.lit((1 << 16 * (width - 1)) - 1)
         suffix = F.col("gram").bitwiseAND(lower_mask)
-        heads = counts.groupBy("fold", context.alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("held"))
-        lower_counts = stage(counts.groupBy("fold", suffix.alias("gram")).agg(F.count("*").alias("n")), f"quality-{width - 1}")
-        lower = level(width - 1, grams.select("fold", suffix.alias("gram")).distinct(), lower_counts)
-        out = grams.join(counts, ["fold", "gram"], "left").withColumn("context", context).withColumn("suffix", suffix)
-        out = out.join(heads, ["fold", "context"], "left").join(lower.select("fold", F.col("gram").alias("suffix"), F.col("p").alias("back")), ["fold", "suffix"])
+        heads = counts.groupBy("model", context.alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("held"))
+        lower_counts = stage(counts.groupBy("model", suffix.alias("gram")).agg(F.count("*").alias("n")), f"quality-{width - 1}")
+        lower = level(width - 1, grams.select("model", suffix.alias("gram")).distinct(), lower_counts)
+        out = grams.join(counts, ["model", "gram"], "left").withColumn("context", context).withColumn("suffix", suffix)
+        out = out.join(heads, ["model", "context"], "left").join(lower.select("model", F.col("gram").alias("suffix"), F.col("p").alias("back")), ["model", "suffix"])
         seen = F.coalesce((F.col("n") - cut) / F.col("total"), F.lit(0.0))
-        return out.select("fold", "gram", (seen + F.coalesce(F.col("held") / F.col("total"), F.lit(1.0)) * F.col("back")).alias("p"))
+        return out.select("model", "gram", (seen + F.coalesce(F.col("held") / F.col("total"), F.lit(1.0)) * F.col("back")).alias("p"))
 
-    return level(ORDER, grams.select("fold", "gram"), counts.where("n > 0")).select("fold", "gram", F.log("p").alias("logp"))
+    return level(ORDER, grams.select("model", "gram"), counts.where("n > 0")).select("model", "gram", F.log("p").alias("logp"))
 
 
 def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
@@ -146,10 +140,11 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", do
     count once.  The bounds are the ``low`` and ``high`` quantiles of the trusted
     documents' perplexities in the language, with some slack: text that is too
     surprising (noise, markup, shouting) or too predictable (repetition) goes.
-    A trusted document's perplexity for the bounds is that by a model without
-    its fold (a hash of the text), as in-sample ones are too low for unseen
-    text.  A language of fewer than FEW trusted documents has the wider of its
-    own bounds and those of all trusted text.
+    The bounds are set by trusted texts held out of the model, as in-sample
+    perplexities are too low for unseen text: one in HELD by a hash of the text,
+    and in each language at least the text of the smallest hash, so a language
+    with a single trusted text still has a bound.  A language of fewer than FEW
+    held-out documents has the wider of its own bounds and those of all.
     Scoring deals whole texts into blocks by a hash; a block's distinct n-grams
     are joined with the sharded log-probabilities and come back to score it.
 
@@ -167,23 +162,25 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, text: str = "text", do
     ids = stage(ids.withColumn("yes", F.lit(True)), "quality-trusted")
     body = docs.select(F.col(doc_id).isNull().alias("none"), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id"),
                        F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.length("text") > 0)
-    # Folds by the text: copies are held out together.
-    fold = F.when(F.col("yes"), F.pmod(F.xxhash64("text"), F.lit(FOLDS))).otherwise(-1).cast("int").alias("fold")
-    flagged = body.join(sized_broadcast(ids), (F.col("id") == F.col("own")) & ~F.col("none"), "left").select("none", "id", "text", fold)
-    folds = [f"n{k}" for k in range(FOLDS)]
-    counts = flagged.select("text", "fold").mapInPandas(_counts, ", ".join(f"{c} long" for c in ["gram", *folds])).groupBy("gram").agg(*[F.sum(c).alias(c) for c in folds])
-    counts = stage(counts.withColumn("n", sum((F.col(c) for c in folds[1:]), F.col(folds[0]))), "quality-counts")
-    # The model of all trusted text (fold -1) scores every n-gram, a fold's those of the fold by the counts of the others.
-    models = [F.struct(F.lit(-1).alias("fold"), F.col("n"), F.lit(True).alias("asked"))]
-    models += [F.struct(F.lit(k).alias("fold"), (F.col("n") - F.col(c)).alias("n"), (F.col(c) > 0).alias("asked")) for k, c in enumerate(folds)]
-    models = counts.select("gram", F.inline(F.array(*models)))
-    known = log_probabilities(models.where("asked"), models.select("fold", "gram", "n"))
-    known = known.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == k, F.col("logp"))).alias("logp" if k < 0 else f"logp{k}") for k in range(-1, FOLDS)])
+    mine = body.join(sized_broadcast(ids), (F.col("id") == F.col("own")) & ~F.col("none"), "left").select(
+        "none", "id", F.xxhash64("text").alias("key"), "text", "lang", F.coalesce("yes", F.lit(False)).alias("yes"))
+    # Held out by the text, so copies share their side; a language's smallest hash is always held out.
+    first = stage(mine.where("yes").groupBy("lang").agg(F.min("key").alias("first")).select("first", F.lit(True).alias("least")).distinct(), "quality-held")
+    held = F.coalesce("least", F.lit(False)) | (F.pmod("key", F.lit(HELD)) == 0)
+    part = F.when(~F.col("yes"), -1).when(held, 1).otherwise(0).cast("int").alias("part")
+    flagged = mine.join(sized_broadcast(first), F.col("key") == F.col("first"), "left").select("none", "id", "key", "text", part)
+    counts = flagged.select("text", "part").mapInPandas(_counts, "gram long, n long, held long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+    counts = stage(counts, "quality-counts")
+    # Model 0 of all trusted text scores every n-gram, model 1 those of held-out text by the counts of the others.
+    models = counts.select("gram", F.inline(F.array(
+        F.struct(F.lit(0).alias("model"), F.col("n"), F.lit(True).alias("asked")),
+        F.struct(F.lit(1).alias("model"), (F.col("n") - F.col("held")).alias("n"), (F.col("held") > 0).alias("asked")))))
+    known = log_probabilities(models.where("asked"), models.select("model", "gram", "n"))
+    known = known.groupBy("gram").agg(*[F.max(F.when(F.col("model") == k, F.col("logp"))).alias(c) for k, c in enumerate(("logp", "without"))])
     known = stage(known, "quality-model")
 
-    blocks = max(1, math.ceil(body.count() / BLOCK))
-    dealt = flagged.select("none", "id", F.xxhash64("text").alias("key"), "text", "fold").withColumn(
-        "block", F.pmod(F.xxhash64("none", "id", "key"), F.lit(blocks)))
+    blocks = max(1, math.ceil((body.agg(F.sum(F.length("text"))).first()[0] or 0) / BLOCK))
+    dealt = flagged.withColumn("block", F.pmod(F.xxhash64("none", "id", "key"), F.lit(blocks)))
     looked = dealt.groupBy("block").applyInPandas(_distinct, "block long, gram long").join(known, "gram").select("block", *known.columns)
     scored = dealt.groupBy("block").cogroup(looked.groupBy("block")).applyInPandas(
         _score, "none boolean, id long, key long, perplexity double, unseen double")

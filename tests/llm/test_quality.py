@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from devtrail.llm.quality import ALPHABET, ORDER, classify_quality, op3_quality
+from devtrail.llm.quality import ALPHABET, FEW, HELD, HIGH, LOW, ORDER, SLACK, classify_quality, op3_quality
 from tests.llm.conftest import SF
 
 
@@ -57,6 +57,32 @@ def test_perplexity_against_the_definition(spark):
         assert got[r.doc_id].perplexity == pytest.approx(want(r.text), rel=1e-9)
 
 
+def test_bounds_and_verdicts_against_the_definition(spark):
+    """Held out: the texts of a fifth of the hashes and each language's smallest."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(120).select("doc_id", F.substring("text", 1, 200).alias("text"), "lang").collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    key = {r.doc_id: r.key for r in docs.select("doc_id", F.xxhash64("text").alias("key")).collect()}
+    trusted = [r for r in rows if r.text and r.doc_id % 3]
+    least = {min(key[r.doc_id] for r in trusted if r.lang == lang) for lang in {r.lang for r in trusted}}
+    held = [r for r in trusted if key[r.doc_id] % HELD == 0 or key[r.doc_id] in least]
+    assert len(least) <= len(held) < len(trusted) and len(held) < FEW
+    seen = brute_model([r.text for r in trusted])
+    unseen = brute_model([r.text for r in trusted if r not in held])
+
+    def bounds(texts):
+        both = [(seen(t), unseen(t)) for t in texts]
+        place = lambda q: max(0, math.ceil(q * len(both)) - 1)
+        return sorted(map(min, both))[place(LOW)] / SLACK, sorted(map(max, both))[place(HIGH)] * SLACK
+
+    overall = bounds([r.text for r in held])
+    got = {r.doc_id: r for r in classify_quality(docs, spark.createDataFrame([(r.doc_id,) for r in trusted], "doc_id long")).collect()}
+    for r in rows:
+        own = bounds([x.text for x in held if x.lang == r.lang])
+        lo, hi = min(own[0], overall[0]), max(own[1], overall[1])
+        assert got[r.doc_id].perplexity_low == pytest.approx(lo, rel=1e-9) and got[r.doc_id].perplexity_high == pytest.approx(hi, rel=1e-9)
+        assert got[r.doc_id].kept == (lo <= got[r.doc_id].perplexity <= hi)
+
+
 def test_junk_goes_and_good_text_stays(spark):
     out = op3_quality(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     n = {r.quality: (r.n, r.kept) for r in out.groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
