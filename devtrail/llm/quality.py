@@ -16,7 +16,7 @@ from devtrail.session import stage
 
 ORDER = 4  # characters of an n-gram; four 16-bit code points fill a long
 PIECE = 4_000_000  # characters whose n-grams are gathered at once
-BLOCK = 8_000_000  # characters, about, of the documents whose distinct n-grams are looked up together
+BLOCK = 16_000_000  # characters, about, of the documents whose distinct n-grams are looked up together
 LOW, HIGH = 0.002, 0.998  # quantiles of trusted perplexities that bound what is kept
 SLACK = 1.05  # factor on both bounds
 HELD = 5  # one in so many trusted texts is held out to set the bounds
