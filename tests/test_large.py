@@ -2,8 +2,10 @@
 and as they come."""
 
 import glob
+import os
 import threading
 
+from devtrail.registry import QUERIES
 from devtrail.session import together
 from devtrail.sources import fixtures
 
@@ -30,3 +32,10 @@ def test_branches_side_by_side_write_a_feed_once(spark, tmp_path, monkeypatch):
     monkeypatch.setitem(fixtures.BUILDERS, "sdac_orig", build)
     assert together(spark, ask, ask) == [10, 10]
     assert len(built) == 1
+
+
+def test_checkins_used_writes_the_checkin_feed_alone(spark, tmp_path):
+    os.symlink("/root/testdata/sf0.001", folder := str(tmp_path / "tables"))
+    (row,) = QUERIES["b3_checkins_used"](spark, folder).collect()
+    assert row.records == row.used + row.rejects > 0
+    assert [name for _, d, name in fixtures._STORED if d == folder] == ["uss_device"]
