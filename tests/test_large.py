@@ -1,13 +1,17 @@
 """Work that must not grow with the table beyond its size: feeds written once
-and as they come."""
+and as they come, lines rendered and read over arrays, compressed scratch text."""
 
 import glob
 import os
 import threading
 
+from pyspark.sql import functions as F
+
+from devtrail.operators.sequence import distinct_observations
 from devtrail.registry import QUERIES
 from devtrail.session import together
-from devtrail.sources import fixtures
+from devtrail.sources import fixtures, textio
+from devtrail.sources.text import LAYOUTS, place_events, read_lines, read_table, to_lines, union_text
 
 
 def test_feed_is_written_by_the_partitions_of_its_builder(spark, tmp_path, monkeypatch):
@@ -39,3 +43,78 @@ def test_checkins_used_writes_the_checkin_feed_alone(spark, tmp_path):
     (row,) = QUERIES["b3_checkins_used"](spark, folder).collect()
     assert row.records == row.used + row.rejects > 0
     assert [name for _, d, name in fixtures._STORED if d == folder] == ["uss_device"]
+
+
+def events(spark, n=50):
+    """Rows of a move table without its opaque columns, some fields null."""
+    df = spark.range(n).select(F.lit("move").alias("eventtype"), F.date_add(F.lit("2001-01-01").cast("date"), F.col("id").cast("int")).alias("eventdate"))
+    ids = F.when(F.monotonically_increasing_id() % 3 > 0, F.monotonically_increasing_id())
+    return df.select("*", ids.alias("imei"), ids.alias("xchg_uid"), F.lit("move").alias("xchg_eventtype"), F.lit(None).cast("date").alias("first_launch_date"),
+                     ids.alias("to_imei"), F.col("eventdate").alias("to_shipment_date"))
+
+
+def optimized(df) -> str:
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_default_marker_is_set_once_over_the_fields(spark):
+    placed = place_events(events(spark))
+    lines = to_lines(placed, null_markers=textio.null_markers(placed))
+    assert optimized(lines).count("coalesce(") < 10
+    first = lines.first()["value"].split("\x01")
+    assert len(first) == 135 and first[11] == first[52] == "\\N" and first[45] == first[46] == "NA"
+
+
+def test_dates_of_a_text_table_are_parsed_once_over_the_fields(spark, tmp_path):
+    textio.write_event_text(events(spark), path := str(tmp_path / "move"))
+    table, rejects = read_table(spark, path, "new_move")
+    assert optimized(table).count("RLIKE") == 1
+    assert rejects.count() == 0 and table.columns == LAYOUTS["new_move"].columns()
+    got = table.select("imei", "eventdate", "first_launch_date", "to_imei", "to_shipment_date").collect()
+    want = events(spark).select(F.col("imei").cast("string"), "eventdate", "first_launch_date", F.col("to_imei").cast("string"), "to_shipment_date").collect()
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_event_text_that_is_read_back_is_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textio, "scratch_path", lambda s, name: str(tmp_path / "scratch"))
+    got = textio.events_by_position(spark, events(spark), (0, 1, 2, 134))
+    assert got.count() == 50 and {r.n_fields for r in got.collect()} == {135}
+    files = glob.glob(str(tmp_path / "scratch" / "part-*"))
+    assert files and all(f.endswith(".lz4") for f in files)
+
+
+def test_union_of_compressed_text_keeps_lines_and_order(spark, tmp_path):
+    paths = []
+    for i in range(3):
+        lines = spark.range(i * 1000, i * 1000 + 500, 1, 4).select(F.format_string("%05d", "id").alias("value"))
+        lines.write.text(path := str(tmp_path / str(i)), compression="lz4")
+        paths.append(path)
+    union_text(spark, paths, out := str(tmp_path / "all"), compression="lz4")
+    files = sorted(glob.glob(f"{out}/part-*"))
+    assert all(f.endswith(".lz4") for f in files)
+    got = [r.value for f in files for r in read_lines(spark, f).collect()]
+    assert got == sorted(got) and len(got) == 1500
+
+
+def test_distinct_observations_deal_rows_before_they_are_compared(spark):
+    obs = spark.range(3000).select((F.col("id") % 1000).alias("imsi"), F.when(F.col("id") % 2 == 0, 7).alias("imei"))
+    got = distinct_observations(obs, rows=20_000_000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "20" in plan.split("hashpartitioning")[1].split("REPARTITION_BY_NUM")[0]
+    assert plan.index("HashAggregate") < plan.index("Exchange") and "HashAggregate" not in plan[plan.index("Exchange"):]
+    assert sorted(got.collect(), key=str) == sorted(obs.distinct().collect(), key=str)
+    assert distinct_observations(obs).count() == 1000
+
+
+def test_hot_partition_of_the_file_report_is_one_that_aqe_splits(spark, monkeypatch):
+    plans = []
+    write = textio.write_delimited
+    monkeypatch.setattr(textio, "write_delimited", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k)))
+    (row,) = QUERIES["g1_file_rows"](spark, "/root/testdata/sf0.001").collect()
+    assert row.within_limit and row.n_rows > 0
+    assert "REBALANCE_PARTITIONS_BY_COL" in plans[0] and "REPARTITION_BY_NUM" not in plans[0]
