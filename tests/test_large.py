@@ -53,11 +53,11 @@ def events(spark, n=50):
                      ids.alias("to_imei"), F.col("eventdate").alias("to_shipment_date"))
 
 
-def optimized(df) -> str:
+def plan_text(df, which="optimizedPlan") -> str:
     spark = df.sparkSession
     spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
     try:
-        return df._jdf.queryExecution().optimizedPlan().toString()
+        return getattr(df._jdf.queryExecution(), which)().toString()
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
 
@@ -65,7 +65,7 @@ def optimized(df) -> str:
 def test_default_marker_is_set_once_over_the_fields(spark):
     placed = place_events(events(spark))
     lines = to_lines(placed, null_markers=textio.null_markers(placed))
-    assert optimized(lines).count("coalesce(") < 10
+    assert plan_text(lines, "analyzed").count("coalesce(") < 10
     first = lines.first()["value"].split("\x01")
     assert len(first) == 135 and first[11] == first[52] == "\\N" and first[45] == first[46] == "NA"
 
@@ -73,7 +73,7 @@ def test_default_marker_is_set_once_over_the_fields(spark):
 def test_dates_of_a_text_table_are_parsed_once_over_the_fields(spark, tmp_path):
     textio.write_event_text(events(spark), path := str(tmp_path / "move"))
     table, rejects = read_table(spark, path, "new_move")
-    assert optimized(table).count("RLIKE") == 1
+    assert plan_text(table).count("RLIKE") == 1
     assert rejects.count() == 0 and table.columns == LAYOUTS["new_move"].columns()
     got = table.select("imei", "eventdate", "first_launch_date", "to_imei", "to_shipment_date").collect()
     want = events(spark).select(F.col("imei").cast("string"), "eventdate", "first_launch_date", F.col("to_imei").cast("string"), "to_shipment_date").collect()
