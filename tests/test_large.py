@@ -7,11 +7,14 @@ import threading
 
 from pyspark.sql import functions as F
 
+from devtrail.operators.joins import join_both_ends
 from devtrail.operators.sequence import distinct_observations
 from devtrail.registry import QUERIES
-from devtrail.session import together
+from devtrail.session import stage, together
 from devtrail.sources import fixtures, textio
 from devtrail.sources.text import LAYOUTS, place_events, read_lines, read_table, to_lines, union_text
+from tests.helpers import rows
+from tests.test_scale import nodes, plan_of
 
 
 def test_feed_is_written_by_the_partitions_of_its_builder(spark, tmp_path, monkeypatch):
@@ -118,3 +121,36 @@ def test_hot_partition_of_the_file_report_is_one_that_aqe_splits(spark, monkeypa
     (row,) = QUERIES["g1_file_rows"](spark, "/root/testdata/sf0.001").collect()
     assert row.within_limit and row.n_rows > 0
     assert "REBALANCE_PARTITIONS_BY_COL" in plans[0] and "REPARTITION_BY_NUM" not in plans[0]
+
+
+def test_timeline_reads_its_feeds_from_one_join(spark, tmp_path):
+    os.symlink("/root/testdata/sf0.001", folder := str(tmp_path / "tables"))
+    assert QUERIES["f1_union_all"](spark, folder).count() > 0
+    assert {name for _, d, name in fixtures._STORED if d == folder} == {"joined", "sdac_orig"}
+    for name in fixtures.FROM_JOIN:
+        feed, built = fixtures.stored_feed(spark, folder, name, among=True), fixtures.BUILDERS[name](spark, folder)
+        assert feed.dtypes == built.dtypes and rows(feed) == rows(built)
+
+
+def test_shared_columns_do_not_travel_with_each_edge(spark):
+    dim = spark.range(40).select(
+        F.col("id").alias("imei"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("m"), F.col("id") % 3)).alias("model"),
+        F.when(F.col("id") % 7 > 0, F.col("id")).alias("act_imei"), (F.col("id") * 3).alias("own"))
+    dim = stage(dim.union(dim.filter("imei < 4")))  # some devices twice
+    edges = spark.range(300).select((F.col("id") % 43).alias("imei"), (F.col("id") % 41).alias("toimei"), F.col("id").alias("uid"))
+    plain = join_both_ends(edges, dim)
+    lean = join_both_ends(edges, dim, repeated=["model"], echoes=["act_imei"])
+    over = join_both_ends(edges, dim, repeated=["model"], echoes=["act_imei"], max_rows=3)
+    assert plain.columns == lean.columns == over.columns and rows(plain) == rows(lean) == rows(over)
+    assert rows(join_both_ends(edges, dim.limit(0), repeated=["model"])) == []
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        travels = lambda df: [c for n in nodes(plan_of(df)) if n.nodeName() == "Exchange" and "(xchg_toimei" in n.simpleString(10_000) for c in n.schema().fieldNames()]
+        assert {"model", "act_imei"} <= set(travels(join_both_ends(edges, dim)))
+        assert set(travels(join_both_ends(edges, dim, repeated=["model"], echoes=["act_imei"]))) == {"imei", "own", "xchg_uid", "xchg_toimei", "__combination"}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
