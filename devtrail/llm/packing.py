@@ -27,7 +27,8 @@ END = 1  # id after each document
 SAMPLE = 2048  # texts, about, by which documents are routed to each other
 PIVOTS = 512  # of them that are the places to be routed to
 SAMPLE_CHARS = 32_768  # of such a text, at most
-CACHED_BYTES = 64 << 20  # of one generation of words with their ids, about
+DENSE_BYTES = 64 << 20  # of an index's weights as a table, at most
+CACHED_BYTES = 112 << 20  # of one generation of words with their ids, about
 CACHED_CHARS = 64  # of a stretch that is kept
 WORD_BYTES = 200  # of a kept word besides its text and ids
 SHARD_TOKENS = 4_000_000  # tokens after which a shard is closed
@@ -35,7 +36,7 @@ TASK_TOKENS = 6_000_000  # tokens of a task's range, about
 TOGETHER = 256  # texts whose new words are tokenized together
 # Below U+0250 letters are single code points in normal form and in lower case, but for U+0130.
 NOT_LATIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
-PUNCTUATED = re.compile("[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f][.,]\\Z")
+PUNCTUATED = re.compile("[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f]([!-&(-/:-@\\[-`{-~]+)\\Z")
 
 MADE = "doc_id long, ids binary, n long, route long, near long"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -71,7 +72,7 @@ class _Encoder:
 
     The tokenizer drops white space and no token spans it, so the ids of each
     stretch without white space are kept for reuse (``_Words``).  Text of Latin
-    letters is set in lower case first, and a full stop or comma at the end of
+    letters is set in lower case first, and the ASCII punctuation at the end of
     a word is split off: it is a piece of its own to the tokenizer.
     """
 
@@ -100,8 +101,8 @@ class _Encoder:
                 # case, so that only its merges are left to do.
                 word = word.lower()
                 return array("H", [t.id for t in self.merge(word if word.isascii() else self.letters(word)[0][0])]).tobytes()
-            if PUNCTUATED.search(word):
-                return self.words[word[:-1]] + self.words[word[-1]]
+            if "<|" not in word and (end := PUNCTUATED.search(word)):
+                return self.words[word[: end.start(1)]] + self.words[end[1]]
         return self.ids([word])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -180,25 +181,38 @@ class _Index:
         length = np.array([len(x) for x in ids], float)[doc]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
         order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order]
+        self.doc, self.weight = doc[order].astype(np.intp), weight[order]
         self.at = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.n = len(ids)
+        self.rows: np.ndarray | None = None
 
     def routes(self, docs: list[np.ndarray]) -> np.ndarray:
         """Per document its three best documents of the index, as one number
         that sorts by the best, then the second, then the third; the largest
         number for one without any."""
         owner, token, _ = _distinct(docs)
-        begin, size = self.at[token], self.at[token + 1] - self.at[token]
-        ends = np.cumsum(size)
-        at = np.repeat(begin - np.concatenate([[0], ends[:-1]]), size) + np.arange(ends[-1] if len(ends) else 0)
-        score = np.bincount(np.repeat(owner.astype(np.int64), size) * self.n + self.doc[at], self.weight[at], len(docs) * self.n).reshape(len(docs), self.n)
-        out = np.zeros(len(docs), np.int64)
-        best = np.argsort(-score, axis=1, kind="stable")[:, :3]
-        for k in range(3):
-            place = best[:, min(k, self.n - 1)]
-            out = out * (self.n + 1) + np.where(score[np.arange(len(docs)), place] > 0, place, self.n)
-        return out
+        held = np.flatnonzero(np.diff(self.at))
+        if len(held) * self.n * 8 <= DENSE_BYTES and self.rows is None:
+            # A row of weights for each token is summed faster than its postings.
+            self.rows = np.zeros((len(held), self.n))
+            self.rows[np.repeat(np.arange(len(held)), np.diff(self.at)[held]), self.doc] = self.weight
+            self.row = np.full(len(self.at) - 1, -1)
+            self.row[held] = np.arange(len(held))
+        out = []
+        for terms in np.split(token, np.searchsorted(owner, np.arange(1, len(docs)))):
+            if self.rows is None:
+                score = self.scores(terms)
+            else:
+                row = self.row[terms]
+                score = self.rows[row[row >= 0]].sum(axis=0)
+            route = 0
+            for k in range(3):
+                place = int(score.argmax())
+                route = route * (self.n + 1) + (place if score[place] > 0 else self.n)
+                if k + 1 < self.n:
+                    score[place] = -1.0
+            out.append(route)
+        return np.array(out, np.int64)
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         begin, size = self.at[terms], self.at[terms + 1] - self.at[terms]
@@ -206,6 +220,12 @@ class _Index:
         at = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(total) if total else np.zeros(0, np.int64)
         return np.bincount(self.doc[at], self.weight[at], self.n)
 
+    def keep(self, free: np.ndarray) -> None:
+        """Drop the postings of documents that are not ``free``."""
+        kept = free[self.doc]
+        self.doc, self.weight = self.doc[kept], self.weight[kept]
+        self.at = np.concatenate([[0], np.cumsum(kept)])[self.at]
+
 
 def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +251,7 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
             nonlocal seed
             ids = [np.frombuffer(raw, "<u2") for _, raw in docs]
             index = _Index(ids, idf, mean)
-            free, turn, scores = np.ones(len(docs), bool), 0, None
+            free, turn, scores, left, last = np.ones(len(docs), bool), 0, None, len(docs), len(docs)
             for _ in docs:
                 while not free[turn]:
                     turn += 1
@@ -243,6 +263,10 @@ def _packer(idf: np.ndarray, mean: float, window: int, shard: int):
                     best = k if scores[k] > 0 else turn
                 fresh = not filled
                 free[best] = False
+                left -= 1
+                if 4 * left < 3 * last:  # a query then reads no postings of used documents
+                    index.keep(free)
+                    last = left
                 if place(*docs[best]) or fresh:
                     seed, scores = index.terms[best], None
 

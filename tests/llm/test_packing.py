@@ -143,3 +143,48 @@ def test_router_without_vocabulary(spark):
     same = spark.createDataFrame([(i, "one text for all") for i in range(50)], "doc_id long, text string")
     rows = pack(same, shard=4, window=64).collect()
     assert sorted(r.doc_id for r in rows if r.start == 0) == list(range(50))
+
+
+def test_routes_are_the_three_best_scores(monkeypatch):
+    rnd = np.random.default_rng(5)
+    docs = [rnd.integers(0, 80, rnd.integers(0, 90)).astype("<u2") for _ in range(50)]
+    idf = np.maximum(rnd.normal(1, 1, 1 << 16), 0)
+    for n in (2, 20):
+        want = []
+        for x in docs:
+            score, route = _Index(docs[:n], idf, 40.0).scores(np.unique(x[idf[x] > 0])), 0
+            best = np.argsort(-score, kind="stable")
+            for k in range(3):
+                place = best[min(k, n - 1)]
+                route = route * (n + 1) + (place if score[place] > 0 else n)
+            want.append(route)
+        index = _Index(docs[:n], idf, 40.0)
+        assert index.routes(docs).tolist() == want and index.rows is not None
+        monkeypatch.setattr(packing, "DENSE_BYTES", 0)
+        index = _Index(docs[:n], idf, 40.0)
+        assert index.routes(docs).tolist() == want and index.rows is None
+        monkeypatch.undo()
+
+
+def test_used_documents_leave_the_index():
+    rnd = np.random.default_rng(6)
+    docs = [rnd.integers(0, 60, 50).astype("<u2") for _ in range(40)]
+    index, whole = (_Index(docs, np.ones(1 << 16), 50.0) for _ in range(2))
+    free = rnd.random(40) < 0.5
+    index.keep(free)
+    assert len(index.doc) == free[whole.doc].sum() < len(whole.doc)
+    for terms in whole.terms:
+        assert np.array_equal(index.scores(terms), np.where(free, whole.scores(terms), 0))
+
+
+def test_punctuation_at_the_end_is_split_off(tokenizer, monkeypatch):
+    encoder = _Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    rnd = random.Random(3)
+    marks = [c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'"]
+    texts = [rnd.choice(["word", "Über", "x1", "it's", "9", "naïve,b"]) + "".join(rnd.choices(marks, k=rnd.randint(1, 4))) for _ in range(800)]
+    texts += ["a<|endoftext|>", "a,<|endoftext|>", "<|startoftext|>b!", "a<|", "###"]
+    for t in texts:
+        assert np.frombuffer(encoder.encode([t])[0], "<u2").tolist() == own(tokenizer, t)[:-1].tolist(), repr(t)
+    encoder.encode(["###", "word"])
+    monkeypatch.setattr(encoder, "ids", None)  # the whole tokenizer is not asked
+    encoder.encode(["word###"])
