@@ -11,11 +11,12 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
 from devtrail.llm.common import table, worker_cache
 from devtrail.session import stage
@@ -28,52 +29,73 @@ SAMPLE = 2048  # texts, about, by which documents are routed to each other
 PIVOTS = 512  # of them that are the places to be routed to
 SAMPLE_CHARS = 32_768  # of such a text, at most
 DENSE_BYTES = 64 << 20  # of an index's weights as a table, at most
-CACHED_BYTES = 112 << 20  # of one generation of words with their ids, about
+CACHED_BYTES = 56 << 20  # of one generation of words with their ids, about
 CACHED_CHARS = 64  # of a stretch that is kept
 WORD_BYTES = 200  # of a kept word besides its text and ids
+MERGED = 4096  # new words that one call merges
 SHARD_TOKENS = 4_000_000  # tokens after which a shard is closed
 TASK_TOKENS = 6_000_000  # tokens of a task's range, about
-TOGETHER = 256  # texts whose new words are tokenized together
+TOGETHER = 256  # documents whose tokens are sorted together
+TEXT_BYTES = 4 << 20  # of texts whose words are looked up together
 # Below U+0250 letters are single code points in normal form and in lower case, but for U+0130.
 NOT_LATIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
-PUNCTUATED = re.compile("[a-z0-9\\xdf-\\xf6\\xf8-\\u012f\\u0131-\\u024f]([!-&(-/:-@\\[-`{-~]+)\\Z")
+NOT_LATIN_RE2 = r"[^\x00-\x{12f}\x{131}-\x{24f}]"
+PUNCTUATED = r"([a-z0-9\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}])([!-&(-/:-@\[-`{-~]+)\z"
 
 MADE = "doc_id long, ids binary, n long, route long, near long"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
 class _Words(dict):
-    """Ids of stretches without white space, found when they are first asked
-    for.  Two generations of at most CACHED_BYTES each are kept: when the newer
-    is full it becomes the older, so frequent words stay.  Long stretches are
-    not kept at all."""
+    """Ids of stretches without white space.  Two generations of at most
+    CACHED_BYTES each are kept: when the newer is full it becomes the older, so
+    frequent words stay.  Long stretches are not kept at all."""
 
-    def __init__(self, find):
+    def __init__(self):
         super().__init__()
-        self.find, self.old, self.size = find, {}, 0
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.find(word)
-        if len(word) <= CACHED_CHARS:
-            size = WORD_BYTES + len(word) + len(ids)
-            if self.size + size > CACHED_BYTES:
-                self.old, self.size = dict(self), 0
-                self.clear()
-            self[word] = ids
+        self.old, self.size = {}, 0
+
+    def keep(self, words: dict[str, bytes]) -> None:
+        size = WORD_BYTES * len(words) + sum(map(len, words)) + sum(map(len, words.values()))
+        if self.size + size <= CACHED_BYTES and max(map(len, words), default=0) <= CACHED_CHARS:
+            self.update(words)
             self.size += size
-        return ids
+            return
+        for word, ids in words.items():
+            if len(word) <= CACHED_CHARS:
+                size = WORD_BYTES + len(word) + len(ids)
+                if self.size + size > CACHED_BYTES:
+                    self.old, self.size = dict(self), 0
+                    self.clear()
+                self[word] = ids
+                self.size += size
+
+
+def _gather(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of ``flat`` that end at ``ends`` (the first is a 0), taken in
+    the order ``at``, and their ends."""
+    size = np.diff(ends)[at]
+    new = np.append(0, np.cumsum(size))
+    index = np.repeat(ends[at] - new[:-1], size)
+    index += np.arange(len(index))
+    return flat[index], new
+
+
+def _offsets(lists: pa.ListArray) -> np.ndarray:
+    return np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
 
 
 class _Encoder:
     """texts -> ids as little-endian unsigned 16-bit bytes, equal to the
     tokenizer's own ids of the whole text.
 
-    The tokenizer drops white space and no token spans it, so the ids of each
-    stretch without white space are kept for reuse (``_Words``).  Text of Latin
-    letters is set in lower case first, and the ASCII punctuation at the end of
-    a word is split off: it is a piece of its own to the tokenizer.
+    The tokenizer drops white space and no token spans it, so texts are split at
+    white space and each distinct stretch of a few texts is looked up once.
+    Stretches of Latin letters are set in lower case first, and the ASCII
+    punctuation at their end is split off: it is a piece of its own to the
+    tokenizer.  Ids are kept for reuse (``_Words``).  New words of letters alone
+    are one piece each: the tokenizer's model merges many of them in one call,
+    and the tokens that end a word tell them apart.
     """
 
     def __init__(self, path: str):
@@ -81,41 +103,76 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need more than 16 bits")
-        self.merge = self.tokenizer.model.tokenize
-        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.words = _Words(self.word)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(1 << 16, bool)  # tokens that end a word
+        self.last[[i for t, i in self.model.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+        letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = str.maketrans({c: letters(c)[0][0] for c in map(chr, range(0x80, 0x250)) if c.isalpha()})
+        self.words = _Words()
         # Whether the shortcuts below hold for this tokenizer, by trial.
         trial = ["Über", "naïve", "WORD", "façade,", "ſo.", "it's.", "øre"]
-        self.latin = True
-        self.latin = self.encode(trial) == self.ids(trial)
-        self.words = _Words(self.word)
+        self.latin = bool(suffix)
+        self.latin = self.latin and self.encode(trial) == self.ids(trial)
+        self.words = _Words()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def word(self, word: str) -> bytes:
-        """Ids of a stretch without white space."""
-        if self.latin and not NOT_LATIN.search(word):
-            if word.isalpha():
-                # One piece to the tokenizer, equal to its normal form but for
-                # case, so that only its merges are left to do.
-                word = word.lower()
-                return array("H", [t.id for t in self.merge(word if word.isascii() else self.letters(word)[0][0])]).tobytes()
-            if "<|" not in word and (end := PUNCTUATED.search(word)):
-                return self.words[word[: end.start(1)]] + self.words[end[1]]
-        return self.ids([word])[0]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known, out = self.words.__getitem__, []
-        for t in texts:
-            if any(c in t for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split, not to the tokenizer
-                out += self.ids([t])
-                continue
-            if self.latin and "<|" not in t and (t.isascii() or not NOT_LATIN.search(t)):
-                t = t.lower()
-            out.append(b"".join(map(known, t.split())))
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters in lower case.  Each is one piece to the
+        tokenizer, equal to its normal form, so that only its merges are left."""
+        text = " ".join([w if w.isascii() else w.translate(self.letters) for w in words])
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+        ends = (2 * np.flatnonzero(self.last[ids]) + 2).tolist()
+        if len(ends) != len(words):
+            return self.ids(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def find(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of stretches that are in neither generation, or only in the older."""
+        out, letters, rest = {}, [], []
+        for w, ids in zip(words, map(self.words.old.get, words)):
+            if ids is not None:
+                out[w] = ids
+            elif self.latin and w.isalpha() and (w.isascii() or not NOT_LATIN.search(w)):
+                letters.append(w)
+            else:
+                rest.append(w)
+        for k in range(0, len(letters), MERGED):
+            some = letters[k:k + MERGED]
+            out.update(zip(some, self.merged([w.lower() for w in some])))
+        if rest:
+            out.update(zip(rest, self.ids(rest)))
+        self.words.keep(out)
         return out
 
+    def parts(self, stretches: pa.Array) -> pa.ListArray:
+        """Each stretch as a list of one or two that give the same ids."""
+        if self.latin:
+            plain = pc.invert(pc.match_substring_regex(stretches, "<[|]|" + NOT_LATIN_RE2))
+            short = pc.replace_substring_regex(pc.ascii_lower(stretches), PUNCTUATED, r"\1 \2")
+            stretches = pc.if_else(plain, short, stretches)
+        return pc.ascii_split_whitespace(stretches)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        stretches = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        distinct = stretches.flatten().dictionary_encode()
+        parts = self.parts(distinct.dictionary)
+        pieces = parts.flatten().dictionary_encode()
+        words = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [*map(self.words.get, words)]
+        found = self.find([w for w, ids in zip(words, known) if ids is None])
+        known = [found[w] if ids is None else ids for w, ids in zip(words, known)]
+        # Ids of the distinct pieces, then of the distinct stretches, then of the texts.
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, known), np.int64, len(known)) >> 1))
+        flat, ends = _gather(np.frombuffer(b"".join(known), "<u2"), ends, pieces.indices.to_numpy())
+        flat, ends = _gather(flat, ends[_offsets(parts)], distinct.indices.to_numpy())
+        raw, ends = flat.tobytes(), (2 * ends[_offsets(stretches)]).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
 
 def _encoder(path: str) -> _Encoder:
     state = worker_cache(f"tokens:{path}")
@@ -124,6 +181,18 @@ def _encoder(path: str) -> _Encoder:
     return state["encoder"]
 
 
+def _few(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about TEXT_BYTES of text each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        most = TEXT_BYTES + (int(ends[first - 1]) if first else 0)
+        last = max(first + 1, int(np.searchsorted(ends, most, "right")))
+        last = min(last, first + (1 << 14))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _tokenize(path: str, router: _Index | None = None):
     """doc_id, ``ids`` (the text's token ids and END, as little-endian unsigned
     16-bit bytes), ``n``, ``route`` (the document's three best pivots in order)
@@ -133,9 +202,9 @@ def _tokenize(path: str, router: _Index | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(path), END.to_bytes(2, "little")
         for b in batches:
-            for part in (b.slice(k, TOGETHER) for k in range(0, b.num_rows, TOGETHER)):
+            for part in _few(b):
                 ids, near = [], []
-                for raw in encoder.encode([t or "" for t in part.column("text").to_pylist()]):
+                for raw in encoder.encode(pc.fill_null(part.column("text"), "")):
                     ids.append(raw + end)
                     x = np.frombuffer(ids[-1], "<u2").astype(np.uint64)
                     h = (x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9)) * np.uint64(0xD6E8FEB86659FD93)
@@ -180,9 +249,10 @@ class _Index:
         self.terms = np.split(term, np.searchsorted(doc, np.arange(1, len(ids))))
         length = np.array([len(x) for x in ids], float)[doc]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term.astype(np.uint16), kind="stable")
         self.doc, self.weight = doc[order].astype(np.intp), weight[order]
         self.at = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self.count = np.arange(len(term))
         self.n = len(ids)
         self.rows: np.ndarray | None = None
 
@@ -204,7 +274,7 @@ class _Index:
                 score = self.scores(terms)
             else:
                 row = self.row[terms]
-                score = self.rows[row[row >= 0]].sum(axis=0)
+                score = self.rows.take(row[row >= 0], axis=0).sum(axis=0)
             route = 0
             for k in range(3):
                 place = int(score.argmax())
@@ -217,7 +287,8 @@ class _Index:
     def scores(self, terms: np.ndarray) -> np.ndarray:
         begin, size = self.at[terms], self.at[terms + 1] - self.at[terms]
         total = int(size.sum())
-        at = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(total) if total else np.zeros(0, np.int64)
+        at = np.repeat(begin - (np.cumsum(size) - size), size)
+        at += self.count[:total]
         return np.bincount(self.doc[at], self.weight[at], self.n)
 
     def keep(self, free: np.ndarray) -> None:

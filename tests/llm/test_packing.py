@@ -188,3 +188,46 @@ def test_punctuation_at_the_end_is_split_off(tokenizer, monkeypatch):
     encoder.encode(["###", "word"])
     monkeypatch.setattr(encoder, "ids", None)  # the whole tokenizer is not asked
     encoder.encode(["word###"])
+
+def test_punctuated_forms_take_no_room_in_the_cache(tokenizer):
+    encoder = _Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["".join(random.Random(k).choices("abcdefgh", k=9)) for k in range(100)]
+    texts = [" ".join(w + m for w in words) for m in ("", ",", ".", ";", ":", "!", "?", ").", '",')]
+    for t, got in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(got, "<u2").tolist() == own(tokenizer, t)[:-1].tolist()
+    assert len(encoder.words) + len(encoder.words.old) <= len(words) + 8  # a form each of 100 words, and the marks
+
+
+def test_new_words_of_many_texts_are_merged_in_one_call(tokenizer, monkeypatch):
+    encoder = _Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    encoder.encode([", ."])
+    rnd, calls, merged = random.Random(8), [], encoder.merged
+    words = ["".join(rnd.choices("abcdefghéü", k=9)) for _ in range(600)]
+    texts = [" ".join(rnd.choice([w, w.title(), w + ",", w + "."]) for w in rnd.choices(words, k=80)) for _ in range(60)]
+    monkeypatch.setattr(encoder, "merged", lambda w: calls.append(w) or merged(w))
+    monkeypatch.setattr(encoder, "ids", None)  # the whole tokenizer is not asked
+    got = encoder.encode(texts)
+    assert len(calls) == 1
+    for t, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u2").tolist() == own(tokenizer, t)[:-1].tolist()
+    encoder.encode(texts)
+    assert len(calls) == 1
+
+
+def test_every_latin_letter_and_mark(tokenizer):
+    encoder = _Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [f"a{c}b {c} {c}, x{c}. {c}{c}! don{c}t" for c in map(chr, range(1, 0x260))]
+    texts += [f"1{c},{c}' '{c}s ́{c} H̱{c}, <|endoftext|>{c}, {c}　z." for c in map(chr, range(1, 0x260, 3))]
+    for t, got in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(got, "<u2").tolist() == own(tokenizer, t)[:-1].tolist(), repr(t)
+    assert encoder.encode([]) == [] and encoder.encode(["", " "]) == [b"", b""]
+
+
+def test_texts_are_taken_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "TEXT_BYTES", 100)
+    texts = ["x" * n for n in (250, 0, 40, 60, 1, 99, 100, 0)] + [None] * 3
+    batch = packing.pa.RecordBatch.from_pydict({"text": packing.pa.array(texts, packing.pa.string())}).slice(1)
+    parts = list(packing._few(batch))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts[1:]
+    sizes = [[len(t or "") for t in p.column("text").to_pylist()] for p in parts]
+    assert all(sum(s) <= 100 or len(s) == 1 for s in sizes) and len(parts) < 6
