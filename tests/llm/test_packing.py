@@ -231,3 +231,8 @@ def test_texts_are_taken_by_their_bytes(monkeypatch):
     assert [t for p in parts for t in p.column("text").to_pylist()] == texts[1:]
     sizes = [[len(t or "") for t in p.column("text").to_pylist()] for p in parts]
     assert all(sum(s) <= 100 or len(s) == 1 for s in sizes) and len(parts) < 6
+
+
+def test_a_worker_keeps_two_small_generations_of_words():
+    """Two workers of an executor share what its heap leaves of 3000 MB."""
+    assert 2 * 2 * packing.CACHED_BYTES <= 256 << 20
