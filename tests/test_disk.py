@@ -47,3 +47,16 @@ def test_line_items_travel_as_keys_date_and_bits(spark, tmp_path, no_broadcast):
     assert "l_asked" in travel and not travel & {"l_linenumber", "l_returnflag", "l_linestatus"}
     for name in fixtures.FROM_JOIN:
         assert rows(fixtures._feed_of(joined, name)) == rows(fixtures.BUILDERS[name](spark, str(tmp_path)))
+
+
+def test_event_tables_and_their_union_are_dense_and_their_joins_shuffles_go(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "scratch")
+    os.symlink("/root/testdata/sf0.001", data := str(tmp_path / "tables"))
+    monkeypatch.setattr("devtrail.registry.scratch_path", lambda s, name: folder)
+    freed = []
+    monkeypatch.setattr("devtrail.registry.release", lambda s: freed.append(sorted(os.listdir(folder))))
+    assert QUERIES["p10_union_text"](spark, data).count() == QUERIES["f1_union_all"](spark, data).count()
+    assert [len(x) for x in freed] == [1, 2, 3, 4, 5]  # after each table and their union
+    for name in freed[-1]:
+        files = [f for f in os.listdir(f"{folder}/{name}") if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)
